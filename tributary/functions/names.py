@@ -25,8 +25,8 @@ def object_store_uri(namespace: Column, name: Column) -> Column:
 
 
 def database_from_url(url: Column) -> Column:
-    # The group is never empty on a match, so '' can only mean "no match".
-    return F.nullif(F.regexp_extract(url, DATABASE_IN_URL, 1), F.lit(""))
+    """Null without a match; the pattern is anchored, so there is at most one."""
+    return F.get(F.regexp_extract_all(url, F.lit(DATABASE_IN_URL), F.lit(1)), F.lit(0))
 
 
 def symlink_name(symlinks: Column) -> Column:
@@ -38,12 +38,11 @@ def symlink_name(symlinks: Column) -> Column:
 
 
 def name_from_dataset(namespace: Column, name: Column) -> Column:
-    database = database_from_url(namespace)
-    plain = ~name.contains(".")
+    qualified = F.concat(database_from_url(namespace), F.lit("."), name)
     return F.when(
         namespace.isNotNull() & name.isNotNull(),
         F.when(is_object_store(namespace), object_store_uri(namespace, name))
-        .when(plain & database.isNotNull(), F.concat(database, F.lit("."), name))
+        .when(~name.contains("."), F.coalesce(qualified, name))
         .otherwise(name),
     )
 
@@ -52,6 +51,17 @@ def dataset_name(namespace: Column, name: Column, symlinks: Column) -> Column:
     return F.coalesce(symlink_name(symlinks), name_from_dataset(namespace, name))
 
 
+def has_dataset_name(namespace: Column, name: Column, symlinks: Column) -> Column:
+    """Whether ``dataset_name`` is not null, without computing it."""
+    return F.get(symlinks, F.lit(0))["name"].isNotNull() | (namespace.isNotNull() & name.isNotNull())
+
+
+def known_name(namespace: Column, name: Column, symlinks: Column) -> Column:
+    """``dataset_name`` of a dataset that has one. Not nullable, so joins on it add no null test, which
+    would compute the name a second time."""
+    return F.coalesce(dataset_name(namespace, name, symlinks), F.lit(""))
+
+
 def lookup_index_of(table_name: Column) -> Column:
     return F.when(is_object_store(table_name), F.lit(CONTAINER_INDEX)).otherwise(F.lit(TABLE_INDEX))
 

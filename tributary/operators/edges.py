@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.names import column_fqn
-from tributary.operators.events import collapse, dataset_pairs, name_counts, named, pair_sides
+from tributary.operators.events import (
+    collapse,
+    dataset_pairs,
+    distinct_names,
+    name_counts,
+    named,
+    pair_sides,
+)
 from tributary.operators.lookup import first_hits, with_columns
 from tributary.operators.skew import sliced_join
 
@@ -22,11 +29,11 @@ def table_edges(events: DataFrame, refs: DataFrame, index: DataFrame) -> DataFra
 
     Distinct names are resolved once; references only meet the resolved ones.
     """
-    refs = named(refs)
-    names = name_counts(refs)
-    entities = first_hits(names.select("table_name"), index).drop("fqn")
-    found = sliced_join(collapse(refs), entities, ["table_name"], ["event_id", "side"], names)
-    pairs = pair_sides(events, found, refs)
+    sides = collapse(named(refs))
+    names = name_counts(sides, F.col("n"))
+    entities = first_hits(distinct_names(names), index).drop("fqn")
+    found = sliced_join(sides, entities, ["table_name"], ["event_id", "side"], names)
+    pairs = pair_sides(events, found, sides)
     return pairs.select(
         *[c for c in events.columns],
         F.col("in_entity_type").alias("from_type"),
@@ -66,7 +73,7 @@ def column_edges(events: DataFrame, index: DataFrame, catalog: DataFrame) -> Dat
     """Edges of nested events, each with the bag of its column pairs in ``column_pairs``."""
     pairs = dataset_pairs(events)
     names = pair_names(pairs)
-    entities = with_columns(first_hits(names.select("table_name"), index), catalog)
+    entities = with_columns(first_hits(distinct_names(names), index), catalog)
 
     def end(prefix: str) -> DataFrame:
         return entities.select(
@@ -81,7 +88,7 @@ def column_edges(events: DataFrame, index: DataFrame, catalog: DataFrame) -> Dat
     joined = pairs
     for prefix in ("from_", "to_"):
         name = prefix + "name"
-        counts = pairs.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+        counts = names.withColumnRenamed("table_name", name)
         joined = sliced_join(joined, end(prefix), [name], spread, counts)
     return joined.select(
         "event_id", "event_time", "run_id", "in_pos", "out_pos", *EDGE_KEY, "from_name", "to_name",

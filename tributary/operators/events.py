@@ -8,12 +8,10 @@ occurs several times is one row with its number of occurrences.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.names import dataset_name
+from tributary.functions.names import dataset_name, has_dataset_name, known_name
 from tributary.operators.skew import SLICE, hot_keys, repeat_rows, slice_rows
 
 KEPT_TYPES = ("COMPLETE", "START")
@@ -29,7 +27,11 @@ def passes_gate() -> Column:
 
 
 def _name(dataset: Column) -> Column:
-    return dataset_name(dataset["namespace"], dataset["name"], dataset["symlinks"])
+    return known_name(dataset["namespace"], dataset["name"], dataset["symlinks"])
+
+
+def _has_name(dataset: Column) -> Column:
+    return has_dataset_name(dataset["namespace"], dataset["name"], dataset["symlinks"])
 
 
 def _broken_symlink(dataset: Column) -> Column:
@@ -44,7 +46,7 @@ def reject_reason() -> Column:
     in an event without named inputs.
     """
     broken = F.exists("inputs", _broken_symlink) | (
-        F.exists("outputs", _broken_symlink) & F.exists("inputs", lambda d: _name(d).isNotNull())
+        F.exists("outputs", _broken_symlink) & F.exists("inputs", _has_name)
     )
     return (
         F.when(F.col("event_type").isNull(), "null_type")
@@ -97,27 +99,53 @@ def with_names(refs: DataFrame) -> DataFrame:
 
 
 def named(refs: DataFrame) -> DataFrame:
-    return with_names(refs).where(F.col("table_name").isNotNull())
+    dataset = [F.col("namespace"), F.col("name"), F.col("symlinks")]
+    return refs.where(has_dataset_name(*dataset)).withColumn("table_name", known_name(*dataset))
 
 
-def name_counts(named_refs: DataFrame) -> DataFrame:
-    """Each distinct name once, with its number of references."""
-    return named_refs.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+def name_counts(refs: DataFrame, n: Column | None = None) -> DataFrame:
+    """Each distinct name once, with its number of references (or the sum of ``n``)."""
+    return refs.groupBy("table_name").agg((F.count(F.lit(1)) if n is None else F.sum(n)).alias("n"))
+
+
+def distinct_names(counts: DataFrame) -> DataFrame:
+    """The names of ``name_counts``. The test holds for all of them; it keeps the count in the plan, so
+    that lookups and hot keys are read from one and the same exchange."""
+    return counts.where(F.col("n") > 0).select("table_name")
 
 
 def collapse(named_refs: DataFrame) -> DataFrame:
-    """Each name once per event and side: occurrences and last position."""
-    return named_refs.groupBy("event_id", "side", "table_name").agg(
-        F.count(F.lit(1)).alias("n"), F.max("pos").alias("pos")
+    """Each name once per event and side: its occurrences ``n`` and its last position.
+
+    Both sides come out of one aggregate through a generator. Filters on the side stay above it, and
+    the null test of later joins is made here, so everything that reads the result shares one scan and
+    one exchange.
+    """
+
+    def side(name: str) -> tuple[Column, Column]:
+        here = F.col("side") == name
+        return F.count(F.when(here, 1)).alias(name), F.max(F.when(here, F.col("pos"))).alias(name + "_pos")
+
+    def row(name: str) -> Column:
+        return F.struct(
+            F.lit(name).alias("side"), F.col(name).alias("n"), F.col(name + "_pos").alias("pos")
+        )
+
+    return (
+        named_refs.where(F.col("event_id").isNotNull())
+        .groupBy("event_id", "table_name")
+        .agg(*side("input"), *side("output"))
+        .select("event_id", "table_name", F.inline(F.array(row("input"), row("output"))))
+        .where(F.col("n") > 0)
     )
 
 
-def pair_sides(events: DataFrame, sides: DataFrame, refs: DataFrame, spread: str = "table_name") -> DataFrame:
+def pair_sides(events: DataFrame, sides: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """Pair collapsed inputs with collapsed outputs of the same event.
 
-    ``events`` brings its own columns, one row per event. ``refs`` is only counted, to find hot
-    events. Columns of ``sides`` come back as ``in_*`` and ``out_*``, the number of occurrences
-    of the pair as ``n_pairs``.
+    ``events`` brings its own columns, one row per event. Columns of ``sides`` come back as ``in_*``
+    and ``out_*``, the number of occurrences of the pair as ``n_pairs``. Where ``sides`` has been
+    joined to more, ``counted`` is the collapsed frame before that, to find hot events in.
     """
     payload = [c for c in sides.columns if c not in ("event_id", "side")]
 
@@ -126,12 +154,13 @@ def pair_sides(events: DataFrame, sides: DataFrame, refs: DataFrame, spread: str
             "event_id", *[F.col(c).alias(prefix + c) for c in payload]
         )
 
-    counts = refs.where(F.col("side") == "input").groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
-    key: Sequence[str] = ["event_id"]
+    key = ["event_id"]
+    inputs = (sides if counted is None else counted).where(F.col("side") == "input")
+    counts = inputs.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     hot = hot_keys(counts, key)
-    on = ["event_id", SLICE]
+    on = [*key, SLICE]
     return (
-        slice_rows(side("input", "in_"), hot, key, ["in_" + spread])
+        slice_rows(side("input", "in_"), hot, key, ["in_table_name"])
         .join(repeat_rows(events, hot, key), on)
         .join(repeat_rows(side("output", "out_"), hot, key), on)
         .withColumn("n_pairs", F.col("in_n") * F.col("out_n"))
@@ -161,17 +190,15 @@ def dataset_pairs(events: DataFrame) -> DataFrame:
     return (
         accepted_events(events)
         .select(*keep, ins, "outputs")
-        .withColumn("from_name", _name(F.col("source")))
-        .where(F.col("from_name").isNotNull())
-        .select(*keep, "in_pos0", "source", "from_name", outs)
-        .withColumn("to_name", _name(F.col("target")))
-        .where(F.col("to_name").isNotNull())
+        .where(_has_name(F.col("source")))
+        .select(*keep, "in_pos0", "source", _name(F.col("source")).alias("from_name"), outs)
+        .where(_has_name(F.col("target")))
         .select(
             *keep,
             (F.col("in_pos0") + 1).cast("bigint").alias("in_pos"),
             (F.col("out_pos0") + 1).cast("bigint").alias("out_pos"),
             "from_name",
-            "to_name",
+            _name(F.col("target")).alias("to_name"),
             F.coalesce(links, none).alias("links"),
         )
     )

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.operators.skew import sliced_join
-
 
 def pair_executions(starts: DataFrame, ends: DataFrame) -> DataFrame:
     """Every end, with its start if there was one. A start without end is dropped."""
@@ -53,7 +51,7 @@ def metrics_per_job(jobs: DataFrame, tasks: DataFrame) -> DataFrame:
     row per stage however many tasks it ran."""
     names = _metrics(tasks, {"stage_id"})
     stages = tasks.groupBy("stage_id").agg(*_sums(names))
-    return sliced_join(job_stages(jobs), stages, ["stage_id"], ["job_id"]).groupBy("job_id").agg(*_sums(names))
+    return job_stages(jobs).join(stages, "stage_id").groupBy("job_id").agg(*_sums(names))
 
 
 def metrics_per_execution(jobs: DataFrame, tasks: DataFrame, active: DataFrame | None = None) -> DataFrame:

@@ -94,9 +94,11 @@ def first_service(services: Sequence[str]) -> list[str]:
 
 
 def _keyed(names: DataFrame) -> DataFrame:
-    return names.withColumn("index", lookup_index_of(F.col("table_name"))).withColumn(
-        "key", F.col("table_name")
-    )
+    """Index and key come out of a generator: what Spark infers about them from the catalog is then
+    tested here, once per name, and not on every reference below."""
+    index = lookup_index_of(F.col("table_name"))
+    key = F.struct(index.alias("index"), F.col("table_name").alias("key"))
+    return names.select("*", F.inline(F.array(key)))
 
 
 def first_hits(names: DataFrame, index: DataFrame) -> DataFrame:
@@ -135,7 +137,6 @@ def unresolved(names: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def with_columns(resolved: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Add the entity's column names. Many names may mean one entity; its row is looked up once per
-    name, so the arrays never travel with the suffixes."""
-    columns = catalog.select("id", "entity_type", "column_names")
-    return sliced_join(resolved, columns, ["id", "entity_type"], ["table_name"])
+    """Add the entity's column names. They are joined to the resolved names only, so the arrays never
+    travel with the suffixes. Both sides are as small as the catalog; Spark splits skew by itself."""
+    return resolved.join(catalog.select("id", "entity_type", "column_names"), ["id", "entity_type"])

@@ -1,9 +1,10 @@
 """Joins that stay even when one key holds a large share of all rows.
 
-A key is hot when it holds more than ``1 / HOT_PARTS`` of the rows, so there are fewer than
-``HOT_PARTS`` hot keys whatever the data: that is the bound on what is broadcast here. The rows
-of a hot key are cut into slices, the matching rows of the other side are repeated once per
-slice, and the join runs on (key, slice). Every pair still meets exactly once.
+Keys with more than ``SLICE_ROWS`` rows are hot; of those the ``HOT_KEYS`` largest are cut into slices.
+A key outside that list holds less than ``1 / HOT_KEYS`` of all rows, whatever the data, and what is
+broadcast here never has more than ``HOT_KEYS`` rows. The matching rows of the other side are repeated
+once per slice and the join runs on (key, slice): every pair still meets exactly once, so the list and
+the number of slices only spread the work and never change a result.
 """
 
 from __future__ import annotations
@@ -13,28 +14,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_PARTS = 1000
-HOT_FLOOR = 200_000
+HOT_KEYS = 1000
+SLICE_ROWS = 1_000_000
+MAX_SLICES = 4096
 SLICE = "_slice"
 
 
-def hot_keys(
-    counts: DataFrame, key: Sequence[str], parts: int | None = None, floor: int | None = None
-) -> DataFrame:
+def hot_keys(counts: DataFrame, key: Sequence[str]) -> DataFrame:
     """From (key, n): the hot keys with the number of slices each is cut into."""
-    limit = counts.agg(
-        F.greatest(F.sum("n") / (parts or HOT_PARTS), F.lit(float(floor or HOT_FLOOR))).alias("limit")
+    slices = F.least(F.ceil(F.col("n") / SLICE_ROWS), F.lit(MAX_SLICES)).cast("int")
+    return (
+        counts.where(F.col("n") > SLICE_ROWS)
+        .orderBy(F.desc("n"), *key)
+        .limit(HOT_KEYS)
+        .select(*key, slices.alias("_slices"))
     )
-    slices = F.ceil(F.col("n") / limit.scalar())
-    return counts.where(F.col("n") > limit.scalar()).select(*key, slices.cast("int").alias("_slices"))
 
 
 def slice_rows(df: DataFrame, hot: DataFrame, key: Sequence[str], spread: Sequence[str]) -> DataFrame:
-    """Give each row of a hot key a slice by hash of ``spread``, so that a retry repeats it."""
-    slice_of = F.when(
-        F.col("_slices").isNotNull(), F.pmod(F.xxhash64(*spread), F.col("_slices")).cast("int")
-    ).otherwise(F.lit(0))
-    return df.join(F.broadcast(hot), list(key), "left").withColumn(SLICE, slice_of).drop("_slices")
+    """Give each row of a hot key a slice, by hash of ``spread``: a task that runs again repeats it."""
+    slices = F.coalesce(F.col("_slices"), F.lit(1))
+    return (
+        df.join(F.broadcast(hot), list(key), "left")
+        .withColumn(SLICE, F.pmod(F.xxhash64(*spread), slices).cast("int"))
+        .drop("_slices")
+    )
 
 
 def repeat_rows(df: DataFrame, hot: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -52,13 +56,15 @@ def sliced_join(
     few: DataFrame,
     key: Sequence[str],
     spread: Sequence[str],
-    counts: DataFrame | None = None,
+    counts: DataFrame,
     how: str = "inner",
 ) -> DataFrame:
-    """Join a large table to one with few rows per key. ``counts`` is (key, n) of ``many``."""
+    """Join a large table to one with few rows per key.
+
+    ``counts`` is (key, n): how often a key occurs in ``many``, or in something cheaper to count that
+    follows it.
+    """
     key = list(key)
-    if counts is None:
-        counts = many.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     hot = hot_keys(counts, key)
     left = slice_rows(many, hot, key, spread)
     return left.join(repeat_rows(few, hot, key), [*key, SLICE], how).drop(SLICE)

@@ -134,6 +134,12 @@ def _columns(columns: dict[str, str]) -> list[str]:
     return [f"{text} AS {name}" for name, text in columns.items()]
 
 
+def _built_once(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Project inside a generator: filters and names computed from the columns then read them, instead
+    of pulling their long texts down and evaluating them again."""
+    return df.selectExpr(f"inline(array(struct({', '.join(columns)})))")
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -144,7 +150,7 @@ def run_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def dataset_refs(spark: SparkSession, sf: str) -> DataFrame:
     """Long form of the datasets of ``run_events``."""
-    flat = table(spark, sf, "lineitem").selectExpr(*_columns(REF_COLUMNS))
+    flat = _built_once(table(spark, sf, "lineitem"), _columns(REF_COLUMNS))
     link = F.struct(F.col("sym_namespace").alias("namespace"), F.col("sym_name").alias("name"))
     return flat.withColumn("symlinks", F.when(F.col("sym_namespace").isNotNull(), F.array(link))).drop(
         "sym_namespace", "sym_name"
@@ -258,22 +264,18 @@ def _nested_dataset(part: str, facet: str) -> str:
 
 def _facet(k: str) -> str:
     """Column facet of output ``k``: draws on the first and the last input."""
-    first = dataset_columns(INPUT_PART.format(k="0"), NESTED_SOURCE)
-    last = dataset_columns(INPUT_PART.format(k=f"({INPUT_COUNT} - 1)"), NESTED_SOURCE)
 
-    def field(dataset: dict[str, str], column: str) -> str:
-        return (
-            f"named_struct('namespace', {dataset['namespace']}, 'name', {dataset['name']}, 'field', '{column}')"
-        )
+    def field(which: str, column: str) -> str:
+        return f"named_struct('namespace', {which}.namespace, 'name', {which}.name, 'field', '{column}')"
 
     return (
         f"CASE WHEN {HAS_FACET.format(k=k)} THEN map("
-        f"'k', array({field(first, 'k')}, {field(last, 'c0')}, {field(first, 'k')}),"
-        f" 'v', array({field(first, 'c0')}), 'zz', array({field(first, 'k')})) END"
+        f"'k', array({field('first', 'k')}, {field('last', 'c0')}, {field('first', 'k')}),"
+        f" 'v', array({field('first', 'c0')}), 'zz', array({field('first', 'k')})) END"
     )
 
 
-def nested_projection() -> list[str]:
+def _documents(orders: DataFrame) -> DataFrame:
     """Run events from orders alone, whole documents built in their own row."""
     no_facet = "CAST(NULL AS MAP<STRING, ARRAY<STRUCT<namespace: STRING, name: STRING, field: STRING>>>)"
 
@@ -287,15 +289,21 @@ def nested_projection() -> list[str]:
         "inputs": side(INPUT_COUNT, INPUT_PART.format(k="k"), NO_INPUT_LIST, no_facet),
         "outputs": side(OUTPUT_COUNT, OUTPUT_PART.format(k="k"), NO_OUTPUT_LIST, _facet("k")),
     }
-    return _columns(columns)
+    ends = {"first": INPUT_PART.format(k="0"), "last": INPUT_PART.format(k=f"({INPUT_COUNT} - 1)")}
+    named = [
+        f"named_struct('namespace', {c['namespace']}, 'name', {c['name']}) AS {end}"
+        for end, part in ends.items()
+        for c in [dataset_columns(part, NESTED_SOURCE)]
+    ]
+    return _built_once(orders.selectExpr("*", *named), _columns(columns))
 
 
 def nested_events(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").selectExpr(*nested_projection())
+    return _documents(table(spark, sf, "orders"))
 
 
 def nested_event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same documents, read as a stream of order files."""
     schema = table(spark, sf, "orders").schema
     orders = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
-    return orders.selectExpr(*nested_projection())
+    return _documents(orders)

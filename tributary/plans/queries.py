@@ -11,14 +11,13 @@ from tributary.functions import documents, names, settings
 from tributary.functions.names import service_list
 from tributary.operators import edges, events, executions, lookup
 from tributary.operators import settings as conf
-from tributary.operators.skew import sliced_join
 from tributary.plans import fixtures
 from tributary.plans.scratch import scratch_folder
 from tributary.sources import catalog as catalog_source
 from tributary.sources import execution_log
 from tributary.sources.edge_store import compact_edges, read_edges
 from tributary.streaming.edges import start_edges
-from tributary.streaming.executions import closing_rows, pair_execution_streams
+from tributary.streaming.executions import closing_row, pair_execution_streams
 
 SERVICES = "svc0,svc1"
 BOUND = "20 years"  # wider than the test data
@@ -206,9 +205,7 @@ def edge_documents(spark: SparkSession, sf: str) -> DataFrame:
     ).withColumn("columns", edges.column_set(F.col("column_pairs")))
     current = edges.upsert(found.drop("column_pairs", "from_name", "to_name"))
     jobs = fixtures.job_entities(spark, sf).select("job_key", "job_id")
-    stamped = sliced_join(
-        current.withColumn("job_key", F.col("run_id") % 10), jobs, ["job_key"], ["from_id", "to_id"]
-    )
+    stamped = current.withColumn("job_key", F.col("run_id") % 10).join(jobs, "job_key")
     document = documents.edge_document(*[F.col(c) for c in (*edges.EDGE_KEY, "job_id", "columns")])
     return stamped.select("from_id", "to_id", document.alias("document"))
 
@@ -252,8 +249,8 @@ def conf_list_values(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def input_output_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    named = _named(spark, sf)
-    pairs = events.pair_sides(_gated(spark, sf).select("event_id"), events.collapse(named), named)
+    sides = events.collapse(_named(spark, sf))
+    pairs = events.pair_sides(_gated(spark, sf).select("event_id"), sides)
     return pairs.select(
         "event_id", F.col("in_table_name").alias("in_name"), F.col("out_table_name").alias("out_name"),
         "n_pairs",
@@ -454,9 +451,9 @@ def stream_execution_pairs(spark: SparkSession, sf: str) -> DataFrame:
     streams = {}
     for side, (records, closing_id) in sides.items():
         records = records.withColumn("ts", F.col("ts").cast("timestamp"))
-        records.unionByName(closing_rows(spark, CLOSE, closing_id)).write.parquet(f"{base}/{side}")
+        records.unionByName(closing_row(spark, CLOSE, closing_id)).write.parquet(f"{base}/{side}")
         streams[side] = spark.readStream.schema(records.schema).parquet(f"{base}/{side}")
-    pairs = pair_execution_streams(streams["starts"], streams["ends"], BOUND)
+    pairs = pair_execution_streams(streams["starts"], streams["ends"], BOUND, CLOSE)
     pairs.writeStream.format("parquet").option("path", f"{base}/pairs").option(
         "checkpointLocation", f"{base}/checkpoint"
     ).trigger(availableNow=True).start().awaitTermination()

@@ -2,7 +2,7 @@
 
 The state is bounded: a start is kept for ``bound`` after its time, and an end that comes later counts
 as one without start. An end without start comes out once both watermarks have passed it; at close,
-``closing_rows`` push them past everything that is still waiting.
+a closing row on each side pushes them past everything that is still waiting.
 """
 
 from __future__ import annotations
@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def closing_rows(spark: SparkSession, at: str, execution_id: int) -> DataFrame:
-    """One far-future record; negative ids are left out of results."""
+def closing_row(spark: SparkSession, close: str, execution_id: int) -> DataFrame:
+    """The record that ends a side, later than all others; its id is used by no execution."""
     return spark.range(1).select(
-        F.lit(execution_id).cast("bigint").alias("execution_id"), F.lit(at).cast("timestamp").alias("ts")
+        F.lit(execution_id).cast("bigint").alias("execution_id"), F.lit(close).cast("timestamp").alias("ts")
     )
 
 
 def pair_execution_streams(
-    starts: DataFrame, ends: DataFrame, bound: str, delay: str = "0 seconds"
+    starts: DataFrame, ends: DataFrame, bound: str, close: str, delay: str = "0 seconds"
 ) -> DataFrame:
     left = ends.select("execution_id", F.col("ts").alias("end_ts")).withWatermark("end_ts", delay)
     right = starts.select(
@@ -30,7 +30,8 @@ def pair_execution_streams(
     )
     return (
         left.join(right, (F.col("execution_id") == F.col("start_id")) & in_time, "left_outer")
-        .where(F.col("execution_id") >= 0)
+        # By time, not by id: a filter on the id would move below the watermarks, and closing rows with it.
+        .where(F.col("end_ts") < F.lit(close).cast("timestamp"))
         .select(
             "execution_id", "start_ts", "end_ts", F.col("start_id").isNotNull().alias("had_start")
         )
