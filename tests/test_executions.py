@@ -43,17 +43,17 @@ spark.stop()
 
 
 @pytest.fixture(scope="module")
-def records(spark, sf, tmp_path_factory):
+def lines(spark, sf, tmp_path_factory):
     folder = tmp_path_factory.mktemp("log")
     subprocess.run([sys.executable, "-c", APP, str(folder), sf], check=True, capture_output=True, timeout=300)
-    return execution_log.parse_event_log(execution_log.read_event_log(spark, str(folder)))
+    return execution_log.read_event_log(spark, str(folder))
 
 
-def test_real_event_log(records):
-    starts, ends = execution_log.sql_starts(records), execution_log.sql_ends(records)
+def test_real_event_log(lines):
+    starts, ends = execution_log.sql_starts(lines), execution_log.sql_ends(lines)
     pairs = executions.pair_executions(starts, ends).collect()
     assert pairs and all(r.had_start and r.start_ts <= r.end_ts for r in pairs)
-    jobs, tasks = execution_log.job_starts(records), execution_log.task_ends(records)
+    jobs, tasks = execution_log.job_starts(lines), execution_log.task_ends(lines)
     kinds = {r.kind for r in executions.job_context(jobs).collect()}
     assert kinds == {"sql", "rdd"}
     read = executions.metrics_per_execution(jobs, tasks).agg({"records_read": "sum"}).first()[0]

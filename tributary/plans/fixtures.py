@@ -280,14 +280,15 @@ def _documents(orders: DataFrame) -> DataFrame:
     no_facet = "CAST(NULL AS MAP<STRING, ARRAY<STRUCT<namespace: STRING, name: STRING, field: STRING>>>)"
 
     def side(count: str, part: str, missing: str, facet: str) -> str:
-        datasets = f"transform(slice(array(0, 1, 2), 1, CAST({count} AS INT)), k -> {_nested_dataset(part, facet)})"
+        numbers = f"slice(array(0, 1, 2), 1, CAST({count} AS INT))"
+        datasets = f"transform({numbers}, k -> {_nested_dataset(part.format(k='k'), facet)})"
         return f"CASE WHEN {missing} THEN NULL ELSE {datasets} END"
 
     columns = {
         **EVENT_COLUMNS,
         "event_time": "CAST(o_orderdate AS TIMESTAMP)",
-        "inputs": side(INPUT_COUNT, INPUT_PART.format(k="k"), NO_INPUT_LIST, no_facet),
-        "outputs": side(OUTPUT_COUNT, OUTPUT_PART.format(k="k"), NO_OUTPUT_LIST, _facet("k")),
+        "inputs": side(INPUT_COUNT, INPUT_PART, NO_INPUT_LIST, no_facet),
+        "outputs": side(OUTPUT_COUNT, OUTPUT_PART, NO_OUTPUT_LIST, _facet("k")),
     }
     ends = {"first": INPUT_PART.format(k="0"), "last": INPUT_PART.format(k=f"({INPUT_COUNT} - 1)")}
     named = [
@@ -303,7 +304,8 @@ def nested_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def nested_event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The same documents, read as a stream of order files."""
+    """The same documents, read as a stream of order files. The path is a pattern because a stream
+    takes a single file only that way; it matches a folder of files just as well."""
     schema = table(spark, sf, "orders").schema
-    orders = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
+    orders = spark.readStream.schema(schema).parquet(f"{sf}/{{orders}}.parquet")
     return _documents(orders)

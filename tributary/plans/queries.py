@@ -80,7 +80,7 @@ def catalog_from_search_json(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def execution_records_from_log(spark: SparkSession, sf: str) -> DataFrame:
     """The four record types in one frame."""
-    records = execution_log.parse_event_log(fixtures.event_log_lines(spark, sf))
+    lines = fixtures.event_log_lines(spark, sf)
     none = F.lit(None)
 
     def rows(df: DataFrame, record: str, **columns) -> DataFrame:
@@ -90,8 +90,8 @@ def execution_records_from_log(spark: SparkSession, sf: str) -> DataFrame:
             F.lit(record).alias("record"), *[columns.get(c, none).cast(t).alias(c) for c, t in shape.items()]
         )
 
-    starts, ends = execution_log.sql_starts(records), execution_log.sql_ends(records)
-    jobs, tasks = execution_log.job_starts(records), execution_log.task_ends(records)
+    starts, ends = execution_log.sql_starts(lines), execution_log.sql_ends(lines)
+    jobs, tasks = execution_log.job_starts(lines), execution_log.task_ends(lines)
     return (
         rows(starts, "sql_start", id=F.col("execution_id"), ts=F.col("ts"))
         .unionByName(rows(ends, "sql_end", id=F.col("execution_id"), ts=F.col("ts")))

@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Names of events and fields are fixed values of Spark's event log.
-SQL_EVENTS = "org.apache.spark.sql.execution.ui."
-RECORD = """
-  `Event` STRING,
-  `executionId` BIGINT, `time` BIGINT,
-  `Job ID` BIGINT, `Stage IDs` ARRAY<BIGINT>, `Properties` STRUCT<`spark.sql.execution.id`: STRING>,
+SQL_START = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart"
+SQL_END = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionEnd"
+JOB_START = "SparkListenerJobStart"
+TASK_END = "SparkListenerTaskEnd"
+
+SQL_FIELDS = "`executionId` BIGINT, `time` BIGINT"
+JOB_FIELDS = "`Job ID` BIGINT, `Stage IDs` ARRAY<BIGINT>, `Properties` STRUCT<`spark.sql.execution.id`: STRING>"
+TASK_FIELDS = """
   `Stage ID` BIGINT,
   `Task Metrics` STRUCT<
     `Executor Run Time`: BIGINT,
@@ -24,37 +27,42 @@ def read_event_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, recursiveFileLookup=True)
 
 
-def parse_event_log(lines: DataFrame) -> DataFrame:
-    return lines.select(F.from_json("value", RECORD).alias("record")).select("record.*")
-
-
-def _of(records: DataFrame, event: str) -> DataFrame:
-    return records.where(F.col("Event") == event)
+def _records(lines: DataFrame, event: str, fields: str) -> DataFrame:
+    """Records of one kind. Lines without its name are not parsed, and only the listed fields are."""
+    record = F.from_json("value", f"`Event` STRING, {fields}")
+    return (
+        lines.where(F.col("value").contains(event))
+        .select(record.alias("record"))
+        .select("record.*")
+        .where(F.col("Event") == event)
+    )
 
 
-def sql_starts(records: DataFrame) -> DataFrame:
-    return _of(records, SQL_EVENTS + "SparkListenerSQLExecutionStart").select(
+def _executions(lines: DataFrame, event: str) -> DataFrame:
+    return _records(lines, event, SQL_FIELDS).select(
         F.col("executionId").alias("execution_id"), F.timestamp_millis("time").alias("ts")
     )
 
 
-def sql_ends(records: DataFrame) -> DataFrame:
-    return _of(records, SQL_EVENTS + "SparkListenerSQLExecutionEnd").select(
-        F.col("executionId").alias("execution_id"), F.timestamp_millis("time").alias("ts")
-    )
+def sql_starts(lines: DataFrame) -> DataFrame:
+    return _executions(lines, SQL_START)
+
+
+def sql_ends(lines: DataFrame) -> DataFrame:
+    return _executions(lines, SQL_END)
 
 
-def job_starts(records: DataFrame) -> DataFrame:
-    return _of(records, "SparkListenerJobStart").select(
+def job_starts(lines: DataFrame) -> DataFrame:
+    return _records(lines, JOB_START, JOB_FIELDS).select(
         F.col("Job ID").alias("job_id"),
         F.col("Properties")["spark.sql.execution.id"].cast("bigint").alias("execution_id"),
         F.col("Stage IDs").alias("stage_ids"),
     )
 
 
-def task_ends(records: DataFrame) -> DataFrame:
+def task_ends(lines: DataFrame) -> DataFrame:
     metrics = F.col("Task Metrics")
-    return _of(records, "SparkListenerTaskEnd").select(
+    return _records(lines, TASK_END, TASK_FIELDS).select(
         F.col("Stage ID").alias("stage_id"),
         metrics["Executor Run Time"].alias("run_time_ms"),
         metrics["Executor CPU Time"].alias("cpu_time_ns"),
