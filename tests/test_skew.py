@@ -86,6 +86,18 @@ def test_pairs_of_a_hot_event(skewed, small_slices):
     assert {tuple(r)[:3]: r.n_pairs for r in got.collect()} == dict(expected_pairs(refs))
 
 
+@pytest.mark.parametrize("big", ["input", "output"])
+def test_one_large_side_is_cut(spark, small_slices, big):
+    small = "output" if big == "input" else "input"
+    refs = [(1, big, i, "hive://m", f"db.t{i}", None) for i in range(60)]
+    refs += [(1, small, 0, "hive://m", "db.x", None), (2, big, 0, "hive://m", "db.a", None)]
+    schema = "event_id bigint, side string, pos bigint, namespace string, name string, symlinks array<struct<namespace:string,name:string>>"
+    sides = events.collapse(events.named(spark.createDataFrame(refs, schema)))
+    pairs = events.pair_sides(spark.createDataFrame([(1,), (2,)], "event_id bigint"), sides).collect()
+    assert {r.in_table_name if big == "input" else r.out_table_name for r in pairs} == {f"db.t{i}" for i in range(60)}
+    assert len(pairs) == 60 and all(r.n_pairs == 1 for r in pairs)
+
+
 def test_edges_of_a_hot_event(skewed, small_slices):
     refs, names, frame, event_frame, catalog = skewed
     found = edges.table_edges(event_frame, frame, lookup_index(catalog))

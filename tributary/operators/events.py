@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.names import dataset_name, has_dataset_name, known_name
-from tributary.operators.skew import SLICE, hot_keys, repeat_rows, slice_rows
+from tributary.operators.skew import SLICE, hot_keys, repeat_rows, slice_or_repeat
 
 KEPT_TYPES = ("COMPLETE", "START")
 
@@ -145,7 +145,8 @@ def pair_sides(events: DataFrame, sides: DataFrame, counted: DataFrame | None =
 
     ``events`` brings its own columns, one row per event. Columns of ``sides`` come back as ``in_*``
     and ``out_*``, the number of occurrences of the pair as ``n_pairs``. Where ``sides`` has been
-    joined to more, ``counted`` is the collapsed frame before that, to find hot events in.
+    joined to more, ``counted`` is the collapsed frame before that, to find hot events in. The larger
+    side of a hot event is cut into slices, the smaller one repeated.
     """
     payload = [c for c in sides.columns if c not in ("event_id", "side")]
 
@@ -155,14 +156,18 @@ def pair_sides(events: DataFrame, sides: DataFrame, counted: DataFrame | None =
         )
 
     key = ["event_id"]
-    inputs = (sides if counted is None else counted).where(F.col("side") == "input")
-    counts = inputs.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(counts, key)
+    size = {name: F.count(F.when(F.col("side") == name, 1)) for name in ("input", "output")}
+    counts = (sides if counted is None else counted).groupBy(*key).agg(
+        F.greatest(*size.values()).alias("n"), (size["input"] >= size["output"]).alias("_more_inputs")
+    )
+    hot = hot_keys(counts, key, ["_more_inputs"])
+    more_inputs, more_outputs = F.col("_more_inputs"), ~F.col("_more_inputs")
+    inputs = slice_or_repeat(side("input", "in_"), hot, key, ["in_table_name"], more_inputs)
+    outputs = slice_or_repeat(side("output", "out_"), hot, key, ["out_table_name"], more_outputs)
     on = [*key, SLICE]
     return (
-        slice_rows(side("input", "in_"), hot, key, ["in_table_name"])
-        .join(repeat_rows(events, hot, key), on)
-        .join(repeat_rows(side("output", "out_"), hot, key), on)
+        inputs.join(repeat_rows(events, hot, key), on)
+        .join(outputs, on)
         .withColumn("n_pairs", F.col("in_n") * F.col("out_n"))
         .drop(SLICE, "in_n", "out_n")
     )

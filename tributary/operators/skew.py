@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1000
@@ -20,35 +20,52 @@ MAX_SLICES = 4096
 SLICE = "_slice"
 
 
-def hot_keys(counts: DataFrame, key: Sequence[str]) -> DataFrame:
-    """From (key, n): the hot keys with the number of slices each is cut into."""
+def hot_keys(counts: DataFrame, key: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """From (key, n): the hot keys with the number of slices each is cut into. Other columns of
+    ``counts`` stay if they are in ``keep``."""
     slices = F.least(F.ceil(F.col("n") / SLICE_ROWS), F.lit(MAX_SLICES)).cast("int")
     return (
         counts.where(F.col("n") > SLICE_ROWS)
         .orderBy(F.desc("n"), *key)
         .limit(HOT_KEYS)
-        .select(*key, slices.alias("_slices"))
+        .select(*key, *keep, slices.alias("_slices"))
     )
 
 
-def slice_rows(df: DataFrame, hot: DataFrame, key: Sequence[str], spread: Sequence[str]) -> DataFrame:
-    """Give each row of a hot key a slice, by hash of ``spread``: a task that runs again repeats it."""
+def _with_slice(df: DataFrame, hot: DataFrame, key: Sequence[str], slice_of) -> DataFrame:
+    extra = [c for c in hot.columns if c not in key]
     slices = F.coalesce(F.col("_slices"), F.lit(1))
-    return (
-        df.join(F.broadcast(hot), list(key), "left")
-        .withColumn(SLICE, F.pmod(F.xxhash64(*spread), slices).cast("int"))
-        .drop("_slices")
-    )
+    return df.join(F.broadcast(hot), list(key), "left").withColumn(SLICE, slice_of(slices)).drop(*extra)
+
+
+def _own_slice(spread: Sequence[str], slices: Column) -> Column:
+    """By hash of the row, so that a task that runs again repeats it."""
+    return F.pmod(F.xxhash64(*spread), slices).cast("int")
+
+
+def _all_slices(slices: Column) -> Column:
+    return F.sequence(F.lit(0), slices - 1)
+
+
+def slice_rows(df: DataFrame, hot: DataFrame, key: Sequence[str], spread: Sequence[str]) -> DataFrame:
+    """Give each row of a hot key one slice."""
+    return _with_slice(df, hot, key, lambda slices: _own_slice(spread, slices))
 
 
 def repeat_rows(df: DataFrame, hot: DataFrame, key: Sequence[str]) -> DataFrame:
     """Repeat each row of a hot key once per slice."""
-    last = F.coalesce(F.col("_slices"), F.lit(1)) - 1
-    return (
-        df.join(F.broadcast(hot), list(key), "left")
-        .withColumn(SLICE, F.explode(F.sequence(F.lit(0), last)))
-        .drop("_slices")
-    )
+    return _with_slice(df, hot, key, lambda slices: F.explode(_all_slices(slices)))
+
+
+def slice_or_repeat(
+    df: DataFrame, hot: DataFrame, key: Sequence[str], spread: Sequence[str], cut: Column
+) -> DataFrame:
+    """Slice the keys where ``cut`` holds, a condition on columns of ``hot``, and repeat the others."""
+
+    def slice_of(slices: Column) -> Column:
+        return F.explode(F.when(cut, F.array(_own_slice(spread, slices))).otherwise(_all_slices(slices)))
+
+    return _with_slice(df, hot, key, slice_of)
 
 
 def sliced_join(
