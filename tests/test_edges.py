@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tributary.operators import edges, events
+from tributary.operators import edges, events, jobs
 from tributary.operators.lookup import lookup_index
 from tributary.schemas import CATALOG, RUN_EVENT
 from tributary.sources.catalog import catalog_from_replies
@@ -171,3 +171,15 @@ def test_search_replies(spark):
 
 def test_schema_of_documents(read):
     assert read([event(1)]).schema == RUN_EVENT
+
+
+def test_jobs_by_name(spark):
+    rows = [("j", "u", "", "s1"), ("j", "u2", "d", "s1"), ("k", None, None, "s2"), ("l", None, None, None)]
+    frame = spark.createDataFrame(rows, "name string, source_url string, description string, service string")
+    found = {r.name: json.loads(r.document) for r in jobs.job_documents(frame).collect()}
+    assert found["j"] == {"name": "j", "sourceUrl": "u2", "description": "d", "service": "s1"}
+    assert found["k"] == {"name": "k", "sourceUrl": None, "service": "s2"}
+    assert found["l"] == {"name": "l", "sourceUrl": None, "service": None}
+    services = {r.service: json.loads(r.document) for r in jobs.service_documents(frame).collect()}
+    assert services.keys() == {"s1", "s2"}
+    assert services["s1"] == {"name": "s1", "serviceType": "Spark", "connection": {"config": {"type": "Spark"}}}

@@ -173,37 +173,49 @@ def pair_sides(events: DataFrame, sides: DataFrame, counted: DataFrame | None =
     )
 
 
-def dataset_pairs(events: DataFrame) -> DataFrame:
-    """Pairs of named datasets of accepted nested events, made inside the event's row.
-
-    ``links`` holds the column pairs the output's facet draws from this input, by the input's own
-    name; an output without facet has none.
-    """
-    ins = F.posexplode("inputs").alias("in_pos0", "source")
-    outs = F.posexplode("outputs").alias("out_pos0", "target")
-    links = F.flatten(
+def _facet_fields(facet: Column) -> Column:
+    """Column facet as one flat list of (in_name, from_column, to_column); none gives an empty list."""
+    fields = F.flatten(
         F.transform(
-            F.map_entries("target.column_lineage"),
+            F.map_entries(facet),
             lambda entry: F.transform(
-                F.filter(entry["value"], lambda field: field["name"] == F.col("source.name")),
-                lambda field: F.struct(field["field"].alias("from_column"), entry["key"].alias("to_column")),
+                entry["value"],
+                lambda field: F.named_struct(
+                    F.lit("in_name"), field["name"],
+                    F.lit("from_column"), field["field"],
+                    F.lit("to_column"), entry["key"],
+                ),
             ),
         )
     )
-    none = F.array().cast("array<struct<from_column:string,to_column:string>>")
+    return F.coalesce(fields, F.array().cast("array<struct<in_name:string,from_column:string,to_column:string>>"))
+
+
+def dataset_pairs(events: DataFrame) -> DataFrame:
+    """Pairs of named datasets of accepted nested events, made inside the event's row.
+
+    ``links`` holds the facet fields of the output that draw on this input, by the input's own name.
+    Outputs come apart first and leave only names behind, so their facets are not copied per pair.
+    """
     keep = ["event_id", "event_time", "run_id"]
     return (
         accepted_events(events)
-        .select(*keep, ins, "outputs")
-        .where(_has_name(F.col("source")))
-        .select(*keep, "in_pos0", "source", _name(F.col("source")).alias("from_name"), outs)
+        .select(*keep, "inputs", F.posexplode("outputs").alias("out_pos0", "target"))
         .where(_has_name(F.col("target")))
         .select(
             *keep,
-            (F.col("in_pos0") + 1).cast("bigint").alias("in_pos"),
             (F.col("out_pos0") + 1).cast("bigint").alias("out_pos"),
-            "from_name",
             _name(F.col("target")).alias("to_name"),
-            F.coalesce(links, none).alias("links"),
+            _facet_fields(F.col("target.column_lineage")).alias("fields"),
+            F.posexplode("inputs").alias("in_pos0", "source"),
+        )
+        .where(_has_name(F.col("source")))
+        .select(
+            *keep,
+            (F.col("in_pos0") + 1).cast("bigint").alias("in_pos"),
+            "out_pos",
+            _name(F.col("source")).alias("from_name"),
+            "to_name",
+            F.filter("fields", lambda field: field["in_name"] == F.col("source.name")).alias("links"),
         )
     )

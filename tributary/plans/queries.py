@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import documents, names, settings
 from tributary.functions.names import service_list
-from tributary.operators import edges, events, executions, lookup
+from tributary.operators import edges, events, executions, jobs, lookup
 from tributary.operators import settings as conf
 from tributary.plans import fixtures
 from tributary.plans.scratch import scratch_folder
@@ -204,25 +204,18 @@ def edge_documents(spark: SparkSession, sf: str) -> DataFrame:
         fixtures.nested_events(spark, sf), _index(spark, sf), fixtures.catalog(spark, sf)
     ).withColumn("columns", edges.column_set(F.col("column_pairs")))
     current = edges.upsert(found.drop("column_pairs", "from_name", "to_name"))
-    jobs = fixtures.job_entities(spark, sf).select("job_key", "job_id")
-    stamped = current.withColumn("job_key", F.col("run_id") % 10).join(jobs, "job_key")
-    document = documents.edge_document(*[F.col(c) for c in (*edges.EDGE_KEY, "job_id", "columns")])
-    return stamped.select("from_id", "to_id", document.alias("document"))
+    keyed = current.withColumn("job_key", F.col("run_id") % 10)
+    return jobs.edge_documents(jobs.stamp_jobs(keyed, fixtures.job_entities(spark, sf)))
 
 
 @query
 def job_entity_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """One document per job name, the greatest row where a name has several."""
-    parts = ["source_url", "description", "service"]
-    jobs = fixtures.job_entities(spark, sf).groupBy("name").agg(F.max(F.struct(*parts)).alias("job"))
-    document = documents.job_document(F.col("name"), *[F.col("job")[p] for p in parts])
-    return jobs.select("name", document.alias("document"))
+    return jobs.job_documents(fixtures.job_entities(spark, sf))
 
 
 @query
 def service_documents(spark: SparkSession, sf: str) -> DataFrame:
-    services = fixtures.job_entities(spark, sf).select("service").distinct()
-    return services.withColumn("document", documents.service_document(F.col("service")))
+    return jobs.service_documents(fixtures.job_entities(spark, sf))
 
 
 @query
