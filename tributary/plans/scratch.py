@@ -1,4 +1,4 @@
-"""Where streams keep their checkpoints and tables during a run."""
+"""Where jobs keep tables, checkpoints and streams during a run."""
 
 from __future__ import annotations
 
@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared ``spark.checkpoint.dir``; only where the session names none, as in
-    tests, a temporary one of this machine."""
+    """A new folder below the shared ``spark.checkpoint.dir``. Only a session on one machine, as in tests,
+    may leave that setting out and gets a temporary folder; a cluster without it is an error."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        return tempfile.mkdtemp(prefix=f"{name}-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if shared:
+        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    master = spark.sparkContext.master
+    if master.split("[")[0] != "local":
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
+    return tempfile.mkdtemp(prefix=f"{name}-")
