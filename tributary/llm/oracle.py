@@ -22,3 +22,36 @@ SELECT page_id, host, path, rule,
        COALESCE(rule_verdict, CASE WHEN regexp_matches(host, '(^|[.-])(ads|bets|casino|pills|spam)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
 FROM split LEFT JOIN hits USING (page_id)
 """
+
+ORACLE_SQL["op2_quality_rules"] = r"""
+WITH d AS (SELECT doc_id, source, COALESCE(text, '') AS text FROM documents),
+w AS (SELECT doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+windows AS (
+  SELECT doc_id, i, list_aggregate(ws[i:i + 4], 'string_agg', ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM w WHERE len(ws) >= 5) x),
+twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows) x WHERE n > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(generate_series(0, 4)) AS k) t GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) x
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, w.source, len(ws)::BIGINT AS n_words,
+         COALESCE(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         COALESCE(lines.n, 0)::BIGINT AS n_dup_lines, COALESCE(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS f FROM b WHERE source IS NOT NULL GROUP BY source),
+t AS (SELECT sum(n) AS all_n, count(*) AS hosts, sum(f) / sum(n) AS mean, sum(f * f / n) / sum(n) AS square FROM h),
+p AS (
+  SELECT mean, CASE WHEN square - mean * mean - mean * (1 - mean) * hosts / all_n > 1e-9
+                    THEN greatest(mean * (1 - mean) / (square - mean * mean - mean * (1 - mean) * hosts / all_n) - 1, 1)
+                    ELSE 1e6 END AS k FROM t),
+r AS (SELECT source, (f + mean * k) / (n + k) AS rate FROM h, p)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT COALESCE(rate > 0.5, false) AS kept
+FROM b LEFT JOIN r USING (source)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import url_filter
+from tributary.llm import mixing, quality_rules, sharding, url_filter
 from tributary.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,3 +24,24 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     entries = url_filter.rule_entries(spark).unionByName(url_filter.listed_hosts(pages))
     return url_filter.judge(pages, entries)
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's measures and verdict, its host's failure rate included."""
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words the mix takes from it."""
+    mixed = mixing.copies(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 40 shards of equal counts, copies together."""
+    return sharding.assign(table(spark, sf_dir, "documents")).drop("community")
