@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import mixing, quality_rules, sharding, url_filter
+from tributary.llm import mixing, quality_rules, sharding, simhash_dedup, url_filter
 from tributary.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +45,9 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards of equal counts, copies together."""
     return sharding.assign(table(spark, sf_dir, "documents")).drop("community")
+
+
+@query
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the component its links put it in."""
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
