@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import mixing, quality_rules, sharding, simhash_dedup, url_filter
+from tributary.llm import mil_quality, mixing, quality_rules, sharding, simhash_dedup, url_filter
 from tributary.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and the component its links put it in."""
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    return mil_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
