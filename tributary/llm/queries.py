@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import mil_quality, mixing, quality_rules, sharding, simhash_dedup, url_filter
+from tributary.llm import mil_quality, mixing, pii, quality_rules, sharding, simhash_dedup, url_filter
 from tributary.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,9 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score."""
     return mil_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data, with the terms that disclose it."""
+    return pii.report(table(spark, sf_dir, "documents"))
