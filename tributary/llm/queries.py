@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import mil_quality, mixing, pii, quality_rules, sharding, simhash_dedup, url_filter
+from tributary.llm import (
+    mil_quality,
+    mixing,
+    pii,
+    quality_rules,
+    sharding,
+    simhash_dedup,
+    token_counts,
+    url_filter,
+)
 from tributary.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +72,9 @@ def op3_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's personal data, with the terms that disclose it."""
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of pieces."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
