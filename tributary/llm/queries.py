@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tributary.llm import (
     mil_quality,
     mixing,
     pii,
     quality_rules,
+    sentencepiece_lattice,
     sharding,
     simhash_dedup,
     token_counts,
@@ -78,3 +80,13 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's number of pieces."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and whether they decode to its text."""
+    encoded = sentencepiece_lattice.encode(table(spark, sf_dir, "documents"))
+    return sentencepiece_lattice.decode(encoded).select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
+        (F.crc32("text") == F.col("text_crc32")).alias("round_trip"),
+    )
