@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tributary.llm import (
     mil_quality,
     mixing,
+    norm_topk,
     pii,
     quality_rules,
     sentencepiece_lattice,
@@ -90,3 +91,9 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
         (F.crc32("text") == F.col("text_crc32")).alias("round_trip"),
     )
+
+
+@query
+def op7_norm_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors of every fiftieth."""
+    return norm_topk.top_k(table(spark, sf_dir, "embeddings"))
