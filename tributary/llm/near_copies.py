@@ -1,0 +1,158 @@
+"""One document of each group of near copies, by SimHash classes and a check of the shingles.
+
+A near copy shares a similarity (Jaccard) of 0.8 or more of its five-word shingles. One SimHash of all
+shingles differs in ten bits or so at that similarity, too many to be probed for; so a text has ``VIEWS``
+fingerprints, each the SimHash of the ``KEPT`` shingles that are smallest under the view's permutation. Two
+texts of similarity s share a view's sample with s^3: at 0.8 some view of eight with 99.7 percent. The
+fingerprints are linked by the generalised pigeonhole operator of ``simhash_dedup``, and the texts of a class
+are compared by their whole shingle sets.
+
+A class is never paired out: in round r its remaining texts meet 2^r leaders (the least of 2^r hash slots);
+texts found similar to a leader, and the leaders, are done. So a class of copies takes one comparison each,
+and a class of different texts log-many rounds. A text that is similar only to one already assigned may stay
+as a document of its own.
+
+Defined results: equal texts are one node whatever their number, null equals empty; of a group the row with
+the smallest doc_id stays (null last), and one of several rows with that doc_id and text.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tributary.llm import graph, simhash_dedup
+from tributary.llm.common import stored
+from tributary.llm.shingles import hashes, simhash
+
+WORDS = 5
+SIMILARITY = 0.8
+VIEWS = 8
+KEPT = 3
+_MIX = np.uint64(0xFF51AFD7ED558CCD)
+
+
+def text_key(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def views(hashed: np.ndarray) -> list[int]:
+    """The fingerprints of a text's samples; none without words."""
+    if not len(hashed):
+        return []
+    distinct, out = np.unique(hashed), []
+    for view in range(VIEWS):
+        mixed = (distinct ^ np.uint64(view * 0x9E3779B97F4A7C15 & (2**64 - 1))) * _MIX
+        mixed ^= mixed >> np.uint64(33)
+        mixed *= _MIX
+        order = np.argpartition(mixed, KEPT - 1)[:KEPT] if len(mixed) > KEPT else np.arange(len(mixed))
+        # an odd number of hashes, so that every bit has a majority of its own
+        chosen = np.sort(mixed[order])
+        out.append(simhash(chosen if len(chosen) % 2 else chosen[:1]))
+    return out
+
+
+def _sketched(docs: DataFrame) -> DataFrame:
+    """(key, doc_id, fps) for every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = [views(hashes(x.as_py(), WORDS)) for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), batch.column("doc_id"), pa.array(fps, pa.list_(pa.int64()))],
+                names=["key", "doc_id", "fps"],
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    keyed = docs.select(text_key(F.col("text")).alias("key"), "doc_id", "text")
+    return keyed.mapInArrow(run, f"key string, doc_id {kind}, fps array<long>")
+
+
+def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, shingles): the sorted distinct shingle hashes of the texts named by ``keys`` (key, doc_id)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(hashes(x.as_py(), WORDS)).tobytes() for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], names=["key", "shingles"])
+
+    wanted = keys.select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"))
+    keyed = docs.select(text_key(F.col("text")).alias("key"), "doc_id", "text")
+    chosen = keyed.join(wanted, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return chosen.select("key", "text").mapInArrow(run, "key string, shingles binary").dropDuplicates(["key"])
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The (a, b) pairs whose shingle sets are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column("a_set"), batch.column("b_set"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (a, b))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both >= similarity * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good))
+
+    left = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("a_set")), "a")
+    both = left.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("b_set")), "b")
+    return both.select("a", "b", "a_set", "b_set").mapInArrow(run, "a string, b string")
+
+
+def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b) keys of similar texts, enough to connect each class's texts with their leaders."""
+    rows = nodes.select("key", F.posexplode("fps").alias("view", "fp"))
+    fps = stored(rows.select("fp").distinct(), "view-fingerprints")
+    classed = rows.join(simhash_dedup.classes(fps), "fp").select("key", "view", "class")
+    shared = classed.groupBy("view", "class").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    left = stored(classed.join(shared, ["view", "class"]), "shared-classes")
+    involved = nodes.select("key", "doc_id").join(left.select("key").distinct(), "key", "left_semi")
+    sets = stored(_shingle_sets(docs, involved), "shingle-sets")
+    found, turn = [], 0
+    while not left.isEmpty():
+        slot = F.pmod(F.xxhash64("key", "view"), F.lit(2**turn))
+        leaders = stored(
+            left.withColumn("slot", slot).groupBy("view", "class", "slot").agg(F.min("key").alias("leader")).drop("slot"), "leaders"
+        )
+        met = left.join(leaders, ["view", "class"]).where("key <> leader")
+        pairs = met.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
+        similar = stored(_similar(pairs, sets, similarity), "similar-pairs")
+        found.append(similar)
+        linked = met.select("view", "class", "key", F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).join(
+            similar, ["a", "b"]).select("view", "class", "key")
+        done = linked.unionAll(leaders.select("view", "class", F.col("leader").alias("key"))).distinct()
+        rest = left.join(done, ["view", "class", "key"], "left_anti")
+        alone = rest.groupBy("view", "class").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+        left, turn = stored(rest.join(alone, ["view", "class"]), "shared-classes"), turn + 1
+    none = nodes.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
+    return reduce(DataFrame.unionAll, found, none)
+
+
+def groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(key, doc_id, rows, root): every distinct text with its smallest doc_id, the rows that have both, and its group."""
+    sketched = stored(_sketched(docs), "sketches")
+    by_id = sketched.groupBy("key", "doc_id").agg(F.first("fps").alias("fps"), F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n", "fps"))
+    nodes = stored(by_id.groupBy("key").agg(first.alias("x")).select("key", "x.doc_id", "x.n", "x.fps"), "texts")
+    roots = graph.components(links(docs, nodes, similarity))
+    return nodes.join(roots, nodes["key"] == roots["node"], "left").select(
+        "key", "doc_id", F.col("n").alias("rows"), F.coalesce("root", "key").alias("root")
+    )
+
+
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each group."""
+    grouped = groups(docs, similarity)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "rows")).alias("x")
+    kept = stored(grouped.groupBy("root").agg(least).select(F.col("x.key").alias("_key"), F.col("x.doc_id").alias("_id"), F.col("x.rows").alias("_rows")), "kept")
+    keyed = docs.withColumn("_text_key", text_key(F.col("text")))
+    stay = keyed.join(kept, (F.col("_text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    if kept.where("_rows > 1").isEmpty():
+        return stay.select(docs.columns)
+    once = stay.where("_rows = 1").select(docs.columns)
+    return once.unionAll(stay.where("_rows > 1").dropDuplicates(["_text_key", "doc_id"]).select(docs.columns))
