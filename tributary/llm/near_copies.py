@@ -7,7 +7,8 @@ texts of similarity s share a view's sample with s^3: at 0.8 some view of eight
 fingerprints are linked by the generalised pigeonhole operator of ``simhash_dedup``, and the texts of a class
 are compared by their whole shingle sets.
 
-A class is never paired out: in round r its remaining texts meet 2^r leaders (the least of 2^r hash slots);
+A class is never paired out: in round r its remaining texts meet 2^r leaders (the least hash of 2^r slots, drawn
+anew for each view);
 texts found similar to a leader, and the leaders, are done. So a class of copies takes one comparison each,
 and a class of different texts log-many rounds. A text that is similar only to one already assigned may stay
 as a document of its own.
@@ -115,10 +116,10 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) ->
     sets = stored(_shingle_sets(docs, involved), "shingle-sets")
     found, turn = [], 0
     while not left.isEmpty():
-        slot = F.pmod(F.xxhash64("key", "view"), F.lit(2**turn))
-        leaders = stored(
-            left.withColumn("slot", slot).groupBy("view", "class", "slot").agg(F.min("key").alias("leader")).drop("slot"), "leaders"
-        )
+        drawn = F.xxhash64("key", "view")  # so that each view has other leaders
+        slotted = left.withColumn("slot", F.pmod(drawn, F.lit(2**turn)))
+        least = F.min(F.struct(drawn.alias("drawn"), "key"))["key"].alias("leader")
+        leaders = stored(slotted.groupBy("view", "class", "slot").agg(least).drop("slot"), "leaders")
         met = left.join(leaders, ["view", "class"]).where("key <> leader")
         pairs = met.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
         similar = stored(_similar(pairs, sets, similarity), "similar-pairs")
