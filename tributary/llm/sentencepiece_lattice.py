@@ -48,8 +48,8 @@ def piece_table(spark, vocabulary: pieces.Vocabulary) -> DataFrame:
 
 
 def edges(words: DataFrame, vocabulary: pieces.Vocabulary) -> DataFrame:
-    """(word, start, end, score, ids): every piece in every word, and the bytes of characters without one.
-    Other columns of ``words`` stay on one edge of a word and are null on the others."""
+    """(word, start, end, score, id): every piece in every word, and characters without one (id -1). Other
+    columns of ``words`` stay on one edge of a word and are null on the others."""
     others = [c for c in words.columns if c != "word"]
     table = F.broadcast(piece_table(words.sparkSession, vocabulary))
     size = F.length("word")
@@ -60,41 +60,43 @@ def edges(words: DataFrame, vocabulary: pieces.Vocabulary) -> DataFrame:
     found = spans.withColumn("piece", F.substring("word", F.col("start") + 1, F.col("n"))).join(table, "piece", "left").where(
         F.col("id").isNotNull() | (F.col("n") == 1)
     )
-    byte_ids = F.array(*map(F.lit, vocabulary.byte_ids))
-    code = lambda j: F.conv(F.substring(F.hex("piece"), 2 * j - 1, F.lit(2)), 16, 10).cast("int")
-    as_bytes = F.transform(F.sequence(F.lit(1), F.octet_length("piece")), lambda j: F.element_at(byte_ids, code(j) + 1))
     return found.select(
         "word", "start", (F.col("start") + F.col("n")).alias("end"),
-        F.coalesce("score", F.lit(vocabulary.unknown_score)).alias("score"),
-        F.when(F.col("id").isNotNull(), F.array("id")).otherwise(as_bytes).alias("ids"),
+        F.coalesce("score", F.lit(vocabulary.unknown_score)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id"),
         *[F.when(one, F.col(c)).alias(c) for c in others],
     )
 
 
 def arrivals(lattice: Column) -> Column:
-    """The best arrival (score, start, ids) at each place of a word, from its edges sorted by end and start:
+    """The best arrival (score, start, id) at each place of a word, from its edges sorted by end and start:
     an edge adds its place or, if strictly better, replaces the arrival there."""
-    kind = "array<struct<score:double,start:int,ids:array<int>>>"
 
     def step(best: Column, edge: Column) -> Column:
         total = F.get(best, edge["start"])["score"] + edge["score"]
-        arrival = F.array(F.struct(total.alias("score"), edge["start"].alias("start"), edge["ids"].alias("ids")))
+        arrival = F.array(F.struct(total.alias("score"), edge["start"].alias("start"), edge["id"].alias("id")))
         return (
             F.when(F.size(best) == edge["end"], F.concat(best, arrival))
             .when(F.get(best, edge["end"])["score"] < total, F.concat(F.slice(best, F.lit(1), edge["end"]), arrival))
             .otherwise(best)
         )
 
-    first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.array().cast("array<int>").alias("ids")))
-    return F.aggregate(lattice, first.cast(kind), step)
+    first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(-1).alias("start"), F.lit(-1).alias("id")))
+    return F.aggregate(lattice, first.cast("array<struct<score:double,start:int,id:int>>"), step)
+
 
+def way_back(word: Column, places: Column, vocabulary: pieces.Vocabulary) -> Column:
+    """The ids of the best path, from the arrivals; a character without a piece gives those of its bytes."""
+    byte_ids = F.array(*map(F.lit, vocabulary.byte_ids))
 
-def way_back(places: Column) -> Column:
-    """The ids of the best path, from the arrivals."""
+    def as_bytes(start: Column) -> Column:
+        digits = F.hex(F.substring(word, start + 1, F.lit(1)))
+        code = lambda j: F.conv(F.substring(digits, 2 * j - 1, F.lit(2)), 16, 10).cast("int")
+        return F.transform(F.sequence(F.lit(1), (F.length(digits) / 2).cast("int")), lambda j: F.element_at(byte_ids, code(j) + 1))
 
     def back(way: Column, _: Column) -> Column:
         here = F.get(places, way["at"])
-        longer = F.struct(here["start"].alias("at"), F.concat(here["ids"], way["ids"]).alias("ids"))
+        ids = F.when(here["id"] >= 0, F.array(here["id"])).otherwise(as_bytes(here["start"]))
+        longer = F.struct(here["start"].alias("at"), F.concat(ids, way["ids"]).alias("ids"))
         return F.when(way["at"] > 0, longer).otherwise(way)
 
     start = F.struct((F.size(places) - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
@@ -104,12 +106,12 @@ def way_back(places: Column) -> Column:
 def encode_words(words: DataFrame, vocabulary: pieces.Vocabulary) -> DataFrame:
     """``words`` with ``ids``: distinct, not empty, of up to ``LONG`` characters."""
     others = [c for c in words.columns if c != "word"]
-    edge = F.struct("end", "start", "score", "ids")
+    edge = F.struct("end", "start", "score", "id")
     lattices = edges(words, vocabulary).groupBy("word").agg(
         F.sort_array(F.collect_list(edge)).alias("lattice"), *[F.first(c, ignorenulls=True).alias(c) for c in others]
     )
     reached = lattices.select("word", *others, arrivals(F.col("lattice")).alias("places"))
-    return reached.select("word", *others, way_back(F.col("places")).alias("ids"))
+    return reached.select("word", *others, way_back(F.col("word"), F.col("places"), vocabulary).alias("ids"))
 
 
 # Documents
@@ -164,7 +166,8 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
         return pa.table({"part": pa.array([table.column("part")[0].as_py()] * len(short), pa.int32()), "word": pa.array(short, pa.string())})
 
     words = packed.groupBy("part").applyInArrow(words_of, "part int, word string")
-    asking = words.groupBy("word").agg(F.collect_list("part").alias("parts"))  # a word's groups, not its documents
+    # a word's groups, not its documents; in partitions small enough for their edges to stay in memory
+    asking = words.repartition(4 * groups, "word").groupBy("word").agg(F.collect_list("part").alias("parts"))
     dictionary = encode_words(asking, vocabulary).select(F.explode("parts").alias("part"), "word", "ids")
 
     def put_together(texts: pa.Table, entries: pa.Table) -> pa.Table:
