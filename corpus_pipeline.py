@@ -16,8 +16,7 @@ from tributary.llm.common import stored
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a score of 0.7 or more stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = mil_quality.score(docs, mil_quality.train(docs, labels))
-    return scored.where(F.col("_score") >= mil_quality.THRESHOLD).select(docs.columns)
+    return mil_quality.keep_good(docs, labels)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,6 +25,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """A row as one struct ``doc``, so that an operator's own columns never clash with the table's."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+
+
+def row_columns(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` out of ``doc``, some of them changed."""
+    return [changed[c].alias(c) if c in changed else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]
+
+
 def n_words(text: str | Column) -> Column:
     """Words of a text, none for null."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

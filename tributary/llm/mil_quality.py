@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.llm.common import row_columns, whole_row
+
 PASSAGE = 64
 MAX_TRAIN = 4000
 THRESHOLD = 0.7
@@ -244,7 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dic
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
-    """All columns of ``docs`` with ``_score`` added; needs a column ``text``."""
+    """(doc, score) for every row: the row as a struct, and its score; needs a column ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,12 +262,11 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                         scores += _scores(model, waiting)
                         waiting, size = [], 0
                 scores += _scores(model, waiting)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "_score"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(scores, pa.float64())], names=["doc", "score"])
 
-    shape = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
-    return docs.mapInArrow(run, shape)
+    rows = docs.select(whole_row(docs), "text")
+    shape = T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, shape)
 
 
 def _scores(model: dict, waiting: list[np.ndarray]) -> list[float]:
@@ -277,8 +278,15 @@ def _scores(model: dict, waiting: list[np.ndarray]) -> list[float]:
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_train: int = MAX_TRAIN) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row."""
-    scored = score(docs.select("doc_id", "text"), train(docs, labels, max_train))
+    model = train(docs, labels, max_train)
+    scored = score(docs.select("doc_id", "text"), model).select("doc.doc_id", "score")
     return scored.select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"),
-        (F.col("_score") >= threshold).cast("int").alias("predicted"),
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_train: int = MAX_TRAIN) -> DataFrame:
+    """The rows of ``docs`` with a score of ``threshold`` or more."""
+    scored = score(docs, train(docs, labels, max_train)).where(F.col("score") >= threshold)
+    return scored.select(row_columns(docs))

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import n_words, stored
+from tributary.llm.common import n_words, row_columns, stored, whole_row
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -158,15 +158,14 @@ def copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float =
 def mix(docs: DataFrame, **parameters) -> DataFrame:
     """The documents themselves, each row as many times as it has copies, with the input's columns."""
     taken = copies(docs, **parameters).groupBy("doc_id", "source", "size").agg(
-        F.sum("copies").alias("_sum"), F.count("*").alias("_rows")
-    ).select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-             "_sum", "_rows")
-    keyed = docs.withColumn("_words", n_words("text"))
+        F.sum("copies").alias("sum"), F.count("*").alias("rows")
+    )
+    keyed = docs.select(whole_row(docs), n_words("text").alias("words"))
     joined = keyed.join(
         taken,
-        keyed["doc_id"].eqNullSafe(F.col("_id")) & keyed["source"].eqNullSafe(F.col("_source"))
-        & (keyed["_words"] == F.col("_size")),
+        F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & F.col("doc.source").eqNullSafe(F.col("source"))
+        & (F.col("words") == F.col("size")),
     )
     # rows that repeat one doc_id share its copies evenly, rounded up: a single row gets its own
-    each = F.ceil(F.col("_sum") / F.col("_rows")).cast("int")
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), each))).select(*docs.columns)
+    each = F.ceil(F.col("sum") / F.col("rows")).cast("int")
+    return joined.select("doc", F.explode(F.array_repeat(F.lit(0), each)).alias("copy")).select(row_columns(docs))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm import graph, simhash_dedup
-from tributary.llm.common import stored
+from tributary.llm.common import row_columns, stored, whole_row
 from tributary.llm.shingles import hashes, simhash
 
 WORDS = 5
@@ -150,10 +150,10 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay: one of each group."""
     grouped = groups(docs, similarity)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "rows")).alias("x")
-    kept = stored(grouped.groupBy("root").agg(least).select(F.col("x.key").alias("_key"), F.col("x.doc_id").alias("_id"), F.col("x.rows").alias("_rows")), "kept")
-    keyed = docs.withColumn("_text_key", text_key(F.col("text")))
-    stay = keyed.join(kept, (F.col("_text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    if kept.where("_rows > 1").isEmpty():
-        return stay.select(docs.columns)
-    once = stay.where("_rows = 1").select(docs.columns)
-    return once.unionAll(stay.where("_rows > 1").dropDuplicates(["_text_key", "doc_id"]).select(docs.columns))
+    kept = stored(grouped.groupBy("root").agg(least).select("x.key", "x.doc_id", "x.rows"), "kept")
+    keyed = docs.select(whole_row(docs), text_key(F.col("text")).alias("text_key"))
+    stay = keyed.join(kept, (F.col("text_key") == F.col("key")) & F.col("doc.doc_id").eqNullSafe(F.col("doc_id")))
+    once = stay.where("rows = 1").select("doc")
+    if not kept.where("rows > 1").isEmpty():
+        once = once.unionAll(stay.where("rows > 1").dropDuplicates(["key", "doc_id"]).select("doc"))
+    return once.select(row_columns(docs))

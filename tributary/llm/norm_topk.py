@@ -85,8 +85,8 @@ def rotation(rows: DataFrame, dims: int) -> np.ndarray:
     matrix = np.zeros((len(sample), dims))
     for i, v in enumerate(sample):
         matrix[i, :len(v)] = v
-    _, _, right = np.linalg.svd(matrix, full_matrices=True)
-    return right.T
+    _, right = np.linalg.eigh(matrix.T @ matrix)  # a matrix of dims x dims, whatever the sample
+    return right[:, ::-1]
 
 
 def block_best(q_ids, q, v_ids, v, beat, turn, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

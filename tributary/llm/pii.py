@@ -19,7 +19,6 @@ null included.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
@@ -28,8 +27,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tributary.llm.common import stored
+from tributary.llm.common import row_columns, stored, whole_row
 
 #: Fixed order of the kinds.
 KINDS = ["email", "ip", "card", "phone", "term"]
@@ -222,31 +222,24 @@ def cleared(text: str) -> str:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """The documents with their spans generalised or removed; the columns of ``docs``, ``n_chars`` renewed if it is one."""
-    found = find(docs).where((F.size("spans") > 0) | F.col("terms").isNotNull()).select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("spans").alias("_spans"), F.col("terms").alias("_terms")
-    ).dropDuplicates(["_id", "_row"])
-    joined = docs.withColumn("_key", row_key()).join(
-        found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_row")), "left"
-    ).drop("_id", "_key", "_row")
+    found = find(docs).where((F.size("spans") > 0) | F.col("terms").isNotNull()).dropDuplicates(["doc_id", "row"])
+    rows = docs.select(whole_row(docs), "text", row_key().alias("key"))
+    joined = rows.join(
+        found, F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("row")), "left"
+    ).select("doc", "text", "spans", "terms")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, spans, terms in zip(*(batch.column(c).to_pylist() for c in ("text", "_spans", "_terms")), strict=True):
+            for text, spans, terms in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "terms")), strict=True):
                 cut = [(s["start"], s["end"], GENERAL[KINDS[s["kind"]]]) for s in spans or []]
                 cut += [(t["start"], t["end"], "" if t["removed"] else GENERAL["term"]) for t in terms or []]
                 texts.append(cleared(masked(text, cut)) if cut else text)
-            kept = [n for n in batch.schema.names if n not in ("_spans", "_terms")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in kept], names=kept
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string())], names=["doc", "text"])
 
-    clean = joined.mapInArrow(run, docs.schema)
+    clean = joined.mapInArrow(run, T.StructType([joined.schema["doc"], T.StructField("text", T.StringType())]))
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        clean = clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(kind))
-    return clean.select(docs.columns)
-
-
-def sha256_of(spans: list[tuple[int, int, int]]) -> str:
-    return hashlib.sha256(",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in spans).encode()).hexdigest()
+        counted = F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("doc.n_chars"))
+        changed["n_chars"] = counted.cast(docs.schema["n_chars"].dataType)
+    return clean.select(row_columns(docs, **changed))
