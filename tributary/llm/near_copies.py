@@ -13,7 +13,8 @@ texts found similar to a leader, and the leaders, are done. So a class of copies
 and a class of different texts log-many rounds. A text that is similar only to one already assigned may stay
 as a document of its own.
 
-Defined results: equal texts are one node whatever their number, null equals empty; of a group the row with
+Defined results: equal texts are one node whatever their number, null equals empty, and all texts without
+words are copies of one another; of a group the row with
 the smallest doc_id stays (null last), and one of several rows with that doc_id and text.
 """
 
@@ -43,9 +44,9 @@ def text_key(text: Column) -> Column:
 
 
 def views(hashed: np.ndarray) -> list[int]:
-    """The fingerprints of a text's samples; none without words."""
+    """The fingerprints of a text's samples; zeros without words."""
     if not len(hashed):
-        return []
+        return [0] * VIEWS
     distinct, out = np.unique(hashed), []
     for view in range(VIEWS):
         mixed = (distinct ^ np.uint64(view * 0x9E3779B97F4A7C15 & (2**64 - 1))) * _MIX
