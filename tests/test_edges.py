@@ -84,6 +84,38 @@ def test_gate_and_rejects(read):
     assert {r.event_id for r in events.accepted_events(frame).collect()} == {1, 2, 9, 12}
 
 
+BROKEN = dataset("x", symlinks=[{"namespace": None, "name": "x"}])
+
+
+@pytest.mark.parametrize(
+    ("inputs", "outputs", "expected"),
+    [
+        ([dataset("db.a"), BROKEN], [dataset("db.b")], {("a", "b")}),
+        ([dataset("db.a")], [dataset("db.b"), BROKEN], {("a", "b")}),
+        ([BROKEN, dataset("db.a")], [dataset("db.b")], set()),
+        ([dataset(None), dataset("db.a"), dataset("db.b")], [dataset("db.b"), BROKEN, dataset("db.a")], {("a", "b")}),
+        ([dataset("db.a"), dataset("db.b"), BROKEN, dataset("db.a")], [dataset("db.b"), dataset("db.a")],
+         {("a", "b"), ("a", "a"), ("b", "b"), ("b", "a")}),
+        ([dataset(None), BROKEN], [BROKEN], set()),
+    ],
+)
+def test_edges_before_a_broken_dataset_stay(read, catalog, inputs, outputs, expected):
+    frame = read([event(1, inputs=inputs, outputs=outputs)])
+    assert {(r.from_id, r.to_id) for r in column_edges(frame, catalog).collect()} == expected
+    refs = events.sent_refs(events.to_long(frame).where("namespace IS NOT NULL OR name IS NOT NULL"))
+    long = edges.table_edges(frame.select("event_id"), refs, lookup_index(catalog))
+    assert {(r.from_id, r.to_id) for r in long.collect()} == expected
+    assert {r.reason for r in events.rejected_events(frame).collect()} == {"null_symlink_namespace"}
+
+
+def test_events_without_an_id_are_rejected_with_a_reason(read, catalog):
+    frame = read([event(None, inputs=[dataset("db.a")], outputs=[dataset("db.b")])])
+    assert [r.reason for r in events.rejected_events(frame).collect()] == ["null_event_id"]
+    assert column_edges(frame, catalog).count() == 0
+    refs = events.to_long(frame)
+    assert edges.table_edges(frame.select("event_id"), refs, lookup_index(catalog)).count() == 0
+
+
 def test_column_pairs_bag_and_set(read, catalog):
     frame = read([event(1, inputs=[dataset("db.a"), dataset("/c", "s3a://bucket")], outputs=[dataset("db.b", columns=LINEAGE)])])
     got = {(r.from_id, r.to_id): r for r in column_edges(frame, catalog).withColumn("set", edges.column_set(F.col("column_pairs"))).collect()}

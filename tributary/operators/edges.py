@@ -14,7 +14,9 @@ from tributary.operators.events import (
     distinct_names,
     name_counts,
     named,
+    named_sides,
     pair_sides,
+    side_names,
 )
 from tributary.operators.lookup import first_hits, with_columns
 from tributary.operators.skew import sliced_join
@@ -48,20 +50,14 @@ def table_edges(events: DataFrame, refs: DataFrame, index: DataFrame) -> DataFra
     )
 
 
-def pair_names(pairs: DataFrame) -> DataFrame:
-    both = F.explode(F.array("from_name", "to_name")).alias("table_name")
-    return pairs.select(both).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+def _known_links(links: Column, columns: str, column: str) -> Column:
+    return F.filter(links, lambda link: F.array_contains(F.col(columns), link[column]))
 
 
 def _column_pairs(links: Column, source: str, target: str) -> Column:
-    """Links whose two columns exist, as (fromColumns, toColumn) with full names; duplicates stay."""
-    known = F.filter(
-        links,
-        lambda link: F.array_contains(F.col(source + "columns"), link["from_column"])
-        & F.array_contains(F.col(target + "columns"), link["to_column"]),
-    )
+    """Links as (fromColumns, toColumn) with full names; duplicates stay."""
     return F.transform(
-        known,
+        links,
         lambda link: F.struct(
             F.array(column_fqn(F.col(source + "fqn"), link["from_column"])).alias("fromColumns"),
             column_fqn(F.col(target + "fqn"), link["to_column"]).alias("toColumn"),
@@ -70,9 +66,13 @@ def _column_pairs(links: Column, source: str, target: str) -> Column:
 
 
 def column_edges(events: DataFrame, index: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Edges of nested events, each with the bag of its column pairs in ``column_pairs``."""
-    pairs = dataset_pairs(events)
-    names = pair_names(pairs)
+    """Edges of nested events, each with the bag of its column pairs in ``column_pairs``.
+
+    A link stays if both its columns exist. Each end tests its own column right after its join, so that no
+    list of columns is shuffled with the pairs.
+    """
+    sides = named_sides(events)
+    names = side_names(sides)
     entities = with_columns(first_hits(distinct_names(names), index), catalog)
 
     def end(prefix: str) -> DataFrame:
@@ -85,11 +85,13 @@ def column_edges(events: DataFrame, index: DataFrame, catalog: DataFrame) -> Dat
         )
 
     spread = ["event_id", "in_pos", "out_pos"]
-    joined = pairs
-    for prefix in ("from_", "to_"):
+    joined = dataset_pairs(sides)
+    for prefix, column in (("from_", "from_column"), ("to_", "to_column")):
         name = prefix + "name"
         counts = names.withColumnRenamed("table_name", name)
-        joined = sliced_join(joined, end(prefix), [name], spread, counts)
+        joined = sliced_join(joined, end(prefix), [name], spread, counts).withColumn(
+            "links", _known_links(F.col("links"), prefix + "columns", column)
+        ).drop(prefix + "columns")
     return joined.select(
         "event_id", "event_time", "run_id", "in_pos", "out_pos", *EDGE_KEY, "from_name", "to_name",
         _column_pairs(F.col("links"), "from_", "to_").alias("column_pairs"),

@@ -40,16 +40,18 @@ def _broken_symlink(dataset: Column) -> Column:
 
 
 def reject_reason() -> Column:
-    """Why a nested event cannot be handled; null if it can.
+    """Why a nested event cannot be handled, or not to its end; null if it can.
 
     Outputs are only looked at once an input has a name, so a broken output symlink does no harm
-    in an event without named inputs.
+    in an event without named inputs. What was sent before a broken symlink stays sent: see
+    ``dataset_pairs``.
     """
     broken = F.exists("inputs", _broken_symlink) | (
         F.exists("outputs", _broken_symlink) & F.exists("inputs", _has_name)
     )
     return (
-        F.when(F.col("event_type").isNull(), "null_type")
+        F.when(F.col("event_id").isNull(), "null_event_id")
+        .when(F.col("event_type").isNull(), "null_type")
         .when(F.col("inputs").isNull(), "null_inputs")
         .when(F.col("outputs").isNull(), "null_outputs")
         .when(passes_gate() & broken, "null_symlink_namespace")
@@ -61,9 +63,42 @@ def rejected_events(events: DataFrame) -> DataFrame:
 
 
 def accepted_events(events: DataFrame) -> DataFrame:
+    """Events that are handled to their end."""
     return events.where(reject_reason().isNull() & F.coalesce(passes_gate(), F.lit(False)))
 
 
+def sent_events(events: DataFrame) -> DataFrame:
+    """Events that edges may come from: those accepted, and those handled up to a broken symlink."""
+    reason = reject_reason()
+    handled = reason.isNull() | (reason == "null_symlink_namespace")
+    return events.where(handled & F.coalesce(passes_gate(), F.lit(False)))
+
+
+def sent_refs(refs: DataFrame) -> DataFrame:
+    """The references of the long form that are reached before a broken symlink, by the rule of
+    ``dataset_pairs``. Only events with a broken one are looked at; for data without any this is a scan."""
+    link = F.get("symlinks", F.lit(0))
+    broken = (F.size("symlinks") > 0) & link["namespace"].isNull()
+    named_input = (F.col("side") == "input") & has_dataset_name(F.col("namespace"), F.col("name"), F.col("symlinks"))
+    first = lambda test: F.min(F.when(test, F.col("pos")))
+    faulty = refs.where(broken).groupBy("event_id").agg(
+        first(F.col("side") == "input").alias("_bad_in"), first(F.col("side") == "output").alias("_bad_out")
+    )
+    leading = refs.where(named_input & ~F.coalesce(broken, F.lit(False))).join(faulty, "event_id").where(
+        F.col("_bad_in").isNull() | (F.col("pos") < F.col("_bad_in"))
+    ).groupBy("event_id").agg(F.min("pos").alias("_first_in"))
+    limits = faulty.join(leading, "event_id", "left")
+    is_input = F.col("side") == "input"
+    reached = F.when(
+        is_input,
+        (F.col("_bad_in").isNull() | (F.col("pos") < F.col("_bad_in")))
+        & (F.col("_bad_out").isNull() | (F.col("pos") == F.col("_first_in"))),
+    ).otherwise(F.col("_bad_out").isNull() | (F.col("pos") < F.col("_bad_out")))
+    checked = refs.join(limits, "event_id", "left")
+    known = F.col("_bad_in").isNotNull() | F.col("_bad_out").isNotNull()
+    return checked.where(~known | F.coalesce(reached, F.lit(False))).select(*refs.columns)
+
+
 def gate_long(events: DataFrame, refs: DataFrame) -> DataFrame:
     """The gate over the long form: both sides are checked in one aggregate, one row per event."""
     both = (
@@ -191,31 +226,67 @@ def _facet_fields(facet: Column) -> Column:
     return F.coalesce(fields, F.array().cast("array<struct<in_name:string,from_column:string,to_column:string>>"))
 
 
-def dataset_pairs(events: DataFrame) -> DataFrame:
-    """Pairs of named datasets of accepted nested events, made inside the event's row.
+def _before(datasets: str, broken: Column) -> Column:
+    """The datasets before the 1-based position ``broken``, all of them for 0."""
+    return F.when(broken > 0, F.slice(datasets, F.lit(1), broken - 1)).otherwise(F.col(datasets))
+
+
+def _first_broken(datasets: str) -> Column:
+    return F.array_position(F.transform(datasets, _broken_symlink), True).cast("int")
+
+
+def _named_only(datasets: Column, *fields: tuple[str, Column]) -> Column:
+    """(pos, name, ...) of the datasets that have a name."""
+    kept = F.filter(
+        F.transform(datasets, lambda d, i: F.struct((i + 1).cast("bigint").alias("pos"), d.alias("dataset"), _has_name(d).alias("known"))),
+        lambda x: x["known"],
+    )
+    return F.transform(
+        kept, lambda x: F.struct(x["pos"].alias("pos"), _name(x["dataset"]).alias("name"), *[f(x["dataset"]).alias(n) for n, f in fields])
+    )
+
+
+def named_sides(events: DataFrame) -> DataFrame:
+    """Nested events with the named datasets of both sides that are reached, as ``ins`` and ``outs``.
+
+    Inputs are gone through in order, and for each all outputs. The first broken input ends the event. A
+    broken output ends it during the first named input, which then has met the outputs before it; no later
+    input is reached.
+    """
+    found = sent_events(events).select(
+        "event_id", "event_time", "run_id", "inputs", "outputs",
+        _first_broken("inputs").alias("bad_in"), _first_broken("outputs").alias("bad_out"),
+    )
+    ins = _named_only(_before("inputs", F.col("bad_in")), ("raw", lambda d: d["name"]))
+    outs = _named_only(_before("outputs", F.col("bad_out")), ("fields", lambda d: _facet_fields(d["column_lineage"])))
+    sides = found.select("event_id", "event_time", "run_id", "bad_out", ins.alias("ins"), outs.alias("outs"))
+    first_only = F.when(F.col("bad_out") > 0, F.slice("ins", 1, 1)).otherwise(F.col("ins"))
+    return sides.select("event_id", "event_time", "run_id", first_only.alias("ins"), "outs")
+
+
+def side_names(sides: DataFrame) -> DataFrame:
+    """How often each name stands in a pair, counted over the sides: a dataset is in as many pairs as the
+    other side has datasets."""
+    weighed = F.concat(
+        F.transform("ins", lambda x: F.struct(x["name"].alias("table_name"), F.size("outs").cast("bigint").alias("n"))),
+        F.transform("outs", lambda x: F.struct(x["name"].alias("table_name"), F.size("ins").cast("bigint").alias("n"))),
+    )
+    return sides.select(F.inline(weighed)).where(F.col("n") > 0).groupBy("table_name").agg(F.sum("n").alias("n"))
+
+
+def dataset_pairs(sides: DataFrame) -> DataFrame:
+    """Pairs of the datasets of ``named_sides``, made inside the event's row.
 
     ``links`` holds the facet fields of the output that draw on this input, by the input's own name.
     Outputs come apart first and leave only names behind, so their facets are not copied per pair.
     """
     keep = ["event_id", "event_time", "run_id"]
-    return (
-        accepted_events(events)
-        .select(*keep, "inputs", F.posexplode("outputs").alias("out_pos0", "target"))
-        .where(_has_name(F.col("target")))
-        .select(
-            *keep,
-            (F.col("out_pos0") + 1).cast("bigint").alias("out_pos"),
-            _name(F.col("target")).alias("to_name"),
-            _facet_fields(F.col("target.column_lineage")).alias("fields"),
-            F.posexplode("inputs").alias("in_pos0", "source"),
-        )
-        .where(_has_name(F.col("source")))
-        .select(
-            *keep,
-            (F.col("in_pos0") + 1).cast("bigint").alias("in_pos"),
-            "out_pos",
-            _name(F.col("source")).alias("from_name"),
-            "to_name",
-            F.filter("fields", lambda field: field["in_name"] == F.col("source.name")).alias("links"),
-        )
+    targets = sides.select(*keep, "ins", F.explode("outs").alias("target"))
+    return targets.select(*keep, "target", F.explode("ins").alias("source")).select(
+        *keep,
+        F.col("source.pos").alias("in_pos"),
+        F.col("target.pos").alias("out_pos"),
+        F.col("source.name").alias("from_name"),
+        F.col("target.name").alias("to_name"),
+        F.filter("target.fields", lambda field: field["in_name"] == F.col("source.raw")).alias("links"),
     )

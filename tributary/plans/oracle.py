@@ -124,7 +124,13 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         " FROM nested_reason e"
         " JOIN nested_named i ON i.event_id = e.event_id AND i.side = 'input' AND i.table_name IS NOT NULL"
         " JOIN nested_named o ON o.event_id = e.event_id AND o.side = 'output' AND o.table_name IS NOT NULL"
-        " WHERE e.kept AND e.reason IS NULL",
+        # Row by row: a pair is sent if no broken dataset was met before it.
+        " WHERE e.kept AND NOT EXISTS (SELECT 1 FROM nested_named b WHERE b.event_id = e.event_id"
+        " AND b.side = 'input' AND b.has_link AND b.sym_namespace IS NULL AND b.pos <= i.pos)"
+        " AND NOT EXISTS (SELECT 1 FROM nested_named b WHERE b.event_id = e.event_id"
+        " AND b.side = 'output' AND b.has_link AND b.sym_namespace IS NULL AND (b.pos <= o.pos"
+        " OR EXISTS (SELECT 1 FROM nested_named f WHERE f.event_id = e.event_id AND f.side = 'input'"
+        " AND f.table_name IS NOT NULL AND f.pos < i.pos)))",
     ),
     "nested_hit": (
         ("nested_pair", "catalog"),
