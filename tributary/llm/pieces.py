@@ -134,5 +134,5 @@ def spelled(vocabulary: Vocabulary) -> list[bytes]:
 
 def decoded(ids, spelling: list[bytes]) -> str:
     """The text of ids: bytes joined, the first space dropped; ids that form no UTF-8 give U+FFFD."""
-    text = b"".join([spelling[i] for i in ids]).decode("utf-8", "replace")
+    text = b"".join(map(spelling.__getitem__, ids)).decode("utf-8", "replace")
     return text[1:] if text.startswith(" ") else text

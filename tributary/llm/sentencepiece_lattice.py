@@ -7,8 +7,9 @@ broadcast piece table (bounded by the vocabulary file) and the grouping all stay
 words: the lattice itself shuffles nothing.
 
 Around it, documents are dealt into groups of about ``GROUP_BYTES`` of text by a hash of the row, as
-compressed Arrow batches; a group sends its distinct words, gets their ids back and puts its texts together.
-A word that stands in every document travels once per group. A segment of more than ``LONG`` characters is
+compressed Arrow batches; a group sends its distinct words with their places in the sorted list of its words,
+gets the ids back by place and puts its texts together. A word that stands in every document travels once per
+group. A segment of more than ``LONG`` characters is
 not a word of the table: the fold copies its state, so its time would grow with the square; such segments
 are encoded in the group with the same rules by ``pieces.Viterbi``.
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm import pieces
 
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 16 << 20
 LONG = 64
 
 _viterbi: dict = {}
@@ -121,7 +123,7 @@ def _grouped(docs: DataFrame, groups: int) -> DataFrame:
     """(part, packed): compressed batches of (doc_id, text), each of one group."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
         for batch in batches:
             part = batch.column("part").to_numpy()
             order = np.argsort(part, kind="stable")
@@ -148,6 +150,33 @@ def _unpacked(table: pa.Table) -> Iterator[pa.RecordBatch]:
         yield from pa.ipc.open_stream(packed.as_buffer())
 
 
+def _words(table: pa.Table, vocabulary: pieces.Vocabulary) -> list[str]:
+    """The distinct short segments of a group, sorted: a word's place is the same whenever a task is run."""
+    words: set[str] = set()
+    for batch in _unpacked(table):
+        for text in batch.column("text").to_pylist():
+            words.update(vocabulary.segments(text))
+    return sorted(w for w in words if len(w) <= LONG)
+
+
+def _put_together(texts: list[str | None], places: dict[str, int], flat, ends, viterbi) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, ends) of some texts, from the ids of their words."""
+    segments = [viterbi.vocabulary.segments(t) for t in texts]
+    counts = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
+    every = list(chain.from_iterable(segments))
+    at = np.fromiter((places.get(w, -1) for w in every), dtype=np.int64, count=len(every))
+    others = [viterbi.encode(every[i]) for i in np.flatnonzero(at < 0)]  # the long segments
+    starts = np.where(at < 0, 0, ends[at])
+    sizes = np.where(at < 0, 0, ends[at + 1] - ends[at])
+    if others:
+        flat = np.concatenate([flat, np.array([i for o in others for i in o], dtype=flat.dtype)])
+        sizes[at < 0] = [len(o) for o in others]
+        starts[at < 0] = len(flat) - sum(map(len, others)) + np.cumsum([0, *map(len, others)])[:-1]
+    before = np.concatenate(([0], np.cumsum(sizes)))
+    ids = flat[np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])]
+    return ids.astype(np.int32), before[np.concatenate(([0], np.cumsum(counts)))]
+
+
 def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(doc_id, ids, text_crc32) for every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -157,50 +186,42 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
     groups = max(-(-size // group_bytes), 2 * spark.sparkContext.defaultParallelism)
     packed = _grouped(docs, groups)
 
-    def words_of(table: pa.Table) -> pa.Table:
-        words: set[str] = set()
-        for batch in _unpacked(table):
-            for text in batch.column("text"):
-                words.update(shared.value.segments(text.as_py()))
-        short = [w for w in words if len(w) <= LONG]
-        return pa.table({"part": pa.array([table.column("part")[0].as_py()] * len(short), pa.int32()), "word": pa.array(short, pa.string())})
+    def ask(table: pa.Table) -> pa.Table:
+        words = _words(table, shared.value)
+        part = pa.repeat(pa.scalar(table.column("part")[0].as_py(), pa.int32()), len(words))
+        return pa.table({"part": part, "place": pa.array(range(len(words)), pa.int32()), "word": pa.array(words, pa.string())})
 
-    words = packed.groupBy("part").applyInArrow(words_of, "part int, word string")
+    words = packed.groupBy("part").applyInArrow(ask, "part int, place int, word string")
     # a word's groups, not its documents; in partitions small enough for their edges to stay in memory
-    asking = words.repartition(4 * groups, "word").groupBy("word").agg(F.collect_list("part").alias("parts"))
-    dictionary = encode_words(asking, vocabulary).select(F.explode("parts").alias("part"), "word", "ids")
-
-    def put_together(texts: pa.Table, entries: pa.Table) -> pa.Table:
-        places = {w: i for i, w in enumerate(entries.column("word").to_pylist())}
+    asking = words.repartition(4 * groups, "word").groupBy("word").agg(F.collect_list(F.struct("part", "place")).alias("asked"))
+    number = "short" if len(vocabulary.pieces) < 1 << 15 else "int"
+    known = encode_words(asking, vocabulary).select(F.explode("asked").alias("to"), F.col("ids").cast(f"array<{number}>").alias("ids"))
+    dictionary = known.select("to.part", "to.place", "ids")
+
+    def answer(table: pa.Table, entries: pa.Table) -> pa.Table:
+        places = {w: i for i, w in enumerate(_words(table, shared.value))}
+        entries = entries.select(["place", "ids"]).sort_by("place").combine_chunks()
         lists = entries.column("ids").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
-        doc_ids, sums, outs = [], [], [np.empty(0, dtype=np.int32)]
-        for batch in _unpacked(texts):
-            doc_ids.append(batch.column("doc_id"))
-            for value in batch.column("text"):
-                text = value.as_py()
-                sums.append(zlib.crc32((text or "").encode("utf-8", "surrogatepass")))
-                segments = shared.value.segments(text)
-                try:
-                    at = np.fromiter(map(places.__getitem__, segments), dtype=np.int64, count=len(segments))
-                except KeyError:  # a long segment
-                    viterbi = _local_viterbi(shared.value, path)
-                    outs.append(np.array([
-                        i for s in segments
-                        for i in (viterbi.encode(s) if len(s) > LONG else flat[ends[places[s]]:ends[places[s] + 1]])
-                    ], dtype=np.int32))
-                    continue
-                sizes = ends[at + 1] - ends[at]
-                total = int(sizes.sum())
-                outs.append(flat[np.repeat(ends[at] - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)])
-        offsets = np.cumsum([len(o) for o in outs])
-        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(outs), pa.int32()))
-        return pa.table({"doc_id": pa.chunked_array(doc_ids), "ids": ids, "text_crc32": pa.array(sums, pa.int64())})
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks else lists
+        flat, ends = np.empty(0, dtype=np.int32), np.zeros(2, dtype=np.int64)
+        if len(lists):
+            ends = lists.offsets.to_numpy().astype(np.int64)
+            flat = lists.values.to_numpy()
+        viterbi = _local_viterbi(shared.value, path)
+        done = []
+        for batch in _unpacked(table):
+            texts = batch.column("text").to_pylist()
+            ids, stops = _put_together(texts, places, flat, ends, viterbi)
+            sums = [zlib.crc32((t or "").encode("utf-8", "surrogatepass")) for t in texts]
+            done.append(pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(ids, pa.int32())), pa.array(sums, pa.int64())],
+                names=["doc_id", "ids", "text_crc32"],
+            ))
+        return pa.Table.from_batches(done)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return packed.groupBy("part").cogroup(dictionary.groupBy("part")).applyInArrow(
-        put_together, f"doc_id {kind}, ids array<int>, text_crc32 long"
+        answer, f"doc_id {kind}, ids array<int>, text_crc32 long"
     )
 
 
@@ -210,15 +231,15 @@ def decode(encoded: DataFrame, path: str = pieces.PATH) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if x is None else pieces.decoded(x, shared.value) for x in _id_lists(batch.column("ids"))]
+            column = batch.column("ids")
+            flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+            texts = [
+                pieces.decoded(flat[a:b].tolist(), shared.value) if ok else None
+                for a, b, ok in zip(ends[:-1], ends[1:], column.is_valid().to_pylist(), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"]
             )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(run, f"{kinds}, text string")
-
-
-def _id_lists(column: pa.ListArray) -> Iterator[list[int] | None]:
-    for ids in column:
-        yield ids.values.to_numpy().tolist() if ids.is_valid else None
