@@ -215,3 +215,11 @@ def test_jobs_by_name(spark):
     services = {r.service: json.loads(r.document) for r in jobs.service_documents(frame).collect()}
     assert services.keys() == {"s1", "s2"}
     assert services["s1"] == {"name": "s1", "serviceType": "Spark", "connection": {"config": {"type": "Spark"}}}
+
+
+def test_edges_of_unknown_jobs_stay(spark):
+    frame = spark.createDataFrame([("table", "a", "table", "b", k) for k in (1, 2, None)], "from_type string, from_id string, to_type string, to_id string, job_key bigint")
+    known = spark.createDataFrame([(1, "j1")], "job_key bigint, job_id string")
+    stamped = jobs.stamp_jobs(frame.withColumn("columns", F.array().cast("array<struct<toColumn:string>>")), known)
+    documents = [json.loads(r.document)["edge"]["lineageDetails"] for r in jobs.edge_documents(stamped).collect()]
+    assert sorted("pipeline" in d for d in documents) == [False, False, True]

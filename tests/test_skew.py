@@ -13,6 +13,7 @@ from tributary.schemas import CATALOG
 @pytest.fixture
 def small_slices(monkeypatch):
     monkeypatch.setattr(skew, "SLICE_ROWS", 5)
+    monkeypatch.setattr(events, "CELL", 3)
 
 
 def rows(df):
@@ -30,12 +31,10 @@ def test_sliced_join_is_a_join(spark, small_slices, how):
     assert rows(got.select("k", "v", "name")) == rows(many.join(few, "k", how).select("k", "v", "name"))
 
 
-def test_hot_keys_are_bounded_and_cut(spark, monkeypatch):
+def test_every_hot_key_is_cut(spark, monkeypatch):
     monkeypatch.setattr(skew, "SLICE_ROWS", 10)
-    monkeypatch.setattr(skew, "HOT_KEYS", 3)
-    monkeypatch.setattr(skew, "MAX_SLICES", 4)
     counts = spark.createDataFrame([(k, n) for k, n in enumerate([5, 10, 11, 25, 1000, 12])], "k int, n bigint")
-    assert {tuple(r) for r in skew.hot_keys(counts, ["k"]).collect()} == {(4, 4), (3, 3), (5, 2)}
+    assert {tuple(r) for r in skew.hot_keys(counts, ["k"]).collect()} == {(2, 2), (4, 100), (3, 3), (5, 2)}
 
 
 def test_slices_of_a_hot_key_are_spread(spark, small_slices):
@@ -107,3 +106,20 @@ def test_edges_of_a_hot_event(skewed, small_slices):
         (e, ids[i], ids[o]): n for (e, i, o), n in expected_pairs(refs).items() if i in ids and o in ids
     }
     assert {(r.event_id, r.from_id, r.to_id): r.n_pairs for r in found.collect()} == expected
+
+
+def test_products_of_large_events_are_bounded(spark, monkeypatch):
+    """Both sides large: every pair once, and no cell with more pairs than its bound allows by hash."""
+    monkeypatch.setattr(events, "CELL", 20)
+    names = [("input", f"i{k}") for k in range(300)] + [("output", f"o{k}") for k in range(200)]
+    sides = spark.createDataFrame([(1, s, n, 1) for s, n in names] + [(2, "input", "a", 2), (2, "output", "b", 3)],
+                                  "event_id bigint, side string, table_name string, n bigint")
+    every = spark.createDataFrame([(1,), (2,)], "event_id bigint")
+    pairs = events.pair_sides(every, sides).collect()
+    assert len(pairs) == len({(r.event_id, r.in_table_name, r.out_table_name) for r in pairs}) == 300 * 200 + 1
+    assert {r.n_pairs for r in pairs if r.event_id == 2} == {6}
+    counts = sides.groupBy("event_id").agg(F.count(F.when(F.col("side") == "input", 1)).alias("input"), F.count(F.when(F.col("side") == "output", 1)).alias("output"))
+    grid = skew.grid_cells(counts, ["event_id"], "input", "output", 20)
+    assert [tuple(r) for r in grid.collect()] == [(1, 15, 10)]
+    ins = skew.on_grid(sides.where("side = 'input'"), grid, ["event_id"], ["table_name"], "_rows").groupBy("event_id", "_row", "_col").count()
+    assert ins.agg(F.max("count")).first()[0] <= 45

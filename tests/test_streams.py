@@ -15,7 +15,7 @@ from tributary.schemas import RUN_EVENT
 from tributary.sources.edge_store import current_edges
 from tributary.sources.run_events import stream_run_events
 from tributary.streaming.edges import current_batch_edges, start_edges
-from tributary.streaming.executions import closing_row, pair_execution_streams
+from tributary.streaming.executions import closing_row, missing_pairs, pair_execution_streams
 
 
 @pytest.fixture
@@ -58,13 +58,13 @@ def test_many_batches_and_a_replay(spark, sf, tmp_path, documents):
     assert flat(current_edges(spark, f"{base}/edges")) == expected
 
 
-def run_pairs(spark, base, starts, ends, bound):
+def run_pairs(spark, base, starts, ends, bound, delay="0 seconds"):
     streams = []
     for name, rows, closing_id in (("starts", starts, -1), ("ends", ends, -2)):
         frame = spark.createDataFrame(rows, "execution_id bigint, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
         frame.unionByName(closing_row(spark, "2200-01-01", closing_id)).write.parquet(f"{base}/{name}")
         streams.append(spark.readStream.schema(frame.schema).parquet(f"{base}/{name}"))
-    pairs = pair_execution_streams(*streams, bound, "2200-01-01")
+    pairs = pair_execution_streams(*streams, bound, "2200-01-01", delay)
     query = pairs.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/cp")
     query.trigger(availableNow=True).start().awaitTermination()
     return {(r.execution_id, r.had_start) for r in spark.read.parquet(f"{base}/out").collect()}
@@ -77,6 +77,27 @@ def test_execution_stream(spark, tmp_path):
     assert got == {(1, True), (2, False), (3, False)}  # 2 ends after the bound, 4 never ends
 
 
+@pytest.mark.parametrize(("delay", "dropped"), [("0 seconds", {2}), ("10 days", set())])
+def test_records_out_of_order(spark, tmp_path, delay, dropped):
+    """The fourth batch is older than the others: within the delay both come out, beyond it the repair finds the rest."""
+    schema = "execution_id bigint, ts timestamp"
+    days = [[(1, "2024-01-05")], [(3, "2024-01-06")], [(4, "2024-01-07")], [(2, "2024-01-01")], [(-1, "2200-01-01")]]
+    streams, stored = [], []
+    for name in ("starts", "ends"):
+        for i, rows in enumerate(days):
+            frame = spark.createDataFrame([(k, d) for k, d in rows], "execution_id bigint, ts string").selectExpr("execution_id", "cast(ts AS timestamp) AS ts")
+            frame.coalesce(1).write.parquet(f"{tmp_path}/{name}/batch={i}")
+        os.utime(f"{tmp_path}/{name}")
+        stored.append(spark.read.schema(schema).parquet(*[f"{tmp_path}/{name}/batch={i}" for i in range(4)]))
+        streams.append(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}/*"))
+    pairs = pair_execution_streams(*streams, "1 hour", "2200-01-01", delay)
+    query = pairs.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp")
+    query.trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.schema(pairs.schema).parquet(f"{tmp_path}/out")
+    assert {r.execution_id for r in out.collect()} == {1, 2, 3, 4} - dropped
+    assert {(r.execution_id, r.had_start) for r in missing_pairs(out, *stored).collect()} == {(i, True) for i in dropped}
+
+
 def test_execution_batch(spark):
     starts = spark.createDataFrame([(1, "s"), (4, "s")], "execution_id bigint, ts string")
     ends = spark.createDataFrame([(1, "e"), (3, "e")], "execution_id bigint, ts string")

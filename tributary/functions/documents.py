@@ -18,8 +18,9 @@ def entity_reference(entity_type: Column, entity_id: Column) -> Column:
 def edge_document(
     from_type: Column, from_id: Column, to_type: Column, to_id: Column, job_id: Column, columns: Column
 ) -> Column:
+    """An edge without a job leaves ``pipeline`` out."""
     details = F.struct(
-        entity_reference(F.lit(JOB_ENTITY_TYPE), job_id).alias("pipeline"),
+        F.when(job_id.isNotNull(), entity_reference(F.lit(JOB_ENTITY_TYPE), job_id)).alias("pipeline"),
         F.lit(EDGE_SOURCE).alias("source"),
         columns.alias("columnsLineage"),
     )

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.names import dataset_name, has_dataset_name, known_name
-from tributary.operators.skew import SLICE, hot_keys, repeat_rows, slice_or_repeat
+from tributary.operators.skew import grid_cells, on_grid
 
 KEPT_TYPES = ("COMPLETE", "START")
+CELL = 2000  # datasets of a side in one cell of a large event: four million pairs
 
 
 def kept_type() -> Column:
@@ -180,8 +181,8 @@ def pair_sides(events: DataFrame, sides: DataFrame, counted: DataFrame | None =
 
     ``events`` brings its own columns, one row per event. Columns of ``sides`` come back as ``in_*``
     and ``out_*``, the number of occurrences of the pair as ``n_pairs``. Where ``sides`` has been
-    joined to more, ``counted`` is the collapsed frame before that, to find hot events in. The larger
-    side of a hot event is cut into slices, the smaller one repeated.
+    joined to more, ``counted`` is the collapsed frame before that, to find large events in. Their
+    product is cut into the cells of a grid: inputs by row, outputs by column, ``CELL`` of each at most.
     """
     payload = [c for c in sides.columns if c not in ("event_id", "side")]
 
@@ -191,20 +192,17 @@ def pair_sides(events: DataFrame, sides: DataFrame, counted: DataFrame | None =
         )
 
     key = ["event_id"]
-    size = {name: F.count(F.when(F.col("side") == name, 1)) for name in ("input", "output")}
-    counts = (sides if counted is None else counted).groupBy(*key).agg(
-        F.greatest(*size.values()).alias("n"), (size["input"] >= size["output"]).alias("_more_inputs")
-    )
-    hot = hot_keys(counts, key, ["_more_inputs"])
-    more_inputs, more_outputs = F.col("_more_inputs"), ~F.col("_more_inputs")
-    inputs = slice_or_repeat(side("input", "in_"), hot, key, ["in_table_name"], more_inputs)
-    outputs = slice_or_repeat(side("output", "out_"), hot, key, ["out_table_name"], more_outputs)
-    on = [*key, SLICE]
+    size = lambda name: F.count(F.when(F.col("side") == name, 1)).alias(name)
+    counts = (sides if counted is None else counted).groupBy(*key).agg(size("input"), size("output"))
+    grid = grid_cells(counts, key, "input", "output", CELL)
+    inputs = on_grid(side("input", "in_"), grid, key, ["in_table_name"], "_rows")
+    outputs = on_grid(side("output", "out_"), grid, key, ["out_table_name"], "_cols")
+    on = [*key, "_row", "_col"]
     return (
-        inputs.join(repeat_rows(events, hot, key), on)
+        inputs.join(on_grid(events, grid, key, key, None), on)
         .join(outputs, on)
         .withColumn("n_pairs", F.col("in_n") * F.col("out_n"))
-        .drop(SLICE, "in_n", "out_n")
+        .drop("_row", "_col", "in_n", "out_n")
     )
 
 

@@ -27,9 +27,10 @@ def service_documents(jobs: DataFrame) -> DataFrame:
 
 
 def stamp_jobs(edges: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Add ``job_id`` by ``job_key``. ``jobs`` has one row per configured application; Spark broadcasts it
-    if it is small and splits a job with very many edges if it is not."""
-    return edges.join(jobs.select("job_key", "job_id"), "job_key")
+    """Add ``job_id`` by ``job_key``; an edge whose job isn't known keeps null. ``jobs`` has one row per
+    configured application; Spark broadcasts it if it is small and splits a job with very many edges if it
+    is not."""
+    return edges.join(jobs.select("job_key", "job_id"), "job_key", "left")
 
 
 def edge_documents(stamped: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 """Joins that stay even when one key holds a large share of all rows.
 
-Keys with more than ``SLICE_ROWS`` rows are hot; of those the ``HOT_KEYS`` largest are cut into slices.
-A key outside that list holds less than ``1 / HOT_KEYS`` of all rows, whatever the data, and what is
-broadcast here never has more than ``HOT_KEYS`` rows. The matching rows of the other side are repeated
-once per slice and the join runs on (key, slice): every pair still meets exactly once, so the list and
-the number of slices only spread the work and never change a result.
+Keys with more than ``SLICE_ROWS`` rows are hot and cut into slices of about that many rows. The matching
+rows of the other side are repeated once per slice and the join runs on (key, slice): every pair still meets
+exactly once, so the list and the number of slices only spread the work and never change a result.
+
+The list of hot keys is what is broadcast here. It is bounded by the data itself: a key on it stands for
+more than ``SLICE_ROWS`` rows, so 10^12 rows have a million of them at most, some 20 MB.
 """
 
 from __future__ import annotations
@@ -14,22 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
 SLICE_ROWS = 1_000_000
-MAX_SLICES = 4096
 SLICE = "_slice"
 
 
-def hot_keys(counts: DataFrame, key: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """From (key, n): the hot keys with the number of slices each is cut into. Other columns of
-    ``counts`` stay if they are in ``keep``."""
-    slices = F.least(F.ceil(F.col("n") / SLICE_ROWS), F.lit(MAX_SLICES)).cast("int")
-    return (
-        counts.where(F.col("n") > SLICE_ROWS)
-        .orderBy(F.desc("n"), *key)
-        .limit(HOT_KEYS)
-        .select(*key, *keep, slices.alias("_slices"))
-    )
+def hot_keys(counts: DataFrame, key: Sequence[str]) -> DataFrame:
+    """From (key, n): the hot keys with the number of slices each is cut into."""
+    slices = F.ceil(F.col("n") / SLICE_ROWS).cast("int")
+    return counts.where(F.col("n") > SLICE_ROWS).select(*key, slices.alias("_slices"))
 
 
 def _with_slice(df: DataFrame, hot: DataFrame, key: Sequence[str], slice_of) -> DataFrame:
@@ -57,15 +50,25 @@ def repeat_rows(df: DataFrame, hot: DataFrame, key: Sequence[str]) -> DataFrame:
     return _with_slice(df, hot, key, lambda slices: F.explode(_all_slices(slices)))
 
 
-def slice_or_repeat(
-    df: DataFrame, hot: DataFrame, key: Sequence[str], spread: Sequence[str], cut: Column
-) -> DataFrame:
-    """Slice the keys where ``cut`` holds, a condition on columns of ``hot``, and repeat the others."""
+def grid_cells(counts: DataFrame, key: Sequence[str], left: str, right: str, cell: int) -> DataFrame:
+    """From (key, left, right), the rows of both sides of a product: the keys whose product is above
+    ``cell * cell``, with the number of parts each side is cut into so that no cell of the grid is."""
+    parts = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / cell)).cast("int")
+    large = F.col(left) * F.col(right) > cell * cell
+    return counts.where(large).select(*key, parts(left).alias("_rows"), parts(right).alias("_cols"))
+
+
+def on_grid(df: DataFrame, grid: DataFrame, key: Sequence[str], spread: Sequence[str], own: str | None) -> DataFrame:
+    """Put rows on the grid's cells: in one row (or column, as ``own`` says) by hash and in all of the other;
+    with ``own`` none in all cells."""
 
-    def slice_of(slices: Column) -> Column:
-        return F.explode(F.when(cut, F.array(_own_slice(spread, slices))).otherwise(_all_slices(slices)))
+    def places(column: str) -> Column:
+        n = F.coalesce(F.col(column), F.lit(1))
+        return F.array(_own_slice(spread, n)) if own == column else _all_slices(n)
 
-    return _with_slice(df, hot, key, slice_of)
+    joined = df.join(F.broadcast(grid), list(key), "left")
+    placed = joined.withColumn("_row", F.explode(places("_rows"))).withColumn("_col", F.explode(places("_cols")))
+    return placed.drop("_rows", "_cols")
 
 
 def sliced_join(

@@ -214,7 +214,7 @@ def task_ends(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def job_entities(spark: SparkSession, sf: str) -> DataFrame:
-    """Jobs as the catalog lists them; ``run_id % 10`` of an event picks its job."""
+    """Jobs as the catalog lists them; ``run_id % 997`` of an event picks its job, if there is one."""
     return table(spark, sf, "supplier").selectExpr(
         "s_suppkey AS job_key", "'j' || s_suppkey AS job_id", *_columns(JOB_ENTITY_COLUMNS)
     )

@@ -344,18 +344,18 @@ ORACLE_SQL: dict[str, str] = {
     "edge_documents": _sql(
         "SELECT from_id, to_id, '{\"edge\":{\"fromEntity\":{\"type\":\"' || from_type || '\",\"id\":\"' || from_id"
         " || '\"},\"toEntity\":{\"type\":\"' || to_type || '\",\"id\":\"' || to_id"
-        " || '\"},\"lineageDetails\":{\"pipeline\":{\"type\":\"pipeline\",\"id\":\"' || j.job_id"
-        " || '\"},\"source\":\"SparkLineage\",\"columnsLineage\":[' || documents || ']}}}' AS document"
-        " FROM nested_current c JOIN job_entity j ON j.job_key = c.run_id % 10",
+        " || '\"},\"lineageDetails\":{' || coalesce('\"pipeline\":{\"type\":\"pipeline\",\"id\":\"' || j.job_id || '\"},', '')"
+        " || '\"source\":\"SparkLineage\",\"columnsLineage\":[' || documents || ']}}}' AS document"
+        " FROM nested_current c LEFT JOIN job_entity j ON j.job_key = c.run_id % 997",
         "nested_current", "job_entity",
     ),
     "job_entity_documents": _sql(
         "SELECT name, '{\"name\":\"' || name || '\",\"sourceUrl\":'"
         " || coalesce('\"' || source_url || '\"', 'null')"
-        " || CASE WHEN description <> '' THEN ',\"description\":\"' || description || '\"' ELSE '' END"
+        " || CASE WHEN coalesce(description, '') <> '' THEN ',\"description\":\"' || description || '\"' ELSE '' END"
         " || ',\"service\":\"' || service || '\"}' AS document FROM job_entity",
         "job_entity",
-    ).replace("WHEN description <> ''", "WHEN coalesce(description, '') <> ''"),
+    ),
     "service_documents": _sql(
         "SELECT DISTINCT service, '{\"name\":\"' || service || '\",\"serviceType\":\"Spark\","
         "\"connection\":{\"config\":{\"type\":\"Spark\"}}}' AS document FROM job_entity",

@@ -204,7 +204,7 @@ def edge_documents(spark: SparkSession, sf: str) -> DataFrame:
         fixtures.nested_events(spark, sf), _index(spark, sf), fixtures.catalog(spark, sf)
     ).withColumn("columns", edges.column_set(F.col("column_pairs")))
     current = edges.upsert(found.drop("column_pairs", "from_name", "to_name"))
-    keyed = current.withColumn("job_key", F.col("run_id") % 10)
+    keyed = current.withColumn("job_key", F.col("run_id") % 997)
     return jobs.edge_documents(jobs.stamp_jobs(keyed, fixtures.job_entities(spark, sf)))
 
 
@@ -446,7 +446,7 @@ def stream_execution_pairs(spark: SparkSession, sf: str) -> DataFrame:
         records = records.withColumn("ts", F.col("ts").cast("timestamp"))
         records.unionByName(closing_row(spark, CLOSE, closing_id)).write.parquet(f"{base}/{side}")
         streams[side] = spark.readStream.schema(records.schema).parquet(f"{base}/{side}")
-    pairs = pair_execution_streams(streams["starts"], streams["ends"], BOUND, CLOSE)
+    pairs = pair_execution_streams(streams["starts"], streams["ends"], BOUND, CLOSE, delay=BOUND)
     pairs.writeStream.format("parquet").option("path", f"{base}/pairs").option(
         "checkpointLocation", f"{base}/checkpoint"
     ).trigger(availableNow=True).start().awaitTermination()

@@ -3,6 +3,10 @@
 The state is bounded: a start is kept for ``bound`` after its time, and an end that comes later counts
 as one without start. An end without start comes out once both watermarks have passed it; at close,
 a closing row on each side pushes them past everything that is still waiting.
+
+A record older than the newest of an earlier batch by more than ``delay`` is late, and Spark drops it: the
+caller has to say how far records may be out of order. ``missing_pairs`` finds what was dropped all the same
+in the stored records.
 """
 
 from __future__ import annotations
@@ -10,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.operators.executions import pair_executions
+
 
 def closing_row(spark: SparkSession, close: str, execution_id: int) -> DataFrame:
     """The record that ends a side, later than all others; its id is used by no execution."""
@@ -19,7 +25,7 @@ def closing_row(spark: SparkSession, close: str, execution_id: int) -> DataFrame
 
 
 def pair_execution_streams(
-    starts: DataFrame, ends: DataFrame, bound: str, close: str, delay: str = "0 seconds"
+    starts: DataFrame, ends: DataFrame, bound: str, close: str, delay: str
 ) -> DataFrame:
     left = ends.select("execution_id", F.col("ts").alias("end_ts")).withWatermark("end_ts", delay)
     right = starts.select(
@@ -36,3 +42,9 @@ def pair_execution_streams(
             "execution_id", "start_ts", "end_ts", F.col("start_id").isNotNull().alias("had_start")
         )
     )
+
+
+def missing_pairs(pairs: DataFrame, starts: DataFrame, ends: DataFrame) -> DataFrame:
+    """Pairs of the ends that the stream has not brought out, from the stored records: a batch to append
+    (and to count) after the stream has been closed."""
+    return pair_executions(starts, ends.join(pairs.select("execution_id"), "execution_id", "left_anti"))
