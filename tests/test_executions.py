@@ -34,7 +34,7 @@ APP = """
 import sys
 from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[2]").config("spark.eventLog.enabled", "true")
-         .config("spark.eventLog.dir", "file://" + sys.argv[1]).config("spark.eventLog.compress", "false")
+         .config("spark.eventLog.dir", "file://" + sys.argv[1]).config("spark.eventLog.compress", sys.argv[3])
          .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate())
 spark.read.parquet(sys.argv[2] + "/orders.parquet").groupBy("o_custkey").count().write.format("noop").mode("overwrite").save()
 spark.sparkContext.parallelize(range(4), 2).count()
@@ -42,14 +42,19 @@ spark.stop()
 """
 
 
-@pytest.fixture(scope="module")
-def lines(spark, sf, tmp_path_factory):
+@pytest.fixture(scope="module", params=["false", "true"])
+def lines(spark, sf, tmp_path_factory, request):
     folder = tmp_path_factory.mktemp("log")
-    subprocess.run([sys.executable, "-c", APP, str(folder), sf], check=True, capture_output=True, timeout=300)
-    return execution_log.read_event_log(spark, str(folder))
+    subprocess.run([sys.executable, "-c", APP, str(folder), sf, request.param], check=True, capture_output=True, timeout=300)
+    return execution_log.records(execution_log.read_event_log(spark, str(folder)))
 
 
 def test_real_event_log(lines):
+    assert lines.select("app_id").distinct().count() == 1
+    ended = executions.pair_jobs(execution_log.job_starts(lines), execution_log.job_ends(lines)).collect()
+    assert ended and all(r.had_start and r.start_ts <= r.end_ts and r.kind for r in ended)
+    settings = {r.key: r.value for r in execution_log.settings(lines).collect()}
+    assert "spark.eventLog.compress" in settings
     starts, ends = execution_log.sql_starts(lines), execution_log.sql_ends(lines)
     pairs = executions.pair_executions(starts, ends).collect()
     assert pairs and all(r.had_start and r.start_ts <= r.end_ts for r in pairs)
@@ -58,3 +63,29 @@ def test_real_event_log(lines):
     assert kinds == {"sql", "rdd"}
     read = executions.metrics_per_execution(jobs, tasks).agg({"records_read": "sum"}).first()[0]
     assert read == 1500
+
+
+def test_applications_are_kept_apart(spark):
+    jobs = spark.createDataFrame([("a", 0, 0, [0]), ("b", 0, 0, [0])], "app_id string, " + JOBS)
+    tasks = spark.createDataFrame([("a", 0, 1)] * 5 + [("b", 0, 1)] * 7, "app_id string, stage_id bigint, records bigint")
+    for found in (executions.metrics_per_job(jobs, tasks), executions.metrics_per_execution(jobs, tasks)):
+        assert sorted((r.app_id, r.records) for r in found.collect()) == [("a", 5), ("b", 7)]
+    ends = spark.createDataFrame([("a", 0, "e"), ("b", 1, "e")], "app_id string, execution_id bigint, ts string")
+    starts = spark.createDataFrame([("b", 0, "s")], "app_id string, execution_id bigint, ts string")
+    assert sorted((r.app_id, r.had_start) for r in executions.pair_executions(starts, ends).collect()) == [("a", False), ("b", False)]
+
+
+@pytest.mark.parametrize("name", ["app-1.lzf", "eventlog_v2_app-2/events_1_app-2.lz4", "app-3.zstd.inprogress"])
+def test_compressed_logs_are_refused(spark, tmp_path, name):
+    path = tmp_path / name
+    path.parent.mkdir(exist_ok=True)
+    path.write_bytes(b"packed")
+    with pytest.raises(ValueError, match="compressed event log"):
+        execution_log.read_event_log(spark, str(tmp_path))
+
+
+def test_names_of_applications(spark, tmp_path):
+    for name in ("app-1", "app-2.inprogress", "eventlog_v2_app-3/events_1_app-3"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("{}")
+    assert {r.app_id for r in execution_log.read_event_log(spark, str(tmp_path)).collect()} == {"app-1", "app-2", "app-3"}

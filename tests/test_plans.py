@@ -61,3 +61,9 @@ def test_first_hits_aggregate_before_the_shuffle(spark, stored_catalog):
     plan = plan_of(lookup.lookup_index(stored_catalog))
     assert plan.index("partial_min") > plan.index("Exchange hashpartitioning(index")
     assert plan.count("Exchange") == 1
+
+
+def test_log_is_read_in_one_pass(spark, sf):
+    plan = plan_of(QUERIES["execution_records_from_log"](spark, sf))
+    for name in ("orders", "lineitem"):
+        assert len(re.findall(rf"FileScan parquet[^\n]*{name}\.parquet", plan)) == 1

@@ -105,11 +105,16 @@ CONF_COLUMNS = {
 }
 CONF_FILTER = "c_custkey % 5 <> 0"
 
+# Three applications with the same ids of jobs, stages and executions.
+APPS = 3
 TASK_COLUMNS = {
-    "stage_id": "l_orderkey * 8 + l_linenumber",
+    "app_id": f"l_orderkey % {APPS}",
+    "stage_id": f"CAST(floor(l_orderkey / {APPS}) AS BIGINT) * 8 + l_linenumber",
     "records": "CAST(l_quantity AS BIGINT)",
 }
-STAGES = [f"o_orderkey * 8 + {i}" for i in range(1, 7)]
+JOB_APP, JOB_ID = f"o_orderkey % {APPS}", f"CAST(floor(o_orderkey / {APPS}) AS BIGINT)"
+EXECUTION_APP, EXECUTION_ID = f"o_custkey % {APPS}", f"CAST(floor(o_custkey / {APPS}) AS BIGINT)"
+STAGES = [f"{JOB_ID} * 8 + {i}" for i in range(1, 7)]
 
 JOB_ENTITY_COLUMNS = {
     "name": "s_name",
@@ -191,22 +196,37 @@ def conf(spark: SparkSession, sf: str) -> DataFrame:
 
 def job_starts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").selectExpr(
-        "o_orderkey AS job_id",
-        "CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS execution_id",
+        f"{JOB_APP} AS app_id",
+        f"{JOB_ID} AS job_id",
+        f"CASE WHEN o_orderstatus = 'F' THEN {EXECUTION_ID} END AS execution_id",
         f"array({', '.join(STAGES)}) AS stage_ids",
+        "o_orderdate AS ts",
+    )
+
+
+def job_ends(spark: SparkSession, sf: str) -> DataFrame:
+    """Jobs end a day after their start; some have no end, and some ends no start."""
+    return table(spark, sf, "orders").where("o_orderkey % 11 <> 0").selectExpr(
+        f"{JOB_APP} AS app_id",
+        f"CASE WHEN o_orderkey % 13 = 0 THEN -1 - {JOB_ID} ELSE {JOB_ID} END AS job_id",
+        "o_orderdate + INTERVAL 1 DAY AS ts",
     )
 
 
 def sql_starts(spark: SparkSession, sf: str) -> DataFrame:
     """Aggregated: first order of a customer."""
     orders = table(spark, sf, "orders").where("o_custkey % 7 <> 0")
-    return orders.groupBy(F.col("o_custkey").alias("execution_id")).agg(F.min("o_orderdate").alias("ts"))
+    return orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("ts")).selectExpr(
+        f"{EXECUTION_APP} AS app_id", f"{EXECUTION_ID} AS execution_id", "ts"
+    )
 
 
 def sql_ends(spark: SparkSession, sf: str) -> DataFrame:
     """Aggregated: last order of a customer."""
     orders = table(spark, sf, "orders").where("o_custkey % 5 <> 0")
-    return orders.groupBy(F.col("o_custkey").alias("execution_id")).agg(F.max("o_orderdate").alias("ts"))
+    return orders.groupBy("o_custkey").agg(F.max("o_orderdate").alias("ts")).selectExpr(
+        f"{EXECUTION_APP} AS app_id", f"{EXECUTION_ID} AS execution_id", "ts"
+    )
 
 
 def task_ends(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,31 +241,34 @@ def job_entities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def event_log_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Event log text: SQL executions and jobs from orders, tasks from line items, and lines of no use."""
+    """Event log text with the application of each line: SQL executions and jobs from orders, tasks from line
+    items, settings from customers, and lines of no use."""
     ui = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecution"
     millis = "unix_millis(CAST(o_orderdate AS TIMESTAMP))"
-    sql = (
-        "to_json(named_struct('Event', '{ui}{what}', 'executionId', o_orderkey, 'time', {millis}))"
-    )
+    sql = "to_json(named_struct('Event', '{ui}{what}', 'executionId', o_orderkey, 'time', {millis}))"
     job = (
-        "to_json(named_struct('Event', 'SparkListenerJobStart', 'Job ID', o_orderkey,"
+        f"to_json(named_struct('Event', 'SparkListenerJobStart', 'Job ID', {JOB_ID}, 'Submission Time', {millis},"
         f" 'Stage IDs', array({', '.join(STAGES)}), 'Properties', CASE WHEN o_orderstatus = 'F'"
-        " THEN map('spark.sql.execution.id', CAST(o_custkey AS STRING), 'spark.job.id', 'x')"
+        f" THEN map('spark.sql.execution.id', CAST({EXECUTION_ID} AS STRING), 'spark.job.id', 'x')"
         " ELSE map('spark.job.id', 'x') END))"
     )
+    job_end = f"to_json(named_struct('Event', 'SparkListenerJobEnd', 'Job ID', {JOB_ID}, 'Completion Time', {millis} + 1000))"
     start = sql.format(ui=ui, what="Start", millis=millis)
     end = sql.format(ui=ui, what="End", millis=millis)
     of_orders = (
         f"array(CASE WHEN o_custkey % 7 <> 0 THEN {start} END, CASE WHEN o_custkey % 5 <> 0 THEN {end} END,"
-        f" {job}, CASE WHEN o_orderkey % 100 = 0 THEN 'cut off {{' END)"
+        f" {job}, {job_end}, CASE WHEN o_orderkey % 100 = 0 THEN 'cut off {{' END)"
     )
     task = (
-        "to_json(named_struct('Event', 'SparkListenerTaskEnd', 'Stage ID', l_orderkey * 8 + l_linenumber,"
+        f"to_json(named_struct('Event', 'SparkListenerTaskEnd', 'Stage ID', {TASK_COLUMNS['stage_id']},"
         " 'Task Metrics', named_struct('Executor Run Time', l_linenumber,"
         " 'Input Metrics', named_struct('Bytes Read', l_partkey, 'Records Read', CAST(l_quantity AS BIGINT)))))"
     )
-    orders = table(spark, sf, "orders").selectExpr(f"explode({of_orders}) AS value").where("value IS NOT NULL")
-    return orders.unionByName(table(spark, sf, "lineitem").selectExpr(f"{task} AS value"))
+    environment = "to_json(named_struct('Event', 'SparkListenerEnvironmentUpdate', 'Spark Properties', map(key, value)))"
+    orders = table(spark, sf, "orders").selectExpr(f"CAST({JOB_APP} AS STRING) AS app_id", f"explode({of_orders}) AS value")
+    tasks = table(spark, sf, "lineitem").selectExpr(f"CAST({TASK_COLUMNS['app_id']} AS STRING) AS app_id", f"{task} AS value")
+    settings = conf(spark, sf).selectExpr("CAST(app_id AS STRING) AS app_id", f"{environment} AS value")
+    return orders.where("value IS NOT NULL").unionByName(tasks).unionByName(settings)
 
 
 def _nested_dataset(part: str, facet: str) -> str:

@@ -185,25 +185,30 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "job_start": (
         (),
-        "SELECT o_orderkey AS job_id, CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS execution_id,"
-        f" list_value({', '.join(fx.STAGES)}) AS stage_ids FROM orders",
+        "SELECT o_orderkey % 3 AS app_id, o_orderkey // 3 AS job_id, o_orderdate AS ts,"
+        " CASE WHEN o_orderstatus = 'F' THEN o_custkey // 3 END AS execution_id,"
+        f" list_value({', '.join(f'o_orderkey // 3 * 8 + {i}' for i in range(1, 7))}) AS stage_ids FROM orders",
     ),
     "sql_start": (
         (),
-        "SELECT o_custkey AS execution_id, min(o_orderdate) AS ts FROM orders WHERE o_custkey % 7 <> 0"
+        "SELECT o_custkey % 3 AS app_id, o_custkey // 3 AS execution_id, min(o_orderdate) AS ts FROM orders WHERE o_custkey % 7 <> 0"
         " GROUP BY o_custkey",
     ),
     "sql_end": (
         (),
-        "SELECT o_custkey AS execution_id, max(o_orderdate) AS ts FROM orders WHERE o_custkey % 5 <> 0"
+        "SELECT o_custkey % 3 AS app_id, o_custkey // 3 AS execution_id, max(o_orderdate) AS ts FROM orders WHERE o_custkey % 5 <> 0"
         " GROUP BY o_custkey",
     ),
-    "task_end": ((), _select(fx.TASK_COLUMNS, "lineitem")),
+    "task_end": (
+        (),
+        "SELECT l_orderkey % 3 AS app_id, l_orderkey // 3 * 8 + l_linenumber AS stage_id,"
+        " CAST(l_quantity AS BIGINT) AS records FROM lineitem",
+    ),
     "job_metrics": (
         ("job_start", "task_end"),
-        "SELECT j.job_id, j.execution_id, CAST(sum(t.records) AS BIGINT) AS records FROM"
-        " (SELECT DISTINCT job_id, execution_id, unnest(stage_ids) AS stage_id FROM job_start) j"
-        " JOIN task_end t ON t.stage_id = j.stage_id GROUP BY j.job_id, j.execution_id",
+        "SELECT j.app_id, j.job_id, j.execution_id, CAST(sum(t.records) AS BIGINT) AS records FROM"
+        " (SELECT DISTINCT app_id, job_id, execution_id, unnest(stage_ids) AS stage_id FROM job_start) j"
+        " JOIN task_end t ON t.app_id = j.app_id AND t.stage_id = j.stage_id GROUP BY j.app_id, j.job_id, j.execution_id",
     ),
     "job_entity": ((), _select({"job_key": "s_suppkey", "job_id": "'j' || s_suppkey", **fx.JOB_ENTITY_COLUMNS}, "supplier")),
     # Settings of the two sections, prefix gone.
@@ -280,14 +285,16 @@ ORACLE_SQL: dict[str, str] = {
         "catalog",
     ),
     "execution_records_from_log": _sql(
-        "SELECT 'sql_start' AS record, o_orderkey AS id, CAST(NULL AS BIGINT) AS execution_id, o_orderdate AS ts,"
+        "SELECT CAST(o_orderkey % 3 AS VARCHAR) AS app_id, 'sql_start' AS record, o_orderkey AS id,"
+        " CAST(NULL AS BIGINT) AS execution_id, o_orderdate AS ts,"
         " CAST(NULL AS VARCHAR) AS stages, CAST(NULL AS BIGINT) AS records, CAST(NULL AS BIGINT) AS bytes"
         " FROM orders WHERE o_custkey % 7 <> 0"
-        " UNION ALL SELECT 'sql_end', o_orderkey, NULL, o_orderdate, NULL, NULL, NULL FROM orders"
-        " WHERE o_custkey % 5 <> 0"
-        " UNION ALL SELECT 'job_start', job_id, execution_id, NULL, array_to_string(stage_ids, ','), NULL, NULL"
-        " FROM job_start"
-        " UNION ALL SELECT 'task_end', l_orderkey * 8 + l_linenumber, NULL, NULL, NULL,"
+        " UNION ALL SELECT CAST(o_orderkey % 3 AS VARCHAR), 'sql_end', o_orderkey, NULL, o_orderdate, NULL, NULL, NULL"
+        " FROM orders WHERE o_custkey % 5 <> 0"
+        " UNION ALL SELECT CAST(app_id AS VARCHAR), 'job_start', job_id, execution_id, ts, array_to_string(stage_ids, ','),"
+        " NULL, NULL FROM job_start"
+        " UNION ALL SELECT CAST(app_id AS VARCHAR), 'job_end', job_id, NULL, ts + INTERVAL 1 SECOND, NULL, NULL, NULL FROM job_start"
+        " UNION ALL SELECT CAST(l_orderkey % 3 AS VARCHAR), 'task_end', l_orderkey // 3 * 8 + l_linenumber, NULL, NULL, NULL,"
         " CAST(l_quantity AS BIGINT), l_partkey FROM lineitem",
         "job_start",
     ),
@@ -415,21 +422,33 @@ ORACLE_SQL: dict[str, str] = {
         "nested_edge", "column_text",
     ),
     "sql_execution_pairs": _sql(
-        "SELECT e.execution_id, s.ts AS start_ts, e.ts AS end_ts, s.execution_id IS NOT NULL AS had_start"
-        " FROM sql_end e LEFT JOIN sql_start s ON s.execution_id = e.execution_id",
+        "SELECT e.app_id, e.execution_id, s.ts AS start_ts, e.ts AS end_ts, s.execution_id IS NOT NULL AS had_start"
+        " FROM sql_end e LEFT JOIN sql_start s ON s.app_id = e.app_id AND s.execution_id = e.execution_id",
         "sql_end", "sql_start",
     ),
     "job_context": _sql(
-        "SELECT job_id, execution_id, CASE WHEN execution_id IS NULL THEN 'rdd' ELSE 'sql' END AS kind,"
+        "SELECT app_id, job_id, execution_id, CASE WHEN execution_id IS NULL THEN 'rdd' ELSE 'sql' END AS kind,"
         " coalesce(execution_id, job_id) AS context_id FROM job_start",
         "job_start",
     ),
-    "metrics_per_job": _sql("SELECT job_id, records FROM job_metrics", "job_metrics"),
+    "metrics_per_job": _sql("SELECT app_id, job_id, records FROM job_metrics", "job_metrics"),
     "metrics_per_execution": _sql(
-        "SELECT execution_id, CAST(sum(records) AS BIGINT) AS records FROM job_metrics"
-        " WHERE execution_id IS NOT NULL GROUP BY execution_id",
+        "SELECT app_id, execution_id, CAST(sum(records) AS BIGINT) AS records FROM job_metrics"
+        " WHERE execution_id IS NOT NULL GROUP BY app_id, execution_id",
         "job_metrics",
     ),
+    "job_pairs": _sql(
+        "SELECT e.app_id, e.job_id, s.ts AS start_ts, e.ts AS end_ts, s.job_id IS NOT NULL AS had_start,"
+        " CASE WHEN s.job_id IS NULL THEN NULL WHEN s.execution_id IS NULL THEN 'rdd' ELSE 'sql' END AS kind,"
+        " coalesce(s.execution_id, s.job_id) AS context_id FROM (SELECT o_orderkey % 3 AS app_id,"
+        " CASE WHEN o_orderkey % 13 = 0 THEN -1 - o_orderkey // 3 ELSE o_orderkey // 3 END AS job_id,"
+        " o_orderdate + INTERVAL 1 DAY AS ts FROM orders WHERE o_orderkey % 11 <> 0) e"
+        " LEFT JOIN job_start s ON s.app_id = e.app_id AND s.job_id = e.job_id",
+        "job_start",
+    ),
+    "conf_from_log": _sql(
+        f"SELECT CAST(app_id AS VARCHAR) AS app_id, key, value FROM conf WHERE starts_with(key, '{PREFIX}')", "conf"
+    ),
     "conf_with_defaults": _sql("SELECT app_id, key, value FROM conf_all", "conf_all"),
     "conf_overrides": _sql(
         "SELECT app_id, "
@@ -462,8 +481,8 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT event_id, event_type, reason FROM nested_reason WHERE reason IS NOT NULL", "nested_reason"
     ),
     "stream_execution_pairs": _sql(
-        "SELECT e.execution_id, s.ts AS start_ts, e.ts AS end_ts, s.execution_id IS NOT NULL AS had_start"
-        " FROM sql_end e LEFT JOIN sql_start s ON s.execution_id = e.execution_id",
+        "SELECT e.app_id, e.execution_id, s.ts AS start_ts, e.ts AS end_ts, s.execution_id IS NOT NULL AS had_start"
+        " FROM sql_end e LEFT JOIN sql_start s ON s.app_id = e.app_id AND s.execution_id = e.execution_id",
         "sql_end", "sql_start",
     ),
 }

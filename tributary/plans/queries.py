@@ -79,31 +79,17 @@ def catalog_from_search_json(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def execution_records_from_log(spark: SparkSession, sf: str) -> DataFrame:
-    """The four record types in one frame."""
-    lines = fixtures.event_log_lines(spark, sf)
-    none = F.lit(None)
-
-    def rows(df: DataFrame, record: str, **columns) -> DataFrame:
-        shape = {"id": "bigint", "execution_id": "bigint", "ts": "timestamp_ntz", "stages": "string",
-                 "records": "bigint", "bytes": "bigint"}
-        return df.select(
-            F.lit(record).alias("record"), *[columns.get(c, none).cast(t).alias(c) for c, t in shape.items()]
-        )
-
-    starts, ends = execution_log.sql_starts(lines), execution_log.sql_ends(lines)
-    jobs, tasks = execution_log.job_starts(lines), execution_log.task_ends(lines)
-    return (
-        rows(starts, "sql_start", id=F.col("execution_id"), ts=F.col("ts"))
-        .unionByName(rows(ends, "sql_end", id=F.col("execution_id"), ts=F.col("ts")))
-        .unionByName(
-            rows(jobs, "job_start", id=F.col("job_id"), execution_id=F.col("execution_id"),
-                 stages=F.array_join(F.col("stage_ids").cast("array<string>"), ","))
-        )
-        .unionByName(
-            rows(tasks, "task_end", id=F.col("stage_id"), records=F.col("records_read"),
-                 bytes=F.col("bytes_read"))
-        )
-    )
+    """All record types in one frame, out of one pass."""
+    found = execution_log.all_records(execution_log.records(fixtures.event_log_lines(spark, sf)))
+    stages = F.array_join(F.col("stage_ids").cast("array<string>"), ",")
+    return found.select("app_id", "record", "id", "execution_id", _naive("ts"), stages.alias("stages"), "records", "bytes")
+
+
+@query
+def conf_from_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The settings of the applications, as their logs have them."""
+    found = execution_log.settings(execution_log.records(fixtures.event_log_lines(spark, sf)))
+    return found.where(F.col("key").startswith(conf.PREFIX))
 
 
 # Filters
@@ -381,6 +367,11 @@ def metrics_per_execution(spark: SparkSession, sf: str) -> DataFrame:
     return executions.metrics_per_execution(fixtures.job_starts(spark, sf), fixtures.task_ends(spark, sf))
 
 
+@query
+def job_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return executions.pair_jobs(fixtures.job_starts(spark, sf), fixtures.job_ends(spark, sf))
+
+
 # Settings
 
 
@@ -443,13 +434,13 @@ def stream_execution_pairs(spark: SparkSession, sf: str) -> DataFrame:
     }
     streams = {}
     for side, (records, closing_id) in sides.items():
-        records = records.withColumn("ts", F.col("ts").cast("timestamp"))
-        records.unionByName(closing_row(spark, CLOSE, closing_id)).write.parquet(f"{base}/{side}")
+        records = records.select("app_id", "execution_id", F.col("ts").cast("timestamp").alias("ts"))
+        records.unionByName(closing_row(spark, CLOSE, closing_id, app_id=-1)).write.parquet(f"{base}/{side}")
         streams[side] = spark.readStream.schema(records.schema).parquet(f"{base}/{side}")
-    pairs = pair_execution_streams(streams["starts"], streams["ends"], BOUND, CLOSE, delay=BOUND)
+    pairs = pair_execution_streams(streams["starts"], streams["ends"], BOUND, CLOSE, delay="0 seconds")
     pairs.writeStream.format("parquet").option("path", f"{base}/pairs").option(
         "checkpointLocation", f"{base}/checkpoint"
     ).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{base}/pairs").select(
-        "execution_id", _naive("start_ts"), _naive("end_ts"), "had_start"
+        "app_id", "execution_id", _naive("start_ts"), _naive("end_ts"), "had_start"
     )
