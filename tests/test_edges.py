@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.operators import edges, events, jobs
-from tributary.operators.lookup import lookup_index
+from tributary.operators.lookup import lookup_index, unique_entities
 from tributary.schemas import CATALOG, RUN_EVENT
 from tributary.sources.catalog import catalog_from_replies
 from tributary.sources.edge_store import compact_edges, current_edges, read_edges, write_batch, write_edges
@@ -126,6 +126,13 @@ def test_column_pairs_bag_and_set(read, catalog):
     assert got["c", "b"].column_pairs == []
 
 
+def test_a_repeated_entity_makes_no_further_edges(read, catalog):
+    frame = read([event(1, inputs=[dataset("db.a")], outputs=[dataset("db.b", columns=LINEAGE)])])
+    once, twice = column_edges(frame, catalog).collect(), column_edges(frame, catalog.unionAll(catalog)).collect()
+    assert once == twice and len(once) == 1
+    assert unique_entities(catalog.unionAll(catalog)).count() == catalog.count()
+
+
 def test_edge_stays_without_columns(read, catalog):
     lineage = {"k": [field("db.nocolumns", "k")]}
     frame = read([event(1, inputs=[dataset("db.nocolumns")], outputs=[dataset("db.b", columns=lineage), dataset("db.nocolumns")])])

@@ -136,7 +136,17 @@ def unresolved(names: DataFrame, index: DataFrame) -> DataFrame:
     return _keyed(names).join(keys, ["index", "key"], "left_anti").drop("index", "key")
 
 
+def unique_entities(catalog: DataFrame) -> DataFrame:
+    """One row per entity: replies of a catalog may repeat one. Of several rows the greatest stays. Lookups
+    that list hits count a repeated row as a hit of its own, so a catalog read from replies goes through this
+    first."""
+    last = F.max(F.struct("fqn", "full_path", "column_names")).alias("last")
+    return catalog.groupBy("id", "entity_type").agg(last).select("id", "entity_type", "last.*")
+
+
 def with_columns(resolved: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Add the entity's column names. They are joined to the resolved names only, so the arrays never
-    travel with the suffixes. Both sides are as small as the catalog; Spark splits skew by itself."""
-    return resolved.join(catalog.select("id", "entity_type", "column_names"), ["id", "entity_type"])
+    """Add the entity's column names, of the greatest row where the catalog repeats an entity. They are joined
+    to the resolved names only, so the arrays never travel with the suffixes. Both sides are as small as the
+    catalog; Spark splits skew by itself."""
+    columns = catalog.groupBy("id", "entity_type").agg(F.max("column_names").alias("column_names"))
+    return resolved.join(columns, ["id", "entity_type"])

@@ -16,7 +16,7 @@ from tributary.plans.scratch import scratch_folder
 from tributary.sources import catalog as catalog_source
 from tributary.sources import execution_log
 from tributary.sources.edge_store import compact_edges, read_edges
-from tributary.streaming.edges import start_edges
+from tributary.streaming.edges import start_edges, start_rejects
 from tributary.streaming.executions import closing_row, pair_execution_streams
 
 SERVICES = "svc0,svc1"
@@ -421,7 +421,10 @@ def stream_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    base = _run_edge_stream(spark, sf)
+    base = scratch_folder(spark, "reject-stream")
+    start_rejects(
+        fixtures.nested_event_stream(spark, sf), f"{base}/rejects", f"{base}/checkpoint"
+    ).awaitTermination()
     return spark.read.parquet(f"{base}/rejects").select("event_id", "event_type", "reason")
 
 

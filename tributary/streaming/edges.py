@@ -27,6 +27,21 @@ def current_batch_edges(events: DataFrame, index: DataFrame, catalog: DataFrame)
     )
 
 
+def write_rejects(batch: DataFrame, path: str, batch_id: int) -> None:
+    rejects = rejected_events(batch).select("event_id", "event_type", "event_time", "reason")
+    rejects.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def start_rejects(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """The rejected events alone: no index, no catalog, no edges."""
+    return (
+        events.writeStream.foreachBatch(lambda batch, batch_id: write_rejects(batch, path, batch_id))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def start_edges(
     events: DataFrame,
     index: DataFrame,
@@ -38,10 +53,11 @@ def start_edges(
 ) -> StreamingQuery:
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        write_batch(current_batch_edges(batch, index, catalog), edges_path, batch_id)
-        rejects = rejected_events(batch).select("event_id", "event_type", "event_time", "reason")
-        rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
-        batch.unpersist()
+        try:
+            write_batch(current_batch_edges(batch, index, catalog), edges_path, batch_id)
+            write_rejects(batch, rejects_path, batch_id)
+        finally:
+            batch.unpersist()
 
     return (
         events.writeStream.foreachBatch(handle)
