@@ -10,7 +10,7 @@ from tributary.operators.lookup import lookup_index, unique_entities
 from tributary.schemas import CATALOG, RUN_EVENT
 from tributary.sources.catalog import catalog_from_replies
 from tributary.sources.edge_store import compact_edges, current_edges, read_edges, write_batch, write_edges
-from tributary.sources.run_events import read_run_events
+from tributary.sources.run_events import read_event_documents, read_run_events
 from tributary.streaming.edges import current_batch_edges
 
 
@@ -230,3 +230,21 @@ def test_edges_of_unknown_jobs_stay(spark):
     stamped = jobs.stamp_jobs(frame.withColumn("columns", F.array().cast("array<struct<toColumn:string>>")), known)
     documents = [json.loads(r.document)["edge"]["lineageDetails"] for r in jobs.edge_documents(stamped).collect()]
     assert sorted("pipeline" in d for d in documents) == [False, False, True]
+
+
+def test_documents_as_producers_write_them(spark, catalog, tmp_path):
+    out = {"namespace": "hive://m", "name": "x", "facets": {
+        "symlinks": {"identifiers": [{"namespace": "hive://m", "name": "db.b", "type": "TABLE"}]},
+        "schema": {"fields": [{"name": "k"}]},
+        "columnLineage": {"fields": {"k": {"inputFields": [{"namespace": "n", "name": "db.a", "field": "k"}], "transformationType": "IDENTITY"}}},
+    }}
+    document = {"eventType": "COMPLETE", "eventTime": "2024-01-01T00:00:00.000Z", "run": {"runId": "0190-uuid", "facets": {}},
+                "job": {"namespace": "n", "name": "j"}, "inputs": [{"namespace": "hive://m", "name": "db.a"}], "outputs": [out]}
+    path = tmp_path / "documents.json"
+    path.write_text("\n".join([json.dumps(document), "", "not json", json.dumps(document)]))
+    found = read_event_documents(spark, str(path))
+    ids = [r.event_id for r in found.where("run_key = '0190-uuid'").collect()]
+    assert len(ids) == 2 and len(set(ids)) == 1
+    (edge,) = current_batch_edges(found, lookup_index(catalog), catalog).collect()
+    assert (edge.from_id, edge.to_id, [c.toColumn for c in edge.columns]) == ("a", "b", ["svc.db.b.k"])
+    assert [r.reason for r in events.rejected_events(found).collect()] == ["null_type"]

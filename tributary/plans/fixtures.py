@@ -11,7 +11,7 @@ store, 3 bare name and a URL without match, 4 symlink to a table, 5 symlink to a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.operators.settings import PREFIX
@@ -326,6 +326,29 @@ def nested_events(spark: SparkSession, sf: str) -> DataFrame:
     return _documents(table(spark, sf, "orders"))
 
 
+def event_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The nested events as texts in the producers' own form."""
+    events = nested_events(spark, sf)
+
+    def written(side: str) -> Column:
+        return F.transform(side, lambda d: F.struct(
+            d["namespace"].alias("namespace"), d["name"].alias("name"),
+            F.struct(
+                F.when(d["symlinks"].isNotNull(), F.struct(d["symlinks"].alias("identifiers"))).alias("symlinks"),
+                F.when(d["column_lineage"].isNotNull(), F.struct(
+                    F.transform_values(d["column_lineage"], lambda _, f: F.struct(f.alias("inputFields"))).alias("fields")
+                )).alias("columnLineage"),
+            ).alias("facets"),
+        ))
+
+    document = F.struct(
+        F.col("event_type").alias("eventType"), F.col("event_time").alias("eventTime"), F.lit("producer").alias("producer"),
+        F.struct(F.concat(F.lit("run-"), F.col("event_id")).alias("runId")).alias("run"),
+        written("inputs").alias("inputs"), written("outputs").alias("outputs"),
+    )
+    return events.select(F.to_json(document).alias("value"))
+
+
 def nested_event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same documents, read as a stream of order files. The path is a pattern because a stream
     takes a single file only that way; it matches a folder of files just as well."""

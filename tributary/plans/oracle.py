@@ -412,6 +412,7 @@ ORACLE_SQL: dict[str, str] = {
     "lookup_candidates": _sql("SELECT table_name, place, id, fqn FROM ranked WHERE place <= 10", "ranked"),
     "lookup_first_hit": _sql("SELECT * FROM resolved", "resolved"),
     "column_lineage_pairs": _sql("SELECT * FROM column_pair", "column_pair"),
+    "run_events_from_json": _sql("SELECT * FROM column_pair", "column_pair"),
     "column_lineage_distinct": _sql(
         "SELECT DISTINCT from_id, to_id, from_column, to_column FROM column_pair", "column_pair"
     ),

@@ -14,7 +14,7 @@ from tributary.operators import settings as conf
 from tributary.plans import fixtures
 from tributary.plans.scratch import scratch_folder
 from tributary.sources import catalog as catalog_source
-from tributary.sources import execution_log
+from tributary.sources import execution_log, run_events
 from tributary.sources.edge_store import compact_edges, read_edges
 from tributary.streaming.edges import start_edges, start_rejects
 from tributary.streaming.executions import closing_row, pair_execution_streams
@@ -69,6 +69,15 @@ def run_events_long(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def run_events_from_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Producers' documents through to column pairs, by the run that each event stands for."""
+    found = run_events.from_documents(fixtures.event_documents(spark, sf))
+    by_run = found.withColumn("event_id", F.substr("run_key", F.lit(5)).cast("bigint")).drop("run_key")
+    links = edges.column_edges(by_run, _index(spark, sf), fixtures.catalog(spark, sf))
+    return edges.column_rows(links, ["event_id", "in_pos", "out_pos", "from_id", "to_id"])
+
+
 @query
 def catalog_from_search_json(spark: SparkSession, sf: str) -> DataFrame:
     found = catalog_source.catalog_from_replies(fixtures.search_replies(spark, sf))

@@ -29,6 +29,28 @@ RUN_EVENT = T.StructType([
     T.StructField("outputs", T.ArrayType(DATASET)),
 ])
 
+# Run events as producers write them, with datasets' facets nested; the field names are fixed values.
+_FACETS = T.StructType([
+    T.StructField("symlinks", T.StructType([T.StructField("identifiers", T.ArrayType(IDENTIFIER))])),
+    T.StructField("columnLineage", T.StructType([
+        T.StructField("fields", T.MapType(
+            T.StringType(), T.StructType([T.StructField("inputFields", T.ArrayType(INPUT_FIELD))])
+        )),
+    ])),
+])
+_WRITTEN_DATASET = T.StructType([
+    T.StructField("namespace", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("facets", _FACETS),
+])
+WRITTEN_EVENT = T.StructType([
+    T.StructField("eventType", T.StringType()),
+    T.StructField("eventTime", T.TimestampType()),
+    T.StructField("run", T.StructType([T.StructField("runId", T.StringType())])),
+    T.StructField("inputs", T.ArrayType(_WRITTEN_DATASET)),
+    T.StructField("outputs", T.ArrayType(_WRITTEN_DATASET)),
+])
+
 CATALOG = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("entity_type", T.StringType()),
