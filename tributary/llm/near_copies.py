@@ -40,7 +40,7 @@ _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
 def text_key(text: Column) -> Column:
-    return F.sha2(F.coalesce(text, F.lit("")), 256)
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
 def views(hashed: np.ndarray) -> list[int]:
@@ -72,7 +72,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.select(text_key(F.col("text")).alias("key"), "doc_id", "text")
-    return keyed.mapInArrow(run, f"key string, doc_id {kind}, fps array<long>")
+    return keyed.mapInArrow(run, f"key binary, doc_id {kind}, fps array<long>")
 
 
 def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -83,10 +83,12 @@ def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
             sets = [np.unique(hashes(x.as_py(), WORDS)).tobytes() for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], names=["key", "shingles"])
 
-    wanted = keys.select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"))
+    wanted = keys.select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"), "rows")
     keyed = docs.select(text_key(F.col("text")).alias("key"), "doc_id", "text")
-    chosen = keyed.join(wanted, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return chosen.select("key", "text").mapInArrow(run, "key string, shingles binary").dropDuplicates(["key"])
+    chosen = keyed.join(wanted, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    if not keys.where("rows > 1").isEmpty():  # rows that repeat a text under one doc_id
+        chosen = chosen.where("rows = 1").unionAll(chosen.where("rows > 1").dropDuplicates(["key"]))
+    return chosen.select("key", "text").mapInArrow(run, "key binary, shingles binary")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -103,7 +105,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
     left = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("a_set")), "a")
     both = left.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("b_set")), "b")
-    return both.select("a", "b", "a_set", "b_set").mapInArrow(run, "a string, b string")
+    return both.select("a", "b", "a_set", "b_set").mapInArrow(run, "a binary, b binary")
 
 
 def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -113,7 +115,8 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) ->
     classed = rows.join(simhash_dedup.classes(fps), "fp").select("key", "view", "class")
     shared = classed.groupBy("view", "class").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     left = stored(classed.join(shared, ["view", "class"]), "shared-classes")
-    involved = nodes.select("key", "doc_id").join(left.select("key").distinct(), "key", "left_semi")
+    named = nodes.select("key", "doc_id", F.col("n").alias("rows"))
+    involved = stored(named.join(left.select("key").distinct(), "key", "left_semi"), "involved")
     sets = stored(_shingle_sets(docs, involved), "shingle-sets")
     found, turn = [], 0
     while not left.isEmpty():
@@ -131,6 +134,7 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) ->
         rest = left.join(done, ["view", "class", "key"], "left_anti")
         alone = rest.groupBy("view", "class").agg(F.count("*").alias("n")).where("n > 1").drop("n")
         left, turn = stored(rest.join(alone, ["view", "class"]), "shared-classes"), turn + 1
+        sets = stored(sets.join(left.select("key").distinct(), "key", "left_semi"), "shingle-sets")
     none = nodes.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
     return reduce(DataFrame.unionAll, found, none)
 

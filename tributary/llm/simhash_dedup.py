@@ -176,13 +176,16 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
             for n, (g, r) in enumerate(parts)
         ],
     )
-    sizes = index.groupBy("part", "key").agg(F.count("*").alias("n")).where("n > 1")
-    small, hot = sizes.where(F.col("n") <= HOT).drop("n"), stored(sizes.where(F.col("n") > HOT).drop("n"), "hot-buckets")
+    # a hot bucket stands for more than HOT index rows, so this list is small beside them
+    sizes = index.groupBy("part", "key").agg(F.count("*").alias("n"))
+    hot = stored(sizes.where(F.col("n") > HOT).drop("n"), "hot-buckets")
+    some_hot = not hot.isEmpty()
+    cold = index.join(hot, ["part", "key"], "left_anti") if some_hot else index
     paired = (
-        probes.join(index.join(small, ["part", "key"]), ["part", "key"])
+        probes.join(cold, ["part", "key"])
         .where((F.col("a") != F.col("b")) & _within(distance)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
-    if hot.isEmpty():
+    if not some_hot:
         return paired
     members = probes.join(hot, ["part", "key"]).select(F.col("a").alias("fp")).unionAll(
         index.join(hot, ["part", "key"]).select(F.col("b").alias("fp"))
