@@ -53,7 +53,8 @@ def _round(state: DataFrame, rows: int, shards: int) -> tuple[DataFrame, int]:
     best = votes.groupBy("community").agg(
         F.max(F.struct("n", F.xxhash64("community", "shard").alias("tie"), "shard"))["shard"].alias("wish")
     )
-    wishing = state.join(best, "community", "left").withColumn(
+    # only linked documents: the others have no community, and would all be dealt to one task by null
+    wishing = state.where("community IS NOT NULL").join(best, "community").withColumn(
         "wish", F.when(F.col("wish") != F.col("shard"), F.col("wish"))
     )
     buckets = bucket_count(rows, shards)
@@ -95,7 +96,7 @@ def _round(state: DataFrame, rows: int, shards: int) -> tuple[DataFrame, int]:
     moved = movers.join(quotas, ["shard", "wish"]).withColumn(
         "shard", F.when(F.col("_n") < F.col("swap") + F.col("extra"), F.col("wish")).otherwise(F.col("shard"))
     )
-    stay = wishing.where("community IS NOT NULL AND wish IS NULL")
+    stay = wishing.where("wish IS NULL")
     columns = state.columns
     after = moved_free.select(columns).unionAll(moved.select(columns)).unionAll(stay.select(columns))
     return stored(after, "shards"), granted
