@@ -7,11 +7,12 @@ texts of similarity s share a view's sample with s^3: at 0.8 some view of eight
 fingerprints are linked by the generalised pigeonhole operator of ``simhash_dedup``, and the texts of a class
 are compared by their whole shingle sets.
 
-A class is never paired out: in round r its remaining texts meet 2^r leaders (the least hash of 2^r slots, drawn
-anew for each view);
-texts found similar to a leader, and the leaders, are done. So a class of copies takes one comparison each,
-and a class of different texts log-many rounds. A text that is similar only to one already assigned may stay
-as a document of its own.
+In round r the texts of a class meet 2^r leaders (of 2^r slots the text with most links so far, then the least
+hash, drawn anew for each view); only a leader leaves the class. A class is done when all its texts are known
+to be linked, so every two of its texts have been compared, or are connected already. A class of copies
+takes one comparison each, a class of different texts log-many rounds. Before the shingle sets of a pair are
+fetched, the parities of their hashes in a small table tell most different texts apart: sets whose tables
+differ in n places differ in n shingles at least, so no similar pair is lost.
 
 Defined results: equal texts are one node whatever their number, null equals empty, and all texts without
 words are copies of one another; of a group the row with
@@ -59,6 +60,24 @@ def views(hashed: np.ndarray) -> list[int]:
     return out
 
 
+def parities(distinct: np.ndarray) -> bytes:
+    """The number of shingles, and for each place of a table of about twice as many whether an odd number fell there."""
+    places = 1 << max(8, (2 * len(distinct) - 1).bit_length())
+    odd = np.bincount((distinct & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return len(distinct).to_bytes(8, "little") + np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_be_similar(a: bytes, b: bytes, similarity: float) -> bool:
+    """False only for sets that are not similar: these differ in more shingles than similar ones can."""
+    m, n = (int.from_bytes(x[:8], "little") for x in (a, b))
+    x, y = (np.frombuffer(v, dtype=np.uint8, offset=8) for v in (a, b))
+    while len(x) != len(y):  # a table of half the size has the parities of the places that fall together
+        x, y = sorted((x, y), key=len)
+        y = y[: len(y) // 2] ^ y[len(y) // 2:]
+    differ = max(abs(m - n), int(np.bitwise_count(x ^ y).sum(dtype=np.int64)))
+    return differ <= (m + n) * (1 - similarity) / (1 + similarity) + 1e-6
+
+
 def _sketched(docs: DataFrame) -> DataFrame:
     """(key, doc_id, fps) for every row."""
 
@@ -76,19 +95,23 @@ def _sketched(docs: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(key, shingles): the sorted distinct shingle hashes of the texts named by ``keys`` (key, doc_id)."""
+    """(key, shingles, parities): the sorted distinct shingle hashes of the texts named by ``keys`` (key, doc_id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(hashes(x.as_py(), WORDS)).tobytes() for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], names=["key", "shingles"])
+            sets = [np.unique(hashes(x.as_py(), WORDS)) for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array([x.tobytes() for x in sets], pa.binary()),
+                 pa.array([parities(x) for x in sets], pa.binary())],
+                names=["key", "shingles", "parities"],
+            )
 
     wanted = keys.select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"), "rows")
     keyed = docs.select(text_key(F.col("text")).alias("key"), "doc_id", "text")
     chosen = keyed.join(wanted, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     if not keys.where("rows > 1").isEmpty():  # rows that repeat a text under one doc_id
         chosen = chosen.where("rows = 1").unionAll(chosen.where("rows > 1").dropDuplicates(["key"]))
-    return chosen.select("key", "text").mapInArrow(run, "key binary, shingles binary")
+    return chosen.select("key", "text").mapInArrow(run, "key binary, shingles binary, parities binary")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -108,8 +131,38 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.select("a", "b", "a_set", "b_set").mapInArrow(run, "a binary, b binary")
 
 
+def _candidates(left: DataFrame, leaders: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of a leader and a text of its class that is not known to be linked to it, unless surely different."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("parities").to_pylist(), batch.column("_parities").to_pylist(), strict=True)
+            good = pa.array([may_be_similar(x, y, similarity) for x, y in both], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(good)
+
+    to = leaders.select("view", "class", F.col("key").alias("_key"), F.col("label").alias("_label"), F.col("parities").alias("_parities"))
+    met = left.join(to, ["view", "class"]).where((F.col("key") != F.col("_key")) & (F.col("label") != F.col("_label")))
+    pairs = met.select(F.least("key", "_key").alias("a"), F.greatest("key", "_key").alias("b"), "parities", "_parities")
+    return pairs.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _relabelled(labels: DataFrame, similar: DataFrame) -> DataFrame:
+    """(key, label, degree) with the links of a round: texts of one label are connected, not always the other way."""
+    ends = similar.unionAll(similar.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    degrees = ends.groupBy(F.col("a").alias("key")).agg(F.count("*").alias("more"))
+    named = labels.select("key", "label")
+    joined = similar.join(named.select(F.col("key").alias("a"), F.col("label").alias("x")), "a").join(
+        named.select(F.col("key").alias("b"), F.col("label").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    roots = graph.components(joined)
+    return stored(
+        labels.join(roots, labels["label"] == roots["node"], "left").join(degrees, "key", "left").select(
+            "key", F.coalesce("root", "label").alias("label"), (F.col("degree") + F.coalesce("more", F.lit(0))).alias("degree")),
+        "link-labels",
+    )
+
+
 def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b) keys of similar texts, enough to connect each class's texts with their leaders."""
+    """(a, b) keys of similar texts, enough to connect all that are similar and share a class."""
     rows = nodes.select("key", F.posexplode("fps").alias("view", "fp"))
     fps = stored(rows.select("fp").distinct(), "view-fingerprints")
     classed = rows.join(simhash_dedup.classes(fps), "fp").select("key", "view", "class")
@@ -118,23 +171,24 @@ def links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) ->
     named = nodes.select("key", "doc_id", F.col("n").alias("rows"))
     involved = stored(named.join(left.select("key").distinct(), "key", "left_semi"), "involved")
     sets = stored(_shingle_sets(docs, involved), "shingle-sets")
+    labels = involved.select("key", F.col("key").alias("label"), F.lit(0).cast("long").alias("degree"))
     found, turn = [], 0
     while not left.isEmpty():
         drawn = F.xxhash64("key", "view")  # so that each view has other leaders
-        slotted = left.withColumn("slot", F.pmod(drawn, F.lit(2**turn)))
-        least = F.min(F.struct(drawn.alias("drawn"), "key"))["key"].alias("leader")
-        leaders = stored(slotted.groupBy("view", "class", "slot").agg(least).drop("slot"), "leaders")
-        met = left.join(leaders, ["view", "class"]).where("key <> leader")
-        pairs = met.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).distinct()
+        now = left.join(labels, "key")
+        first = F.struct((-F.col("degree")).alias("links"), drawn.alias("drawn"), "key", "label")
+        slotted = now.withColumn("slot", F.pmod(drawn, F.lit(2**turn)))
+        chosen = slotted.groupBy("view", "class", "slot").agg(F.min(first).alias("x")).select("view", "class", "x.key", "x.label")
+        leaders = stored(chosen.join(sets.select("key", "parities"), "key"), "leaders")
+        pairs = _candidates(now.join(sets.select("key", "parities"), "key"), leaders, similarity)
         similar = stored(_similar(pairs, sets, similarity), "similar-pairs")
-        found.append(similar)
-        linked = met.select("view", "class", "key", F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b")).join(
-            similar, ["a", "b"]).select("view", "class", "key")
-        done = linked.unionAll(leaders.select("view", "class", F.col("leader").alias("key"))).distinct()
-        rest = left.join(done, ["view", "class", "key"], "left_anti")
-        alone = rest.groupBy("view", "class").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-        left, turn = stored(rest.join(alone, ["view", "class"]), "shared-classes"), turn + 1
-        sets = stored(sets.join(left.select("key").distinct(), "key", "left_semi"), "shingle-sets")
+        if not similar.isEmpty():
+            found.append(similar)
+            labels = _relabelled(labels, similar)
+        rest = left.join(leaders.select("view", "class", "key"), ["view", "class", "key"], "left_anti")
+        labelled = rest.join(labels.select("key", "label"), "key")
+        opened = labelled.groupBy("view", "class").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+        left, turn = stored(rest.join(opened.select("view", "class"), ["view", "class"]), "shared-classes"), turn + 1
     none = nodes.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
     return reduce(DataFrame.unionAll, found, none)
 
