@@ -151,6 +151,21 @@ def test_terms_that_disclose(make):
     assert all(clean[i] == t for i, t in enumerate(near + rest) if i >= 6)
 
 
+
+def test_documents_are_counted_once_whatever_their_mentions(make):
+    """An address ten times in a tenth of the documents tells nothing about a word of all documents."""
+    often = [" ".join(f"contact x{i}y{k} owl@example.org z{k}y{i}" for k in range(10)) for i in range(20)]
+    spans = [r.spans for r in pii.report(make(often + [f"contact number{i}" for i in range(180)])).collect()]
+    assert all("term:0:7" not in s for s in spans)
+
+
+def test_documents_without_id_count(spark):
+    texts = [f"nightowl a{i} writes to owl@example.org b{i}" for i in range(6)] + [f"words of document {i}" for i in range(200)]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    spans = [r.spans for r in pii.report(docs).collect()]
+    assert sum("term:0:8" in s for s in spans) == 6
+
+
 def test_copies_are_no_evidence(make):
     docs = make(["rareword near me@example.org today"] * 50 + [f"text {i}" for i in range(100)])
     assert all("term" not in r.spans for r in pii.report(docs).collect())

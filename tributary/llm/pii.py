@@ -155,10 +155,12 @@ def mentions(docs: DataFrame) -> DataFrame:
 
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(entity, term, share, removed): the terms that disclose an entity, from the whole corpus."""
-    near = found.select("doc_id", "row", F.explode("near").alias("n")).select("doc_id", "row", "n.entity", "n.term", "n.context")
-    pairs = near.groupBy("entity", "term", "context").agg(F.countDistinct("doc_id", "row").alias("d")).groupBy(
-        "entity", "term").agg(F.count("*").alias("contexts"), F.sum("d").alias("d_te")).where(F.col("contexts") >= MIN_CONTEXTS)
-    entities = near.select("entity", "doc_id", "row").distinct().groupBy("entity").agg(F.count("*").alias("d_e"))
+    each = found.groupBy("doc_id", "row").agg(F.count("*").alias("n"), F.first("near").alias("near"))
+    near = each.select("doc_id", "row", "n", F.explode("near").alias("x")).select("doc_id", "row", "n", "x.entity", "x.term", "x.context")
+    contexts = near.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS)
+    documents = near.select("entity", "term", "doc_id", "row", "n").distinct().groupBy("entity", "term").agg(F.sum("n").alias("d_te"))
+    pairs = documents.join(contexts, ["entity", "term"])
+    entities = near.select("entity", "doc_id", "row", "n").distinct().groupBy("entity").agg(F.sum("n").alias("d_e"))
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
     counts = docs.select(F.explode(words).alias("term")).where(F.length("term") >= MIN_TERM).groupBy("term").agg(
         F.count("*").alias("d_t"))
