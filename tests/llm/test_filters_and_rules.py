@@ -166,6 +166,21 @@ def test_documents_without_id_count(spark):
     assert sum("term:0:8" in s for s in spans) == 6
 
 
+
+def test_terms_disclose_from_anywhere_in_a_document(make):
+    """The term stands far from the mention, twice, and in a document that has no mention."""
+    far = " ".join(f"common{i}" for i in range(30))
+    texts = [f"Nightowl {far} a{i} mail owl@example.org b{i} {far} nightowl" for i in range(12)]
+    texts += ["about a nightowl alone"] + [f"{far} words of document {i}" for i in range(300)]
+    spans = {r.doc_id: r.spans for r in pii.report(make(texts)).collect()}
+    end = texts[0].rindex("nightowl")
+    assert all(s in spans[0].split(",") for s in ("term:0:8", f"term:{end}:{end + 8}"))
+    assert spans[12] == "term:8:16" and not any(spans[i] for i in range(13, 313))
+    clean = {r.doc_id: r.text for r in pii.sanitise(make(texts)).collect()}
+    assert not any("nightowl" in clean[i].lower() for i in range(13)) and clean[12] == "about a <TERM> alone"
+    assert all(clean[i] == texts[i] for i in range(13, 313))
+
+
 def test_copies_are_no_evidence(make):
     docs = make(["rareword near me@example.org today"] * 50 + [f"text {i}" for i in range(100)])
     assert all("term" not in r.spans for r in pii.report(docs).collect())

@@ -1,16 +1,18 @@
 """Personal data: fixed patterns, and terms that give the protected values away.
 
 The patterns find emails, ip addresses, card and phone numbers (the base spans). Their values are the
-protected entities. Every word within ``WINDOW`` words of a mention is a candidate term; over the whole
-corpus, d(t, e) documents have term t near entity e, d(t) have t, d(e) have e, of N. As in
+protected entities. Every word of a document that mentions one, outside its base spans, is a candidate term;
+over the whole corpus, d(t, e) documents have term t and entity e, d(t) have t, d(e) have e, of N. As in
 information-theoretic sanitisation, t discloses e by PMI(t, e) = log2(p(e | t) / p(e)) of e's information
--log2 p(e); at a share of ``DISCLOSED`` or more the term is a span of kind ``term`` near every mention of e:
-generalised in the text, or removed where documents with the term have the entity in ``REMOVED`` of the cases
-or more. Evidence from copies is not counted as evidence: a term needs ``MIN_CONTEXTS`` different
-surroundings with the entity.
+-log2 p(e); at a share of ``DISCLOSED`` or more the term is a span of kind ``term`` wherever it stands, in
+documents without a mention too: generalised in the text, or removed where documents with the term have the
+entity in ``REMOVED`` of the cases or more. Evidence from copies is not counted as evidence: a term needs
+documents with ``MIN_CONTEXTS`` different surroundings (``WINDOW`` words on both sides) of the entity.
 
-Patterns run in Arrow batches over whole texts, each linear in the text. Mentions and their surroundings are
-small rows; d(t) is a word count with partial aggregation. Texts are not shuffled to find spans.
+Patterns run in Arrow batches over whole texts, each linear in the text; the same pass counts d(t), summed per
+task before the exchange. A term of share s has d(t) <= d(e)^s N^(1-s), so only rarer terms meet the entities.
+Places of the terms come from a second pass, which sends the words that a bit table of the terms' hashes lets
+through; a join settles them. Texts are not shuffled to find spans.
 
 Defined results: a null text is an empty one and has no spans; repeated rows are found each; offsets are code
 points, end exclusive; an empty table gives no rows. ``sanitise`` leaves texts without spans as they are,
@@ -20,9 +22,11 @@ null included.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -41,6 +45,10 @@ MIN_TERM = 3
 MIN_CONTEXTS = 2
 DISCLOSED = 0.8
 REMOVED = 0.95
+#: Counts that a task holds before it sends them.
+HELD = 200_000
+#: Places of the bit table.
+PLACES = 1 << 22
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -100,31 +108,43 @@ def _entity(text: str, start: int, end: int, kind: int) -> str:
     return f"{KINDS[kind]}:{value.lower() if kind == 0 else value if kind == 1 else _digits(value)}"
 
 
-def surroundings(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """The terms near each mention, with the mention's entity and a hash of all its terms."""
-    terms = [(m.start(), m.end()) for m in _TERM.finditer(text)]
-    starts = [a for a, _ in terms]
-    taken = [(a, b) for a, b, _ in spans]
-    outside = lambda a, b: all(b <= x or a >= y for x, y in taken[max(0, bisect_right(taken, (a, a)) - 4):bisect_right(taken, (b, b)) + 1])
-    rows = []
+def words_outside(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The words of a text that no span touches, in order."""
+    found, at, covered = [], 0, 0
+    for m in _TERM.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():
+            covered = max(covered, spans[at][1])
+            at += 1
+        if m.start() >= covered:
+            found.append(m.span())
+    return found
+
+
+def terms_of(text: str, words: list[tuple[int, int]]) -> dict[str, list[tuple[int, int]]]:
+    """The terms among the words, with their places."""
+    places = defaultdict(list)
+    for a, b in words:
+        term = text[a:b].lower()
+        if len(term) >= MIN_TERM and not term.isdigit():
+            places[term].append((a, b))
+    return places
+
+
+def surroundings(text: str, spans: list[tuple[int, int, int]], words: list[tuple[int, int]]) -> dict[str, int]:
+    """Each entity of a text with a hash of the words around its mentions."""
+    starts, near = [a for a, _ in words], defaultdict(set)
     for start, end, kind in spans:
         left, right = bisect_left(starts, start), bisect_left(starts, end)
-        near = [t for t in terms[max(0, left - WINDOW):left] + terms[right:right + WINDOW] if outside(*t)]
-        words = [text[a:b].lower() for a, b in near]
-        context = xxhash.xxh64_intdigest(" ".join(words).encode("utf-8", "surrogatepass")) - (1 << 63)
-        entity = _entity(text, start, end, kind)
-        rows += [
-            {"entity": entity, "term": w, "start": a, "end": b, "context": context}
-            for w, (a, b) in zip(words, near, strict=True) if len(w) >= MIN_TERM and not w.isdigit()
-        ]
-    return rows
+        around = words[max(0, left - WINDOW):left] + words[right:right + WINDOW]
+        near[_entity(text, start, end, kind)].add(" ".join(text[a:b].lower() for a, b in around))
+    return {e: xxhash.xxh64_intdigest("\n".join(sorted(x)).encode("utf-8", "surrogatepass")) - (1 << 63) for e, x in near.items()}
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32())])
-_NEAR = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("context", pa.int64())])
+_NEAR = pa.struct([("entity", pa.string()), ("context", pa.int64())])
 _FOUND = (
     "doc_id {kind}, row long, spans array<struct<start:int,end:int,kind:int>>, "
-    "near array<struct<entity:string,term:string,start:int,end:int,context:bigint>>"
+    "entities array<struct<entity:string,context:bigint>>, terms array<string>, term string, d_t long"
 )
 
 
@@ -134,58 +154,114 @@ def row_key():
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, spans, near) for every row: the base spans and the terms near them."""
+    """(doc_id, row, spans, entities, terms) for every row: the base spans, and where there are any the entities and
+    distinct terms. Rows with a ``term`` say of how many documents of a task it is one (d_t)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, of = Counter(), None
+
+        def counted() -> pa.RecordBatch:
+            none = pa.nulls(len(held))
+            columns = [none.cast(of), none.cast(pa.int64()), none.cast(pa.list_(_SPAN)), none.cast(pa.list_(_NEAR)), none.cast(pa.list_(pa.string())),
+                       pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "spans", "entities", "terms", "term", "d_t"])
+
         for batch in batches:
-            spans, near = [], []
+            spans, entities, terms, of = [], [], [], batch.column("doc_id").type
             for x in batch.column("text"):
-                text = x.as_py()
+                text = x.as_py() or ""
                 found = base_spans(text)
+                words = words_outside(text, found)
+                own = terms_of(text, words)
+                held.update(own.keys())
                 spans.append([{"start": a, "end": b, "kind": k} for a, b, k in found])
-                near.append(surroundings(text, found) if found else [])
+                entities.append([{"entity": e, "context": c} for e, c in surroundings(text, found, words).items()] if found else [])
+                terms.append(list(own) if found else [])
+                if len(held) > HELD:
+                    yield counted()
+                    held.clear()
+            none = pa.nulls(len(spans))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), pa.array(spans, pa.list_(_SPAN)), pa.array(near, pa.list_(_NEAR))],
-                names=["doc_id", "row", "spans", "near"],
+                [batch.column("doc_id"), batch.column("row"), pa.array(spans, pa.list_(_SPAN)), pa.array(entities, pa.list_(_NEAR)),
+                 pa.array(terms, pa.list_(pa.string())), none.cast(pa.string()), none.cast(pa.int64())],
+                names=["doc_id", "row", "spans", "entities", "terms", "term", "d_t"],
             )
+        if held:
+            yield counted()
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", row_key().alias("row"), "text").mapInArrow(run, _FOUND.format(kind=kind))
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(entity, term, share, removed): the terms that disclose an entity, from the whole corpus."""
-    each = found.groupBy("doc_id", "row").agg(F.count("*").alias("n"), F.first("near").alias("near"))
-    near = each.select("doc_id", "row", "n", F.explode("near").alias("x")).select("doc_id", "row", "n", "x.entity", "x.term", "x.context")
-    contexts = near.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS)
-    documents = near.select("entity", "term", "doc_id", "row", "n").distinct().groupBy("entity", "term").agg(F.sum("n").alias("d_te"))
-    pairs = documents.join(contexts, ["entity", "term"])
-    entities = near.select("entity", "doc_id", "row", "n").distinct().groupBy("entity").agg(F.sum("n").alias("d_e"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    counts = docs.select(F.explode(words).alias("term")).where(F.length("term") >= MIN_TERM).groupBy("term").agg(
-        F.count("*").alias("d_t"))
+    """(term, removed): the terms that disclose an entity, from the whole corpus."""
+    rows = found.where(F.col("term").isNull() & (F.size("entities") > 0))
+    each = rows.groupBy("doc_id", "row").agg(F.count("*").alias("n"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
+    each = each.withColumn("key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "row"))
+    mentioned = each.select("key", "n", F.explode("entities").alias("x")).select("key", "n", "x.entity", "x.context")
     total = docs.count()
-    given = F.least(F.lit(1.0), F.col("d_te") / F.greatest("d_t", "d_te"))
     alone = F.col("d_e") / F.lit(max(total, 1))
+    entities = stored(
+        mentioned.groupBy("entity").agg(F.countDistinct("context").alias("contexts"), F.sum("n").alias("d_e")).where(
+            (F.col("contexts") >= MIN_CONTEXTS) & (alone < 1)
+        ).select("entity", "d_e", (F.pow("d_e", F.lit(DISCLOSED)) * F.pow(F.lit(float(total)), F.lit(1 - DISCLOSED)) + 1e-6).alias("most")),
+        "evident-entities",
+    )
+    most = entities.agg(F.max("most")).first()[0] or 0.0
+    of = mentioned.join(entities, "entity")
+    counts = found.where(F.col("term").isNotNull()).groupBy("term").agg(F.sum("d_t").alias("d_t")).where((F.col("d_t") >= MIN_CONTEXTS) & (F.col("d_t") <= most))
+    near = each.join(of.select("key").distinct(), "key", "left_semi").select("key", F.explode("terms").alias("term")).join(counts, "term")
+    both = near.join(of, "key").where(F.col("d_t") <= F.col("most"))
+    pairs = both.groupBy("entity", "term").agg(
+        F.countDistinct("context").alias("contexts"), F.sum("n").alias("d_te"), F.first("d_t").alias("d_t"), F.first("d_e").alias("d_e")
+    ).where(F.col("contexts") >= MIN_CONTEXTS)
+    given = F.col("d_te") / F.col("d_t")
     share = F.log2(given / alone) / -F.log2(alone)
-    return pairs.join(counts, "term").join(entities, "entity").where(alone < 1).select(
-        "entity", "term", share.alias("share"), (given >= REMOVED).alias("removed")
-    ).where(F.col("share") >= DISCLOSED)
+    return pairs.where(share >= DISCLOSED).groupBy("term").agg(F.max(given >= REMOVED).alias("removed"))
 
 
-def term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
+def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(doc_id, row, terms): the spans of disclosing terms, of the rows that have any."""
-    near = found.select("doc_id", "row", F.explode("near").alias("n")).select("doc_id", "row", "n.entity", "n.term", "n.start", "n.end")
-    hits = near.join(terms, ["entity", "term"]).groupBy("doc_id", "row", "start", "end").agg(F.max("removed").alias("removed"))
-    return hits.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set(F.struct("start", "end", "removed"))).alias("terms"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    places = terms.select(F.pmod(F.xxhash64("term"), F.lit(PLACES)).cast("int").alias("place")).distinct().toPandas()["place"].to_numpy()
+    table = np.zeros(PLACES, dtype=bool)  # as many bits however many terms
+    table[places] = True
+    bits = np.packbits(table, bitorder="little").tobytes()
+
+    def listed(term: str) -> bool:
+        place = xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), 42) % PLACES  # as xxhash64 has it
+        return bits[place >> 3] >> (place & 7) & 1 == 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, term, start, end = [], [], [], []
+            for i, x in enumerate(batch.column("text")):
+                text = x.as_py() or ""
+                if not any(map(listed, set(_TERM.findall(text.lower())))) and text.isascii():
+                    continue
+                for t, spans in terms_of(text, words_outside(text, base_spans(text))).items():
+                    if listed(t):
+                        for a, b in spans:
+                            at.append(i)
+                            term.append(t)
+                            start.append(a)
+                            end.append(b)
+            taken = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(taken), batch.column("row").take(taken), pa.array(term, pa.string()), pa.array(start, pa.int32()), pa.array(end, pa.int32())],
+                names=["doc_id", "row", "term", "start", "end"],
+            )
+
+    hits = docs.select("doc_id", row_key().alias("row"), "text").mapInArrow(run, f"doc_id {kind}, row long, term string, start int, end int")
+    return hits.join(terms, "term").groupBy("doc_id", "row").agg(F.sort_array(F.collect_set(F.struct("start", "end", "removed"))).alias("terms"))
 
 
 def find(docs: DataFrame) -> DataFrame:
     """(doc_id, row, spans, terms) for every row of ``docs`` (doc_id, text)."""
     found = stored(mentions(docs), "mentions")
-    terms = term_spans(found, stored(disclosing_terms(docs, found), "disclosing-terms"))
+    terms = term_spans(docs, stored(disclosing_terms(docs, found), "disclosing-terms"))
     keyed = terms.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "terms")
-    return found.drop("near").join(
+    return found.where(F.col("term").isNull()).select("doc_id", "row", "spans").join(
         keyed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left"
     ).select("doc_id", "row", "spans", "terms")
 
