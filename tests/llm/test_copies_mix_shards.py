@@ -251,6 +251,38 @@ def test_sharding(make, hot):
     assert len(rows) == len(texts)
 
 
+def cut_links(rows, group):
+    """Pairs of equal texts in different shards, and the fewest there can be."""
+    shard_of = defaultdict(Counter)
+    for r in rows:
+        shard_of[group[r.doc_id]][r.shard] += 1
+    pairs = lambda n: n * (n - 1) // 2
+    whole = len(rows) // 40
+    cut = fewest = 0
+    for c in shard_of.values():
+        n = sum(c.values())
+        cut += pairs(n) - sum(map(pairs, c.values()))
+        if n > whole + 1:
+            fewest += pairs(n) - n // whole * pairs(whole) - pairs(n % whole)
+    return cut, fewest
+
+
+@pytest.mark.parametrize("hot", [15, 25, 60, 333])
+def test_sharding_keeps_equal_texts_together(make, hot):
+    texts = ["hot"] * hot + [f"text {i}" for i in range(1000 - hot)]
+    rows = sharding.assign(make(texts)).collect()
+    laws_hold(rows)
+    cut, fewest = cut_links(rows, texts)
+    assert cut <= 1.02 * fewest
+
+
+def test_sharding_keeps_pairs_together_in_small_tables(make):
+    texts = [f"pair {i // 2}" for i in range(20)] + [f"text {i}" for i in range(100)]
+    rows = sharding.assign(make(texts)).collect()
+    laws_hold(rows)
+    assert cut_links(rows, texts)[0] == 0
+
+
 def test_sharding_odd_rows(odd, none):
     rows = sharding.assign(odd).collect()
     laws_hold(rows)

@@ -1,11 +1,13 @@
 """Sharding by balanced label propagation.
 
 Linked documents (equal texts) should lie in one shard, and shards should hold equally many documents: the
-law is ``rows``, counts at most one apart. Documents start dealt out evenly. In each round a linked document
+law is ``rows``, counts at most one apart. A group of more documents than a shard holds fills whole shards first,
+and what is left of it is a community as any smaller group. Documents start dealt out evenly. In each round a linked document
 wants the shard where most of its group is. Wishes from shard i to j and from j to i are granted in equal
 numbers; further wishes into j are granted up to the number of j's documents without links, which make room
-and fill the places that became free elsewhere. So counts never change while cut links go away. Groups
-larger than half a shard are cut into parts of that size first: they cannot lie in one shard.
+and fill the places that became free elsewhere. So counts never change while cut links go away. Rounds go on
+until no wish is granted: a community's wish stays the same, so every grant is for good. The links between the
+parts of a larger group have no votes: the parts' shards are full of the group, there is no place to win.
 
 DataFrame functions only. Links are never listed as pairs: a group votes by its counts per shard. Numbers
 inside a shard come from two levels (hash buckets), so no task sorts a shard.
@@ -22,7 +24,6 @@ from pyspark.sql import functions as F
 from tributary.llm.common import bucket_count, numbered, stored
 
 SHARDS = 40
-ROUNDS = 8
 EXTRA_BYTES = 16
 
 
@@ -37,14 +38,36 @@ def _start(docs: DataFrame, shards: int) -> tuple[DataFrame, int]:
         "shard-documents",
     )
     rows = base.count()
-    most = max(1, rows // (2 * shards))
+    whole, more = divmod(rows, shards)
+    # what one shard can hold; parts of one document less fit all shards, so they can be placed at once
+    most = max(1, whole + (more > 0))
+    part_size = whole if whole > 1 else most
     groups = base.groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
-    part = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("members") / most))
-    community = F.when(F.col("members").isNotNull(), F.concat_ws(":", "group", part))
-    linked = base.join(groups, "group", "left").withColumn("community", community).drop("members")
-    dealt = numbered(linked, [], ["doc_id", "group"], "_number", bucket_count(rows))
-    dealt = dealt.withColumn("shard", (F.col("_number") % shards).cast("int")).drop("_number")
-    return stored(dealt, "shards"), rows
+    linked = base.join(groups, "group", "left")
+    large = stored(groups.where(F.col("members") > most), "large-groups")
+    split = linked.where("members IS NULL OR members <= " + str(most)).withColumn("part", F.lit(None).cast("long"))
+    if not large.isEmpty():
+        cut = numbered(linked.where(F.col("members") > most), ["group"], ["doc_id"], "_in_group", bucket_count(rows))
+        split = split.unionByName(cut.withColumn("part", F.expr(f"_in_group div {part_size}")).drop("_in_group"))
+    # at most as many full parts as shards
+    full = large.select("group", F.explode(F.expr(f"sequence(0, members div {part_size} - 1)")).alias("part")) if whole > 1 else None
+    community = F.when(F.col("members").isNotNull(), F.concat_ws(":", "group", "part"))
+    named = split.withColumn("community", community).drop("members")
+    columns = ["doc_id", "size", "text_crc32", "group", "community"]
+    order, buckets = ["doc_id", "group"], bucket_count(rows)
+    if full is None or large.isEmpty():
+        dealt = numbered(named, [], order, "_number", buckets)
+        return stored(dealt.select(*columns, (F.col("_number") % shards).cast("int").alias("shard")), "shards"), rows
+    ranked = full.withColumn("_shard", (F.row_number().over(Window.orderBy("group", "part")) - 1).cast("int"))  # a row per shard
+    placed = stored(named.join(ranked, ["group", "part"], "left"), "placed-parts")
+    n = full.count()
+    others = numbered(placed.where("_shard IS NULL"), [], order, "_number", buckets)
+    rest = whole * (shards - n)
+    # the shards left get ``whole`` each; after that one document more for ``more`` of all shards
+    even = F.col("_number") % F.lit(max(1, shards - n)) + n
+    shard = F.when(F.col("_number") < rest, even).otherwise(shards - 1 - (F.col("_number") - rest)).cast("int")
+    filled = placed.where("_shard IS NOT NULL").select(*columns, F.col("_shard").alias("shard"))
+    return stored(filled.unionAll(others.select(*columns, shard.alias("shard"))), "shards"), rows
 
 
 def _round(state: DataFrame, rows: int, shards: int) -> tuple[DataFrame, int]:
@@ -102,13 +125,13 @@ def _round(state: DataFrame, rows: int, shards: int) -> tuple[DataFrame, int]:
     return stored(after, "shards"), granted
 
 
-def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def assign(docs: DataFrame, shards: int = SHARDS, rounds: int | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, community) for every document."""
     state, rows = _start(docs, shards)
-    for _ in range(rounds):
+    granted = True
+    while granted and rounds != 0:
         state, granted = _round(state, rows, shards)
-        if not granted:
-            break
+        rounds = None if rounds is None else rounds - 1
     placed = numbered(state, ["shard"], ["doc_id", "group"], "slot", bucket_count(rows, shards))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
