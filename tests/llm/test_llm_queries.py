@@ -18,10 +18,13 @@ COLUMNS = {
     "op8_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op9_sentencepiece": ["doc_id", "n_pieces", "ids", "round_trip"],
     "op10_token_counts": ["doc_id", "n_tokens"],
+    "op11_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+    "op12_vector_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
+    "op13_merkle_manifest": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     assert QUERIES.keys() == COLUMNS.keys()
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import (
+    decontaminate,
+    merkle,
     mil_quality,
     mixing,
     norm_topk,
@@ -18,6 +20,7 @@ from tributary.llm import (
     simhash_dedup,
     token_counts,
     url_filter,
+    vector_codes,
 )
 from tributary.llm.common import table
 
@@ -97,3 +100,21 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_norm_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best vectors of every fiftieth."""
     return norm_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words that stand in a benchmark passage, and the items these are of."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code and its error."""
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, its proof, and whether the proof holds after some documents were changed."""
+    return merkle.report(table(spark, sf_dir, "documents"))
