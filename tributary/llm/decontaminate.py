@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tributary.llm.common import row_columns, stored, whole_row
+from tributary.llm.common import bucket_count, numbered, row_columns, stored, whole_row
 from tributary.llm.fm_index import MOST, FMIndex
 from tributary.operators.skew import sliced_join
 
 WINDOW = 10
-SHARD = 1_000_000
+SHARD = 600_000
 BLOCK = 200_000
 TEXT = 4 << 20  # bytes of a text cut into words at a time
 
@@ -160,13 +160,11 @@ def windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return found.select("item_id", F.explode(F.array_distinct(one)).alias("win")).distinct()
 
 
-def _blocks(pairs: DataFrame, block: int) -> DataFrame:
-    """(id, block, win) of each distinct window, ``block`` of them in a block at most."""
-    wins = pairs.select("win").distinct()
-    parts = max(1, -(-2 * wins.count() // block))
-    placed = stored(wins.repartition(parts, "win").withColumn("id", F.monotonically_increasing_id()), "windows")
-    part, seq = F.shiftright("id", 33), F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.select("id", F.struct(part.alias("part"), F.floor(seq / block).alias("seq")).alias("block"), "win")
+def _numbered(pairs: DataFrame) -> DataFrame:
+    """(id, win): the distinct windows, numbered without gaps however they are dealt out."""
+    wins = pairs.select("win").distinct().withColumn("_all", F.lit(0))
+    rows = numbered(wins, ["_all"], ["win"], "id", bucket_count(pairs.count()))
+    return stored(rows.select("id", "win"), "windows")
 
 
 def _sent(ids: list[int], wins: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
@@ -251,11 +249,11 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_word
     """(key, doc_id, n_words, spans, items) of every document: the spans of words to remove, and the ids of the
     items that occur, as text in code point order."""
     pairs = stored(windows(benchmark, window), "item-windows")
-    placed = _blocks(pairs, block)
+    placed = _numbered(pairs)
     index = build(docs, window, shard_words)
     found = None
-    for (b,) in placed.select("block").distinct().collect():  # a row per block
-        rows = placed.where((F.col("block.part") == b.part) & (F.col("block.seq") == b.seq)).select("id", "win").collect()
+    for first in range(0, placed.count(), block):
+        rows = placed.where(F.col("id").between(first, first + block - 1)).collect()
         sent = docs.sparkSession.sparkContext.broadcast(_sent([r.id for r in rows], [r.win for r in rows]))
         hits = stored(search(index, sent), "window-hits")
         sent.destroy()
