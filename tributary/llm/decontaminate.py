@@ -1,6 +1,6 @@
 """Benchmark passages found in documents by an FM-index per shard, and the spans to remove.
 
-A shard is about a million words of documents that lie together; its index (``fm_index``) is built once, in
+A shard is some 600,000 words of documents that lie together; its index (``fm_index``) is built once, in
 the task that reads them, and stored with the shard's word list. Test phrases are all windows of
 ``WINDOW`` words of the benchmark's items (an item of fewer words is one window), each distinct one once. They
 go to the indexes in blocks of ``BLOCK`` windows: a block is all that passes the driver or is sent to tasks, and
@@ -118,13 +118,12 @@ def _pieces(text: str | None, room: int, overlap: int) -> Iterator[tuple[int, in
     yield offset, own, kept
 
 
-def build(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD) -> DataFrame:
-    """The stored indexes of ``docs`` (doc_id, text, and ``key``, a number of the row, if there is one)."""
+def build(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD, key: str | None = None) -> DataFrame:
+    """The stored indexes of ``docs`` (doc_id, text); ``key`` names a column that numbers the rows, if there is one."""
     if not window <= shard_words < MOST - 1:
         raise ValueError(f"shard_words must be from {window} to {MOST - 2}")
     kind = docs.schema["doc_id"].dataType
     schema = INDEX.format(kind=kind.simpleString())
-    keyed = "key" in docs.columns
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +134,7 @@ def build(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD) -> Da
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
             for i in range(batch.num_rows):
-                key = batch.column("key")[i].as_py() if keyed else rows
+                number = batch.column(key)[i].as_py() if key else rows
                 rows += 1
                 doc_id = ids[i].as_py()
                 for offset, own, words in _pieces(texts[i].as_py(), shard_words, window - 1):
@@ -143,11 +142,11 @@ def build(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD) -> Da
                         yield pa.RecordBatch.from_pylist([shard.row()], arrow)
                         shards += 1
                         shard = _Shard(shards)
-                    shard.add(key, doc_id, offset, shard.number(words), own)
+                    shard.add(number, doc_id, offset, shard.number(words), own)
         if shard.pieces:
             yield pa.RecordBatch.from_pylist([shard.row()], arrow)
 
-    wanted = docs.select(*(["key"] if keyed else []), "doc_id", "text")
+    wanted = docs.select(*([key] if key else []), "doc_id", "text")
     return stored(wanted.mapInArrow(run, schema), "fm-index")
 
 
@@ -245,12 +244,14 @@ def merged(spans: DataFrame) -> DataFrame:
     return islands.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
-def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD, block: int = BLOCK) -> DataFrame:
+def find(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD, block: int = BLOCK, key: str | None = None
+) -> DataFrame:
     """(key, doc_id, n_words, spans, items) of every document: the spans of words to remove, and the ids of the
     items that occur, as text in code point order."""
     pairs = stored(windows(benchmark, window), "item-windows")
     placed = _numbered(pairs)
-    index = build(docs, window, shard_words)
+    index = build(docs, window, shard_words, key)
     found = None
     for first in range(0, placed.count(), block):
         rows = placed.where(F.col("id").between(first, first + block - 1)).collect()
@@ -300,7 +301,7 @@ def without_spans(text: str | None, spans: Sequence | None) -> str | None:
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The table with the hit spans cut out of its texts; all other rows and columns as they were."""
     rows = stored(docs.select(whole_row(docs)).withColumn("key", F.monotonically_increasing_id()), "keyed-documents")
-    hit = find(rows.select("key", "doc.doc_id", "doc.text"), benchmark, window).where(F.size("spans") > 0).select("key", "spans")
+    hit = find(rows.select("key", "doc.doc_id", "doc.text"), benchmark, window, key="key").where(F.size("spans") > 0).select("key", "spans")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
