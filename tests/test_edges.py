@@ -108,6 +108,29 @@ def test_edges_before_a_broken_dataset_stay(read, catalog, inputs, outputs, expe
     assert {r.reason for r in events.rejected_events(frame).collect()} == {"null_symlink_namespace"}
 
 
+def test_a_large_event_is_cut_into_cells(spark, read, catalog):
+    """The product of a large event comes in the cells of a grid, over several tasks, with the same pairs."""
+    many = [dataset(f"db.x{i}") for i in range(30)]
+    fields = {"k": [field(f"db.x{i}", "k") for i in range(30)], "w": [field("db.x3", "v")]}
+    frame = read([event(1, inputs=many, outputs=[dataset(f"db.y{i}", columns=fields) for i in range(23)]),
+                  event(2, inputs=[dataset("db.a")], outputs=[dataset("db.b")])])
+    whole = events.dataset_pairs(events.named_sides(frame)).collect()
+    sides = events.named_sides(frame, cell=10)
+    assert sides.where("event_id = 1").count() == 9 and sides.where("event_id = 2").count() == 1
+    assert sides.select(F.max(F.size("ins") * F.size("outs"))).first()[0] <= 100
+    cut = events.dataset_pairs(sides).collect()
+    assert sorted(map(str, cut)) == sorted(map(str, whole)) and len(cut) == 30 * 23 + 1
+    assert sum(len(r.links) for r in cut) == 23 * 31
+    names = {r.table_name: r.n for r in events.side_names(sides).collect()}
+    assert names["db.x0"] == 23 and names["db.y0"] == 30 and names["db.a"] == 1
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which puts tiny partitions together
+    try:
+        tasks = events.dataset_pairs(sides.where("event_id = 1")).select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks > 1
+
+
 def test_events_without_an_id_are_rejected_with_a_reason(read, catalog):
     frame = read([event(None, inputs=[dataset("db.a")], outputs=[dataset("db.b")])])
     assert [r.reason for r in events.rejected_events(frame).collect()] == ["null_event_id"]

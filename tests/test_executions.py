@@ -86,6 +86,27 @@ def test_compressed_logs_are_refused(spark, tmp_path, name):
 
 def test_names_of_applications(spark, tmp_path):
     for name in ("app-1", "app-2.inprogress", "eventlog_v2_app-3/events_1_app-3"):
-        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_text("{}")
     assert {r.app_id for r in execution_log.read_event_log(spark, str(tmp_path)).collect()} == {"app-1", "app-2", "app-3"}
+
+
+def test_a_compacted_rolling_log_counts_once(spark, tmp_path):
+    line = '{"Event":"SparkListenerJobEnd","Job ID":%d,"Completion Time":0}\n'
+    files = {
+        "logs of one/eventlog_v2_app-1/events_1_app-1": [1, 2], "logs of one/eventlog_v2_app-1/events_2_app-1": [3], "logs of one/eventlog_v2_app-1/events_1_app-1.compact": [9],
+        "logs of one/eventlog_v2_app-1/events_2_app-1.compact": [1, 3], "logs of one/eventlog_v2_app-1/events_3_app-1": [4], "logs of one/eventlog_v2_app-1/events_10_app-1": [5],
+        "eventlog_v2_app-2/events_1_app-2": [7], "app-3": [8],
+    }
+    for name, ids in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("".join(line % i for i in ids))
+    found = execution_log.job_ends(execution_log.records(execution_log.read_event_log(spark, str(tmp_path)))).collect()
+    assert sorted((r.app_id, r.job_id) for r in found) == [("app-1", 1), ("app-1", 3), ("app-1", 4), ("app-1", 5), ("app-2", 7), ("app-3", 8)]
+
+
+def test_packed_compacted_logs_are_refused(spark, tmp_path):
+    (tmp_path / "eventlog_v2_app-1").mkdir()
+    (tmp_path / "eventlog_v2_app-1" / "events_1_app-1.zstd.compact").write_text("x")
+    with pytest.raises(ValueError, match="unpack it first"):
+        execution_log.read_event_log(spark, str(tmp_path))

@@ -1,7 +1,7 @@
 """Run events: gate, rejects, long form, named datasets, and pairs of inputs and outputs.
 
 Events come nested (one row holds the whole document) or long (one row per dataset reference).
-Nested events are handled inside their row and need no shuffle. Long events are collapsed per
+Nested events are paired inside their row, after one exchange that deals the rows out. Long events are collapsed per
 (event, side, name) first and paired by an equi-join that copes with hot events; a pair that
 occurs several times is one row with its number of occurrences.
 """
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.names import dataset_name, has_dataset_name, known_name
+from tributary.operators.once import built_once, let
 from tributary.operators.skew import grid_cells, on_grid
 
 KEPT_TYPES = ("COMPLETE", "START")
@@ -27,10 +28,6 @@ def passes_gate() -> Column:
     return kept_type() & (F.size("inputs") > 0) & (F.size("outputs") > 0)
 
 
-def _name(dataset: Column) -> Column:
-    return known_name(dataset["namespace"], dataset["name"], dataset["symlinks"])
-
-
 def _has_name(dataset: Column) -> Column:
     return has_dataset_name(dataset["namespace"], dataset["name"], dataset["symlinks"])
 
@@ -70,9 +67,7 @@ def accepted_events(events: DataFrame) -> DataFrame:
 
 def sent_events(events: DataFrame) -> DataFrame:
     """Events that edges may come from: those accepted, and those handled up to a broken symlink."""
-    reason = reject_reason()
-    handled = reason.isNull() | (reason == "null_symlink_namespace")
-    return events.where(handled & F.coalesce(passes_gate(), F.lit(False)))
+    return events.where(F.col("event_id").isNotNull() & F.coalesce(passes_gate(), F.lit(False)))
 
 
 def sent_refs(refs: DataFrame) -> DataFrame:
@@ -206,60 +201,101 @@ def pair_sides(events: DataFrame, sides: DataFrame, counted: DataFrame | None =
     )
 
 
-def _facet_fields(facet: Column) -> Column:
-    """Column facet as one flat list of (in_name, from_column, to_column); none gives an empty list."""
-    fields = F.flatten(
+FIELDS = "array<struct<from_column:string,to_column:string>>"
+
+
+def _facet_links(facet: Column) -> Column:
+    """Column facet as a map: the fields (from_column, to_column) by the name of the input they draw on."""
+    flat = F.flatten(
         F.transform(
             F.map_entries(facet),
             lambda entry: F.transform(
                 entry["value"],
-                lambda field: F.named_struct(
-                    F.lit("in_name"), field["name"],
-                    F.lit("from_column"), field["field"],
-                    F.lit("to_column"), entry["key"],
+                lambda field: F.struct(
+                    field["name"].alias("in_name"), field["field"].alias("from_column"), entry["key"].alias("to_column")
                 ),
             ),
         )
     )
-    return F.coalesce(fields, F.array().cast("array<struct<in_name:string,from_column:string,to_column:string>>"))
-
-
-def _before(datasets: str, broken: Column) -> Column:
-    """The datasets before the 1-based position ``broken``, all of them for 0."""
-    return F.when(broken > 0, F.slice(datasets, F.lit(1), broken - 1)).otherwise(F.col(datasets))
 
+    def by_input(fields: Column) -> Column:
+        names = F.array_distinct(F.filter(fields["in_name"], lambda name: name.isNotNull()))
+        of = lambda name: F.transform(
+            F.filter(fields, lambda f: f["in_name"] == name),
+            lambda f: F.struct(f["from_column"].alias("from_column"), f["to_column"].alias("to_column")),
+        )
+        return F.map_from_arrays(names, F.transform(names, of)).cast(f"map<string,{FIELDS}>")
 
-def _first_broken(datasets: str) -> Column:
-    return F.array_position(F.transform(datasets, _broken_symlink), True).cast("int")
+    return F.when(F.size(facet) > 0, let(flat, by_input))
 
 
-def _named_only(datasets: Column, *fields: tuple[str, Column]) -> Column:
-    """(pos, name, ...) of the datasets that have a name."""
-    kept = F.filter(
-        F.transform(datasets, lambda d, i: F.struct((i + 1).cast("bigint").alias("pos"), d.alias("dataset"), _has_name(d).alias("known"))),
-        lambda x: x["known"],
-    )
+def _checked(datasets: str, *fields: tuple[str, Column]) -> Column:
+    """(pos, name, broken, ...) of every dataset; a dataset without a name has none."""
     return F.transform(
-        kept, lambda x: F.struct(x["pos"].alias("pos"), _name(x["dataset"]).alias("name"), *[f(x["dataset"]).alias(n) for n, f in fields])
+        datasets,
+        lambda d, i: F.struct(
+            (i + 1).cast("bigint").alias("pos"),
+            dataset_name(d["namespace"], d["name"], d["symlinks"]).alias("name"),
+            F.coalesce(_broken_symlink(d), F.lit(False)).alias("broken"),
+            *[of(d).alias(n) for n, of in fields],
+        ),
     )
 
 
-def named_sides(events: DataFrame) -> DataFrame:
+def _reached(datasets: str) -> Column:
+    """The named datasets before the first broken one."""
+    first = F.array_position(F.col(datasets)["broken"], True)
+    return let(first, lambda end: F.filter(datasets, lambda d: d["name"].isNotNull() & ((end == 0) | (d["pos"] < end))))
+
+
+def _cells(ins: str, outs: str, cell: int) -> Column:
+    """The product of both sides as cells (row, column) of ``cell`` datasets a side; one cell if it is not
+    larger than that."""
+    parts = lambda side: F.when(
+        F.size(ins).cast("bigint") * F.size(outs) > cell * cell, F.ceil(F.size(side) / cell)
+    ).otherwise(1).cast("int")
+    numbers = lambda side: F.sequence(F.lit(0), F.greatest(parts(side), F.lit(1)) - 1)
+    return F.flatten(F.transform(
+        numbers(ins), lambda i: F.transform(numbers(outs), lambda j: F.struct(i.alias("row"), j.alias("col")))
+    ))
+
+
+def named_sides(events: DataFrame, cell: int = CELL) -> DataFrame:
     """Nested events with the named datasets of both sides that are reached, as ``ins`` and ``outs``.
 
     Inputs are gone through in order, and for each all outputs. The first broken input ends the event. A
     broken output ends it during the first named input, which then has met the outputs before it; no later
     input is reached.
+
+    Documents are read once and datasets named once; then one exchange deals the sides out, which all that
+    follows reads: the names, and the pairs. An event whose product is above ``cell * cell`` comes as the
+    cells of a grid, so several tasks make its pairs.
     """
-    found = sent_events(events).select(
-        "event_id", "event_time", "run_id", "inputs", "outputs",
-        _first_broken("inputs").alias("bad_in"), _first_broken("outputs").alias("bad_out"),
+    keep = ("event_id", "event_time", "run_id")
+    found = built_once(
+        sent_events(events),
+        _checked("inputs", ("raw", lambda d: d["name"])).alias("inputs"),
+        _checked("outputs", ("links", lambda d: _facet_links(d["column_lineage"]))).alias("outputs"),
+        keep=keep,
     )
-    ins = _named_only(_before("inputs", F.col("bad_in")), ("raw", lambda d: d["name"]))
-    outs = _named_only(_before("outputs", F.col("bad_out")), ("fields", lambda d: _facet_fields(d["column_lineage"])))
-    sides = found.select("event_id", "event_time", "run_id", "bad_out", ins.alias("ins"), outs.alias("outs"))
-    first_only = F.when(F.col("bad_out") > 0, F.slice("ins", 1, 1)).otherwise(F.col("ins"))
-    return sides.select("event_id", "event_time", "run_id", first_only.alias("ins"), "outs")
+    bad_out = F.exists("outputs", lambda d: d["broken"])
+    ins = let(_reached("inputs"), lambda reached: F.when(bad_out, F.slice(reached, 1, 1)).otherwise(reached))
+    sides = built_once(
+        found,
+        F.transform(ins, lambda d: F.struct(d["pos"].alias("pos"), d["name"].alias("name"), d["raw"].alias("raw"))).alias("ins"),
+        F.transform(_reached("outputs"), lambda d: F.struct(d["pos"].alias("pos"), d["name"].alias("name"), d["links"].alias("links"))).alias("outs"),
+        keep=keep,
+    ).where((F.size("ins") > 0) & (F.size("outs") > 0))
+    cells = sides.select("*", F.explode(_cells("ins", "outs", cell)).alias("cell"))
+    whole = F.size("ins").cast("bigint") * F.size("outs") <= cell * cell
+
+    def part(side: str, number: Column) -> Column:
+        return F.when(whole, F.col(side)).otherwise(F.slice(side, number * cell + 1, F.lit(cell)))
+
+    cut = cells.select(*keep, part("ins", F.col("cell.row")).alias("ins"), part("outs", F.col("cell.col")).alias("outs"),
+                       F.monotonically_increasing_id().alias("_at"))
+    dealt = cut.repartition("_at")  # a number per row: no event, however often it was sent, is one task's
+    return built_once(dealt, *[F.col(c).alias(c) for c in (*keep, "ins", "outs")])
 
 
 def side_names(sides: DataFrame) -> DataFrame:
@@ -275,16 +311,17 @@ def side_names(sides: DataFrame) -> DataFrame:
 def dataset_pairs(sides: DataFrame) -> DataFrame:
     """Pairs of the datasets of ``named_sides``, made inside the event's row.
 
-    ``links`` holds the facet fields of the output that draw on this input, by the input's own name.
-    Outputs come apart first and leave only names behind, so their facets are not copied per pair.
+    ``links`` holds the facet fields of the output that draw on this input: the input looks itself up by its
+    own name. Outputs come apart first and leave only names behind, so their facets are not copied per pair.
     """
     keep = ["event_id", "event_time", "run_id"]
     targets = sides.select(*keep, "ins", F.explode("outs").alias("target"))
+    drawn = F.try_element_at("target.links", F.col("source.raw"))
     return targets.select(*keep, "target", F.explode("ins").alias("source")).select(
         *keep,
         F.col("source.pos").alias("in_pos"),
         F.col("target.pos").alias("out_pos"),
         F.col("source.name").alias("from_name"),
         F.col("target.name").alias("to_name"),
-        F.filter("target.fields", lambda field: field["in_name"] == F.col("source.raw")).alias("links"),
+        F.coalesce(drawn, F.array().cast(FIELDS)).alias("links"),
     )

@@ -7,10 +7,13 @@ apart. ``app_id`` is the log's name, as ids are unique inside one application on
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.operators.once import built_once
+
 # Names of events and fields are fixed values of Spark's event log.
 SQL_START = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart"
 SQL_END = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionEnd"
@@ -19,7 +22,8 @@ JOB_END = "SparkListenerJobEnd"
 TASK_END = "SparkListenerTaskEnd"
 ENVIRONMENT = "SparkListenerEnvironmentUpdate"
 EVENTS = (SQL_START, SQL_END, JOB_START, JOB_END, TASK_END, ENVIRONMENT)
-PACKED = r"\.(lz4|lzf|snappy)(\.inprogress)?$|\.zstd\.inprogress$"  # what Spark's text reader does not unpack
+PACKED = r"\.(lz4|lzf|snappy)(\.inprogress|\.compact)?$|\.zstd\.(inprogress|compact)$"  # what Spark's text reader does not unpack
+ROLLED = r"^(.*/eventlog_v2_[^/]+)/events_(\d+)_[^/]+?(\.compact)?$"
 
 FIELDS = """
   `Event` STRING, `executionId` BIGINT, `time` BIGINT,
@@ -42,12 +46,29 @@ def _app_of(path: Column) -> Column:
     return F.when(rolling != "", rolling).otherwise(single)
 
 
+def superseded(files: list[str]) -> set[str]:
+    """The files of rolling logs that a compacted file stands for: all up to its own number, other compacted ones
+    included. It holds what is still wanted of them."""
+    rolled = [(f, m.group(1), int(m.group(2)), bool(m.group(3))) for f in files if (m := re.match(ROLLED, f))]
+    newest: dict[str, int] = {}
+    for _, log, number, compact in rolled:
+        if compact:
+            newest[log] = max(number, newest.get(log, -1))
+    return {f for f, log, number, compact in rolled if number < newest.get(log, -1) or (number == newest.get(log) and not compact)}
+
+
 def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    """(value, app_id) of every line below ``path``. Logs in another compression than zstd are refused: their
-    lines would match nothing and the result would be empty without a word."""
+    """(value, app_id) of every line below ``path``. Where a rolling log has been compacted, the newest compacted file
+    and those after it count. Logs in another compression than zstd, and compacted or unfinished ones in any, are
+    refused: their lines would match nothing and the result would be empty without a word."""
     lines = spark.read.text(path, recursiveFileLookup=True)
-    if packed := [f for f in lines.inputFiles() if re.search(PACKED, f)]:
+    files = lines.inputFiles()
+    gone = superseded(files)
+    kept = [f for f in files if f not in gone]
+    if packed := [f for f in kept if re.search(PACKED, f)]:
         raise ValueError(f"compressed event log, unpack it first: {packed[0]} ({len(packed)} files)")
+    if gone:
+        lines = spark.read.text([unquote(f) for f in kept])
     return lines.select("value", _app_of(F.col("_metadata.file_path")).alias("app_id"))
 
 
@@ -57,8 +78,8 @@ def records(lines: DataFrame) -> DataFrame:
     for event in EVENTS:
         used = used | F.col("value").contains(event)
     others = [c for c in lines.columns if c != "value"]
-    parsed = lines.where(used).select(*others, F.from_json("value", FIELDS).alias("record"))
-    return parsed.select(*others, "record.*").where(F.col("Event").isin(*EVENTS))
+    parsed = built_once(lines.where(used), F.from_json("value", FIELDS).alias("record"), keep=tuple(others))
+    return parsed.where(F.col("record.Event").isin(*EVENTS)).select(*others, "record.*")
 
 
 def _of(parsed: DataFrame, event: str, **columns: Column) -> DataFrame:

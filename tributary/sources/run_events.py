@@ -2,12 +2,14 @@
 
 ``read_run_events`` reads rows that already have the library's schema. Producers' own documents, one JSON text
 per line, go through ``from_documents``: run ids are strings there (``run_key``), and an event has no id, so it
-gets the hash of its text: the same document is the same event however often it is read.
+gets the hash of its text: the same document is the same event however often it is read. A text is parsed once and
+its datasets are built once, whatever reads them.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.operators.once import built_once
 from tributary.schemas import DATASET, RUN_EVENT, WRITTEN_EVENT
 
 
@@ -39,15 +41,13 @@ def _datasets(written: str) -> Column:
 def from_documents(lines: DataFrame) -> DataFrame:
     """Run events and their ``run_key`` from JSON texts in ``value``. A text that is no document gives an event
     without a type, which the rejects then hold; an empty line gives none."""
-    parsed = lines.where(F.trim("value") != "").select("value", F.from_json("value", WRITTEN_EVENT).alias("e"))
-    return parsed.select(
-        F.xxhash64("value").alias("event_id"),
-        F.col("e.eventType").alias("event_type"),
-        F.col("e.eventTime").alias("event_time"),
-        F.xxhash64("e.run.runId").alias("run_id"),
-        F.col("e.run.runId").alias("run_key"),
-        "e.inputs", "e.outputs",
-    ).select("event_id", "event_type", "event_time", "run_id", "run_key", _datasets("inputs").alias("inputs"), _datasets("outputs").alias("outputs"))
+    parsed = built_once(lines.where(F.trim("value") != ""), F.from_json("value", WRITTEN_EVENT).alias("e"), keep=("value",))
+    run = F.col("e.run.runId")
+    return built_once(
+        parsed,
+        F.xxhash64("value").alias("event_id"), F.col("e.eventType").alias("event_type"), F.col("e.eventTime").alias("event_time"),
+        F.xxhash64(run).alias("run_id"), run.alias("run_key"), _datasets("e.inputs").alias("inputs"), _datasets("e.outputs").alias("outputs"),
+    )
 
 
 def read_event_documents(spark: SparkSession, path: str) -> DataFrame:
