@@ -14,7 +14,8 @@ from tributary.plans.scratch import scratch_folder
 from tributary.schemas import RUN_EVENT
 from tributary.sources.edge_store import current_edges
 from tributary.sources.run_events import stream_run_events
-from tributary.streaming.edges import current_batch_edges, start_edges
+from tributary.sources import edge_table, manifest
+from tributary.streaming.edges import current_batch_edges, start_edges, start_table_edges
 from tributary.streaming.executions import closing_row, missing_pairs, pair_execution_streams
 
 
@@ -58,6 +59,85 @@ def test_many_batches_and_a_replay(spark, sf, tmp_path, documents):
     assert flat(current_edges(spark, f"{base}/edges")) == expected
 
 
+def edge_keys(df):
+    return {(r.from_id, r.to_id) for r in df.collect()}
+
+
+def start_table(spark, base, documents, run, files=1):
+    events = spark.readStream.schema(RUN_EVENT).option("maxFilesPerTrigger", files).json(documents)
+    return start_table_edges(events, f"{base}/catalog", f"{base}/table", f"{base}/rejects", f"{base}/cp-{run}", run)
+
+
+def test_table_stream_equals_batch_and_compacts(spark, sf, tmp_path, documents):
+    base = str(tmp_path)
+    catalog = fixtures.catalog(spark, sf)
+    assert edge_table.publish_catalog(catalog, f"{base}/catalog") == 0
+    for _ in range(2):  # the second finds nothing new
+        start_table(spark, base, documents, "first").awaitTermination()
+    _, rows = manifest.live(spark, f"{base}/table")
+    assert [(r.run, r.batch, r.version) for r in rows] == [("first", b, 0) for b in range(4)]
+    batch = fixtures.nested_events(spark, sf).where("event_id < 600")
+    expected = flat(current_batch_edges(batch, lookup_index(catalog), catalog))
+    assert expected and flat(edge_table.current_table(spark, f"{base}/table")) == expected
+    edge_table.compact_table(spark, f"{base}/table")
+    read = edge_table.read_table(spark, f"{base}/table")
+    assert flat(read) == expected and all("/compacted/" in f for f in read.inputFiles())
+    assert len(edge_table.retired(spark, f"{base}/table")) == 4
+    # another run from the start, of larger and so fewer batches: its first batch retires the run before it
+    start_table(spark, base, documents, "second", files=3).awaitTermination()
+    _, rows = manifest.live(spark, f"{base}/table")
+    assert [(r.run, r.batch) for r in rows] == [("second", 0), ("second", 1)]
+    assert flat(edge_table.current_table(spark, f"{base}/table")) == expected
+
+
+def test_a_run_that_starts_over_leaves_no_stale_edge(spark, sf, tmp_path):
+    base, table = str(tmp_path), str(tmp_path / "table")
+    edges = current_batch_edges(fixtures.nested_events(spark, sf).where("event_id < 300"), lookup_index(fixtures.catalog(spark, sf)), fixtures.catalog(spark, sf))
+    edges.write.parquet(f"{base}/edges")
+    stored = spark.read.parquet(f"{base}/edges")
+    first, second = stored.where("event_id % 2 = 0"), stored.where("event_id % 2 = 1")
+    edge_table.add_batch(first, table, "a", 0)
+    edge_table.add_batch(second, table, "a", 1)
+    edge_table.add_batch(second, table, "a", 1)  # runs again
+    assert edge_keys(edge_table.read_table(spark, table)) == edge_keys(stored)
+    edge_table.compact_table(spark, table)
+    edge_table.add_batch(first, table, "b", 0)
+    assert edge_keys(edge_table.read_table(spark, table)) == edge_keys(first)
+    edge_table.add_batch(second, table, "c", 0, replaces=False)
+    assert edge_keys(edge_table.read_table(spark, table)) == edge_keys(stored)
+    edge_table.compact_table(spark, table)
+    assert len(manifest.live(spark, table)[1]) == 2  # one folder a run
+    with pytest.raises(Exception, match="already exists"):  # another change came first
+        manifest.publish(spark, table, manifest.newest(spark, table) - 1, [])
+    assert edge_table.read_table(spark, f"{base}/none").collect() == []
+
+
+def test_an_entry_that_arrives_between_batches(spark, sf, tmp_path, documents):
+    """The catalog knows nothing at first; the entries come before the third file."""
+    base = str(tmp_path)
+    catalog = fixtures.catalog(spark, sf)
+    edge_table.publish_catalog(catalog.limit(0), f"{base}/catalog")
+    os.makedirs(f"{base}/in")
+    files = sorted(f for f in os.listdir(documents) if f.startswith("part-"))
+
+    def arrive(some):
+        for name in some:
+            os.link(f"{documents}/{name}", f"{base}/in/{name}")
+        start_table(spark, base, f"{base}/in", "only").awaitTermination()
+
+    arrive(files[:2])
+    assert edge_table.read_table(spark, f"{base}/table").collect() == []
+    assert edge_table.publish_catalog(catalog, f"{base}/catalog") == 1
+    arrive(files[2:])
+    late = spark.read.schema(RUN_EVENT).json([f"{documents}/{f}" for f in files[2:]])
+    assert flat(edge_table.current_table(spark, f"{base}/table")) == flat(current_batch_edges(late, lookup_index(catalog), catalog))
+    assert [r.version for r in manifest.live(spark, f"{base}/table")[1]] == [0, 0, 1, 1]
+    # a batch that was written uses its own version again
+    assert edge_table.batch_version(spark, f"{base}/table", "only", 1) == 0
+    with pytest.raises(ValueError, match="no catalog"):
+        edge_table.read_catalog_version(spark, f"{base}/nowhere")
+
+
 def run_pairs(spark, base, starts, ends, bound, delay="0 seconds"):
     streams = []
     for name, rows, closing_id in (("starts", starts, -1), ("ends", ends, -2)):

@@ -1,8 +1,10 @@
 """Run events as a stream: edges to one table, rejected events to another.
 
 Every event is handled alone when it arrives, so the query keeps no state. Each micro-batch resolves
-its distinct names against a lookup index that was written once, and writes its own folder in both
-tables: running a batch again gives the same files.
+its distinct names against a lookup index, and writes its own folder in both tables: running a batch again
+gives the same files. ``start_edges`` takes an index that was written once; ``start_table_edges`` reads the
+newest version of the catalog at every micro-batch, so an entry that arrives while the stream runs is found from
+the next batch on.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tributary.operators.edges import column_edges, column_set, upsert
 from tributary.operators.events import rejected_events
 from tributary.sources.edge_store import write_batch
+from tributary.sources.edge_table import add_batch, batch_version, read_catalog_version
 
 
 def current_batch_edges(events: DataFrame, index: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -65,3 +68,28 @@ def start_edges(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def start_table_edges(
+    events: DataFrame, catalog_path: str, table: str, rejects_path: str, checkpoint: str, run: str, replaces: bool = True, **trigger
+) -> StreamingQuery:
+    """Edges into a table under a manifest, each micro-batch resolved with the newest catalog below ``catalog_path``.
+    ``run`` names what goes with one checkpoint: a run started over takes a new name, and with ``replaces`` retires
+    what the runs before it wrote."""
+    spark = events.sparkSession
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        version, index, catalog = read_catalog_version(spark, catalog_path, batch_version(spark, table, run, batch_id))
+        batch.persist()
+        try:
+            write_rejects(batch, f"{rejects_path}/run={run}", batch_id)
+            add_batch(current_batch_edges(batch, index, catalog), table, run, batch_id, version, replaces)
+        finally:
+            batch.unpersist()
+
+    return (
+        events.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
