@@ -66,6 +66,50 @@ def test_first_hits(world, services):
     assert got == expected
 
 
+def test_wanted_keeps_what_is_asked(world):
+    names, entries, frame, catalog = world
+    some = frame.where("length(table_name) > 3")
+    keys = lookup.search_keys(catalog)
+    kept = lookup.wanted(keys, lookup._keyed(some))
+    asked = {r.table_name for r in some.collect()}
+    rows = kept.collect()
+    assert sorted(r for r in rows if r.key in asked) == sorted(r for r in keys.collect() if r.key in asked)
+    assert len(rows) < keys.count() / 2
+    assert lookup.wanted(keys, lookup._keyed(some).limit(0)).collect() == []
+
+
+def test_repeated_entities_count_once(world):
+    names, entries, frame, catalog = world
+    twice = lookup.search_keys(catalog.unionAll(catalog))
+    assert bag(lookup.hits(frame, twice)) == bag(lookup.hits(frame, lookup.search_keys(catalog)))
+    assert bag(lookup.hit_counts(frame, twice)) == bag(lookup.hit_counts(frame, lookup.search_keys(catalog)))
+
+
+def bag(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("first_only", [True, False])
+def test_services_per_application(spark, world, first_only):
+    names, entries, frame, catalog = world
+    lists = {1: ["s0"], 2: ["s1", "s0"], 3: ["s0.x", "nowhere", "s1"], 4: [], 5: [""], 7: ["nowhere", "s0"]}
+    asked = [(app, n) for app in range(1, 9) for n in names]
+    got = lookup.resolve_per_application(
+        spark.createDataFrame(asked, "app_id bigint, table_name string"),
+        spark.createDataFrame(list(lists.items()), "app_id bigint, services array<string>"), catalog, first_only,
+    ).collect()
+    expected = {}
+    for app, n in asked:
+        services = lists.get(app) or [None]
+        for service in services[:1] if first_only else services:
+            found = sorted((e for e in entries if matches(n, e, service)), key=order)
+            if found:
+                expected[app, n] = (found[0][1], found[0][0], found[0][2])
+                break
+    assert {(r.app_id, r.table_name): (r.entity_type, r.id, r.fqn) for r in got} == expected
+    assert len(got) == len(expected) > 100
+
+
 def test_only_the_first_service_is_asked():
     assert lookup.first_service(["a", "b"]) == ["a"]
     assert lookup.first_service([]) == []

@@ -1,4 +1,4 @@
-from tributary.operators import settings
+from tributary.operators import jobs, settings
 
 
 def frame(spark, rows):
@@ -50,3 +50,15 @@ def test_tree_reports_conflicts(spark):
         (2, ("transport", "type")): ("http", None, False),
         (2, ("facets", "disabled")): (None, ["[x]"], False),
     }
+
+
+def test_jobs_and_services_of_applications(spark):
+    p = settings.PREFIX + "transport."
+    rows = [(1, p + "pipelineName", "nightly"), (1, p + "pipelineServiceName", "spark"), (1, p + "pipelineDescription", " "),
+            (2, p + "pipelineServiceName", "spark"), (3, p + "pipelineName", "other"), (3, p + "databaseServiceNames", "a,,b,,"),
+            (4, p + "databaseServiceNames", ","), (5, p + "databaseServiceNames", "")]
+    found = frame(spark, rows)
+    assert {tuple(r) for r in settings.jobs(found).collect()} == {(1, "nightly", None, None, "spark"), (3, "other", None, None, None)}
+    assert {r.app_id: r.services for r in settings.service_lists(found).collect()} == {3: ["a", "", "b"], 4: [], 5: [""]}
+    listed = spark.createDataFrame([("nightly", "j2"), ("nightly", "j1")], "name string, job_id string")
+    assert {(r.app_id, r.job_id) for r in jobs.with_ids(settings.jobs(found), listed).collect()} == {(1, "j1"), (3, None)}

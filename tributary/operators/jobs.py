@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.documents import edge_document, job_document, service_document
@@ -16,9 +16,19 @@ def current_jobs(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy("name").agg(last).select("name", "last.*")
 
 
+def document_of() -> Column:
+    return job_document(F.col("name"), *[F.col(c) for c in JOB_COLUMNS])
+
+
 def job_documents(jobs: DataFrame) -> DataFrame:
-    document = job_document(F.col("name"), *[F.col(c) for c in JOB_COLUMNS])
-    return current_jobs(jobs).select("name", document.alias("document"))
+    return current_jobs(jobs).select("name", document_of().alias("document"))
+
+
+def with_ids(jobs: DataFrame, listed: DataFrame) -> DataFrame:
+    """Add ``job_id`` from the jobs that the catalog lists (name, job_id); of several with one name the least counts,
+    and a job that is not listed yet has none."""
+    ids = listed.groupBy("name").agg(F.min("job_id").alias("job_id"))
+    return jobs.join(ids, "name", "left")
 
 
 def service_documents(jobs: DataFrame) -> DataFrame:

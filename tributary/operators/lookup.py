@@ -10,6 +10,11 @@ top-k, so no key is hot where only the best entries or a count are asked for.
 Within a service the FQN must start with the service and a dot, and the name must end what is left:
 the suffixes are then those of the rest.
 
+Where the names are known, suffixes that no name asks for are dropped in the map tasks that make them
+(``wanted``), so that what is shuffled follows the names and not the catalog.
+
+Services may be data: every application has its own list, and one index keyed by (scope, name) serves them all.
+
 First hit: order of services, then the shortest FQN, then FQN, then id.
 """
 
@@ -19,13 +24,14 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.names import CONTAINER_INDEX, TABLE_INDEX, lookup_index_of
 from tributary.operators.skew import sliced_join
 
 PAGE_SIZE = 10  # candidates a lookup asks for
+WORDS = 1 << 17  # 64-bit words of the filter of wanted names: a broadcast of 2 MB at most
 
 # What each index holds.
 ENTITY_TYPES = {TABLE_INDEX: "table", CONTAINER_INDEX: "container"}
@@ -66,15 +72,37 @@ def container_keys(catalog: DataFrame) -> DataFrame:
 
 
 def search_keys(catalog: DataFrame, services: Sequence[str] = ()) -> DataFrame:
-    """Every key an entity answers to. Services scope tables only."""
-    return table_keys(catalog, services).unionByName(container_keys(catalog))
+    """Every key an entity answers to, of one row per entity. Services scope tables only."""
+    entities = unique_entities(catalog, "fqn", "full_path")
+    return table_keys(entities, services).unionByName(container_keys(entities))
+
+
+def _bits(*key: str) -> tuple[Column, Column]:
+    """Place of a key in the filter: the word, and two bits of it."""
+    h = F.xxhash64(*key)
+    one = lambda shift: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, shift).bitwiseAND(63).cast("int"))
+    return F.pmod(h, F.lit(WORDS)).alias("_word"), one(20).bitwiseOR(one(40)).alias("_mask")
+
 
+def wanted(keys: DataFrame, names: DataFrame, on: Sequence[str] = ("index", "key")) -> DataFrame:
+    """``keys`` without nearly all that no row of ``names`` (``on``) asks for; what is asked for stays.
 
-def lookup_index(catalog: DataFrame, services: Sequence[str] = ()) -> DataFrame:
-    """The first hit of every key that has one. Worth writing out where the catalog is reused."""
+    A Bloom filter made of plain rows: a word per row, ``WORDS`` of them at most, whatever the number of names.
+    That bound is why it is broadcast, so keys meet it in the task that makes them, before any exchange. With
+    very many names it fills up and drops less, never more."""
+    word, mask = _bits(*on)
+    filled = names.select(word, mask).groupBy("_word").agg(F.bit_or("_mask").alias("_filled"))
+    hit = F.col("_filled").bitwiseAND(F.col("_mask")) == F.col("_mask")
+    return keys.select("*", word, mask).join(F.broadcast(filled), "_word").where(hit).drop("_word", "_mask", "_filled")
+
+
+def lookup_index(catalog: DataFrame, services: Sequence[str] = (), names: DataFrame | None = None) -> DataFrame:
+    """The first hit of every key that has one, or of those that ``names`` (table_name) ask for. Without names it
+    is worth writing out where the catalog is reused."""
     order = F.struct("rank", F.length("fqn").alias("len"), "fqn", "id")
+    keys = table_keys(catalog, services).unionByName(container_keys(catalog))
     return (
-        search_keys(catalog, services)
+        (keys if names is None else wanted(keys, _keyed(names)))
         .groupBy("index", "key")
         .agg(F.min(order).alias("best"))
         .select(
@@ -108,15 +136,17 @@ def first_hits(names: DataFrame, index: DataFrame) -> DataFrame:
 
 def hits(names: DataFrame, keys: DataFrame) -> DataFrame:
     """Every catalog entry a name matches. A key may be hot in the catalog, hence the sliced join."""
-    wanted = _keyed(names)
+    asked = _keyed(names)
+    keys = wanted(keys, asked)
     counts = keys.groupBy("index", "key").agg(F.count(F.lit(1)).alias("n"))
-    return sliced_join(keys, wanted, ["index", "key"], ["id", "fqn"], counts).drop("index", "key")
+    return sliced_join(keys, asked, ["index", "key"], ["id", "fqn"], counts).drop("index", "key")
 
 
 def hit_counts(names: DataFrame, keys: DataFrame) -> DataFrame:
-    counts = keys.groupBy("index", "key").agg(F.count(F.lit(1)).alias("found"))
+    asked = _keyed(names)
+    counts = wanted(keys, asked).groupBy("index", "key").agg(F.count(F.lit(1)).alias("found"))
     return (
-        _keyed(names)
+        asked
         .join(counts, ["index", "key"], "left")
         .select("table_name", F.coalesce("found", F.lit(0)).cast("bigint").alias("hits"))
     )
@@ -126,8 +156,9 @@ def candidates(names: DataFrame, keys: DataFrame, page: int = PAGE_SIZE) -> Data
     """The first page of hits per name. Ranking by key comes first: Spark then cuts every
     key to a page in each map task, before the shuffle."""
     order = Window.partitionBy("index", "key").orderBy("rank", F.length("fqn"), "fqn", "id")
-    pages = keys.withColumn("place", F.row_number().over(order)).where(F.col("place") <= page)
-    return _keyed(names).join(pages, ["index", "key"]).drop("index", "key", "rank")
+    asked = _keyed(names)
+    pages = wanted(keys, asked).withColumn("place", F.row_number().over(order)).where(F.col("place") <= page)
+    return asked.join(pages, ["index", "key"]).drop("index", "key", "rank")
 
 
 def unresolved(names: DataFrame, index: DataFrame) -> DataFrame:
@@ -136,14 +167,56 @@ def unresolved(names: DataFrame, index: DataFrame) -> DataFrame:
     return _keyed(names).join(keys, ["index", "key"], "left_anti").drop("index", "key")
 
 
-def unique_entities(catalog: DataFrame) -> DataFrame:
-    """One row per entity: replies of a catalog may repeat one. Of several rows the greatest stays. Lookups
-    that list hits count a repeated row as a hit of its own, so a catalog read from replies goes through this
-    first."""
-    last = F.max(F.struct("fqn", "full_path", "column_names")).alias("last")
+def unique_entities(catalog: DataFrame, *columns: str) -> DataFrame:
+    """One row per entity: replies of a catalog may repeat one. Of several rows the greatest stays."""
+    last = F.max(F.struct(*(columns or ("fqn", "full_path", "column_names")))).alias("last")
     return catalog.groupBy("id", "entity_type").agg(last).select("id", "entity_type", "last.*")
 
 
+# Services as data
+
+
+def scopes(services: Column, first_only: bool = True) -> Column:
+    """What an application's lookups are limited to, in order: for each of its services the prefix of an FQN; one
+    empty prefix without services. Observed rule: only the first service is ever asked."""
+    asked = F.slice(services, 1, 1) if first_only else services
+    return F.when(F.size(services) > 0, F.transform(asked, lambda s: F.concat(s, F.lit(".")))).otherwise(F.array(F.lit("")))
+
+
+def scoped_keys(catalog: DataFrame, asked: DataFrame) -> DataFrame:
+    """(index, scope, key, fqn, id) of every scope in ``asked`` (scope). A scope ends in a dot, so it starts an FQN
+    exactly if it is one of the FQN's beginnings up to a dot: one row for each of these, and an equi-join. Only the
+    FQNs below scopes that are asked come apart into suffixes. Containers have the empty scope."""
+    tables = catalog.where((F.col("entity_type") == ENTITY_TYPES[TABLE_INDEX]) & F.col("fqn").isNotNull()).select("id", "fqn")
+    dots = F.filter(F.sequence(F.lit(1), F.length("fqn")), lambda i: F.substr("fqn", i, F.lit(1)) == ".")
+    starts = F.concat(F.array(F.lit("")), F.transform(F.when(F.length("fqn") > 0, dots).otherwise(F.array().cast("array<int>")), lambda i: F.substr("fqn", F.lit(1), i)))
+    below = tables.select("id", "fqn", F.explode(F.array_distinct(starts)).alias("scope")).join(asked.select("scope").distinct(), "scope")
+    tail = F.substr("fqn", F.length("scope") + 1)
+    ends = F.sequence(F.lit(1), F.length("fqn") - F.length("scope") + 1)
+    found = below.select(F.lit(TABLE_INDEX).alias("index"), "scope", F.explode(F.transform(ends, lambda i: F.substr(tail, i))).alias("key"), "fqn", "id")
+    paths = container_keys(catalog).select("index", F.lit("").alias("scope"), "key", "fqn", "id")
+    return found.unionByName(paths)
+
+
+def resolve_per_application(names: DataFrame, services: DataFrame, catalog: DataFrame, first_only: bool = True) -> DataFrame:
+    """(app_id, table_name, entity_type, id, fqn): the first hit of each distinct name of ``names`` (app_id, table_name)
+    within its application's services (app_id, services); applications that list none are not limited. Misses drop out.
+
+    Scopes and names of all applications are looked up in one index, each (scope, name) once, however many
+    applications share it."""
+    scoped = names.join(services.select("app_id", "services"), "app_id", "left")
+    is_table = lookup_index_of(F.col("table_name")) == TABLE_INDEX
+    limits = F.when(is_table, scopes(F.col("services"), first_only)).otherwise(F.array(F.lit("")))
+    asked = _keyed(scoped.select("app_id", "table_name", F.posexplode(limits).alias("rank", "scope")))
+    distinct = asked.select("index", "scope", "key").distinct()
+    on = ["index", "scope", "key"]
+    order = F.struct(F.length("fqn").alias("len"), "fqn", "id")
+    best = wanted(scoped_keys(catalog, distinct), distinct, on).groupBy(*on).agg(F.min(order).alias("best"))
+    hits = asked.join(best, on).groupBy("app_id", "table_name").agg(F.min(F.struct("rank", "index", "best")).alias("hit"))
+    kind = F.when(F.col("hit.index") == TABLE_INDEX, ENTITY_TYPES[TABLE_INDEX]).otherwise(ENTITY_TYPES[CONTAINER_INDEX])
+    return hits.select("app_id", "table_name", kind.alias("entity_type"), "hit.best.id", "hit.best.fqn")
+
+
 def with_columns(resolved: DataFrame, catalog: DataFrame) -> DataFrame:
     """Add the entity's column names, of the greatest row where the catalog repeats an entity. They are joined
     to the resolved names only, so the arrays never travel with the suffixes. Both sides are as small as the

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.functions.names import split_services
 from tributary.functions.settings import is_blank, list_items, setting_path
 
 # The agent's namespace of keys; pass the one your applications use.
@@ -23,6 +24,13 @@ OVERRIDES = {
     "parentJobNamespace": "parent_job_namespace",
     "parentRunId": "parent_run_id",
 }
+SERVICES_KEY = "transport.databaseServiceNames"
+JOB_KEYS = {
+    "transport.pipelineName": "name",
+    "transport.pipelineSourceUrl": "source_url",
+    "transport.pipelineDescription": "description",
+    "transport.pipelineServiceName": "service",
+}
 
 
 def with_defaults(conf: DataFrame, prefix: str = PREFIX) -> DataFrame:
@@ -67,6 +75,20 @@ def overrides(conf: DataFrame, prefix: str = PREFIX) -> DataFrame:
     return conf.groupBy("app_id").agg(*[of(key).alias(column) for key, column in OVERRIDES.items()])
 
 
+def service_lists(conf: DataFrame, prefix: str = PREFIX) -> DataFrame:
+    """(app_id, services): the database services that each application lists; those that list none have no row."""
+    listed = conf.where(F.col("key") == prefix + SERVICES_KEY).groupBy("app_id").agg(F.max("value").alias("value"))
+    return listed.select("app_id", split_services(F.col("value")).alias("services"))
+
+
+def jobs(conf: DataFrame, prefix: str = PREFIX) -> DataFrame:
+    """(app_id, name, source_url, description, service): the job that each application's settings name. One small
+    aggregate per application; an application without a name has no job, and blank settings do not count."""
+    of = lambda key: F.max(F.when(F.col("key") == key, F.col("value")))
+    rows = section_settings(conf, prefix).groupBy("app_id").agg(*[of(key).alias(column) for key, column in JOB_KEYS.items()])
+    return rows.where(F.col("name").isNotNull())
+
+
 def tree(conf: DataFrame, prefix: str = PREFIX) -> DataFrame:
     """The settings tree, one row per leaf: its path, and a plain value or a list of items.
 

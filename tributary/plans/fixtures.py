@@ -105,6 +105,15 @@ CONF_COLUMNS = {
 }
 CONF_FILTER = "c_custkey % 5 <> 0"
 
+# Settings that name an application's job: four keys per application, from its first customer.
+PIPELINE_CONF = {
+    "pipelineName": "CASE WHEN c_custkey % 48 <> 16 THEN 'Supplier#' || lpad(CAST(CAST(floor(c_custkey / 8) AS BIGINT) AS STRING), 9, '0') END",
+    "pipelineServiceName": "CASE WHEN c_custkey % 56 <> 0 THEN 'spark_' || c_nationkey END",
+    "pipelineSourceUrl": "CASE WHEN c_custkey % 24 <> 0 THEN 'http://runs.example/' || c_custkey END",
+    "pipelineDescription": "CASE c_custkey % 32 WHEN 0 THEN c_name WHEN 8 THEN ' ' END",
+}
+PIPELINE_CONF_FILTER = "c_custkey % 8 = 0 AND c_custkey % 5 <> 0"
+
 # Three applications with the same ids of jobs, stages and executions.
 APPS = 3
 TASK_COLUMNS = {
@@ -194,6 +203,14 @@ def conf(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").where(CONF_FILTER).selectExpr(*_columns(CONF_COLUMNS))
 
 
+def pipeline_conf(spark: SparkSession, sf: str) -> DataFrame:
+    """The settings of ``conf``'s applications that name their jobs, null where one is left out."""
+    pairs = ", ".join(f"named_struct('key', '{PREFIX}transport.{key}', 'value', {text})" for key, text in PIPELINE_CONF.items())
+    rows = table(spark, sf, "customer").where(PIPELINE_CONF_FILTER)
+    found = rows.selectExpr("CAST(floor(c_custkey / 8) AS BIGINT) AS app_id", f"inline(array({pairs}))")
+    return found.where("value IS NOT NULL")
+
+
 def job_starts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").selectExpr(
         f"{JOB_APP} AS app_id",
@@ -266,8 +283,8 @@ def event_log_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
     environment = "to_json(named_struct('Event', 'SparkListenerEnvironmentUpdate', 'Spark Properties', map(key, value)))"
     orders = table(spark, sf, "orders").selectExpr(f"CAST({JOB_APP} AS STRING) AS app_id", f"explode({of_orders}) AS value")
-    tasks = table(spark, sf, "lineitem").selectExpr(f"CAST({TASK_COLUMNS['app_id']} AS STRING) AS app_id", f"{task} AS value")
-    settings = conf(spark, sf).selectExpr("CAST(app_id AS STRING) AS app_id", f"{environment} AS value")
+    tasks = _built_once(table(spark, sf, "lineitem"), [f"CAST({TASK_COLUMNS['app_id']} AS STRING) AS app_id", f"{task} AS value"])
+    settings = _built_once(conf(spark, sf), ["CAST(app_id AS STRING) AS app_id", f"{environment} AS value"])
     return orders.where("value IS NOT NULL").unionByName(tasks).unionByName(settings)
 
 

@@ -211,6 +211,31 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         " JOIN task_end t ON t.app_id = j.app_id AND t.stage_id = j.stage_id GROUP BY j.app_id, j.job_id, j.execution_id",
     ),
     "job_entity": ((), _select({"job_key": "s_suppkey", "job_id": "'j' || s_suppkey", **fx.JOB_ENTITY_COLUMNS}, "supplier")),
+    "app_name": (
+        ("named",),
+        "SELECT DISTINCT o_custkey // 8 AS app_id, table_name FROM named JOIN orders ON o_orderkey = event_id",
+    ),
+    # Trailing empty items go; an application that lists nothing else has no service.
+    "app_service": (
+        ("conf",),
+        "SELECT app_id, pos AS rank, service FROM (SELECT app_id, list AS all_services, unnest(list) AS service,"
+        " generate_subscripts(list, 1) AS pos FROM (SELECT app_id, string_split(rtrim(value, ','), ',') AS list FROM conf"
+        " WHERE ends_with(key, 'transport.databaseServiceNames')))",
+    ),
+    "app_setting": (
+        (),
+        " UNION ALL ".join(
+            f"SELECT c_custkey // 8 AS app_id, '{key}' AS key, {text} AS value FROM customer WHERE {fx.PIPELINE_CONF_FILTER}"
+            for key, text in fx.PIPELINE_CONF.items()
+        ),
+    ),
+    "app_job": (
+        ("app_setting", "job_entity"),
+        "SELECT a.*, (SELECT min(job_id) FROM job_entity j WHERE j.name = a.name) AS job_id FROM (SELECT app_id,"
+        " max(value) FILTER (key = 'pipelineName') AS name, max(value) FILTER (key = 'pipelineSourceUrl') AS source_url,"
+        " max(value) FILTER (key = 'pipelineDescription' AND trim(value) <> '') AS description,"
+        " max(value) FILTER (key = 'pipelineServiceName') AS service FROM app_setting GROUP BY app_id) a WHERE name IS NOT NULL",
+    ),
     # Settings of the two sections, prefix gone.
     "setting": (
         ("conf",),
@@ -307,6 +332,17 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT event_id, event_type, reason FROM nested_reason WHERE reason IS NOT NULL", "nested_reason"
     ),
     "named_datasets": _sql("SELECT event_id, side, table_name FROM named", "named"),
+    # A reference is reached if no broken one of its side was met before it, and with a broken output only the
+    # first named input is.
+    "sent_references": _sql(
+        "SELECT r.event_id, r.side, r.pos, r.table_name FROM nested_named r WHERE"
+        " NOT EXISTS (SELECT 1 FROM nested_named b WHERE b.event_id = r.event_id AND b.side = r.side AND b.has_link"
+        " AND b.sym_namespace IS NULL AND b.pos <= r.pos)"
+        " AND (r.side = 'output' OR NOT EXISTS (SELECT 1 FROM nested_named b WHERE b.event_id = r.event_id AND b.side = 'output'"
+        " AND b.has_link AND b.sym_namespace IS NULL) OR (r.table_name IS NOT NULL AND NOT EXISTS (SELECT 1 FROM nested_named f"
+        " WHERE f.event_id = r.event_id AND f.side = 'input' AND f.table_name IS NOT NULL AND f.pos < r.pos)))",
+        "nested_named",
+    ),
     "containers_and_tables": _sql(
         f"SELECT CASE WHEN {_is_store('table_name')} THEN 'container' ELSE 'table' END AS kind, count(*) AS n"
         " FROM named GROUP BY 1",
@@ -398,6 +434,35 @@ ORACLE_SQL: dict[str, str] = {
         f" AND length(c.fqn) >= 5 + length(n.table_name) WHERE NOT {_is_store('n.table_name')}",
         "names", "catalog",
     ),
+    # Every application's names against the services it lists, in order; without a list against all tables.
+    "resolve_per_application": _sql(
+        "SELECT app_id, table_name, entity_type, id, fqn FROM (SELECT *, row_number() OVER (PARTITION BY app_id, table_name"
+        " ORDER BY rank, length(fqn), fqn, id) AS place FROM ("
+        "SELECT a.app_id, a.table_name, h.entity_type, h.id, h.fqn, s.rank FROM app_name a JOIN app_service s ON s.app_id = a.app_id"
+        " JOIN hit h ON h.table_name = a.table_name AND h.entity_type = 'table' AND starts_with(h.fqn, s.service || '.')"
+        " AND length(h.fqn) >= length(s.service) + 1 + length(a.table_name)"
+        " UNION ALL SELECT a.app_id, a.table_name, h.entity_type, h.id, h.fqn, 0 FROM app_name a JOIN hit h ON h.table_name = a.table_name"
+        " WHERE h.entity_type = 'container' OR a.app_id NOT IN (SELECT app_id FROM app_service))) WHERE place = 1",
+        "app_name", "app_service", "hit",
+    ),
+    "jobs_from_settings": _sql(
+        "SELECT app_id, name, service, job_id, '{\"name\":\"' || name || '\",\"sourceUrl\":'"
+        " || coalesce('\"' || source_url || '\"', 'null') || coalesce(',\"description\":\"' || description || '\"', '')"
+        " || ',\"service\":' || coalesce('\"' || service || '\"', 'null') || '}' AS document FROM app_job",
+        "app_job",
+    ),
+    "services_from_settings": _sql(
+        "SELECT DISTINCT service, '{\"name\":\"' || service || '\",\"serviceType\":\"Spark\",\"connection\":{\"config\":{\"type\":\"Spark\"}}}'"
+        " AS document FROM app_job WHERE service IS NOT NULL",
+        "app_job",
+    ),
+    "edges_of_applications": _sql(
+        "SELECT e.from_type, e.from_id, e.to_type, e.to_id, e.job_key, j.job_id FROM (SELECT from_type, from_id, to_type, to_id,"
+        " o_custkey // 8 AS job_key, row_number() OVER (PARTITION BY from_type, from_id, to_type, to_id ORDER BY event_time DESC,"
+        " event_id DESC, in_pos DESC, out_pos DESC, from_name DESC, to_name DESC) AS place FROM edge JOIN orders ON o_orderkey = event_id) e"
+        " LEFT JOIN app_job j ON j.app_id = e.job_key WHERE place = 1",
+        "edge", "app_job",
+    ),
     "resolve_containers": _sql("SELECT table_name, id, fqn FROM hit WHERE entity_type = 'container'", "hit"),
     "resolve_first_service": _sql(_in_services("(0, 'svc0')"), "names", "catalog"),
     "resolve_service_fallback": _sql(_in_services("(0, 'svc0'), (1, 'svc1')"), "names", "catalog"),
@@ -410,6 +475,12 @@ ORACLE_SQL: dict[str, str] = {
         "names", "hit",
     ),
     "lookup_candidates": _sql("SELECT table_name, place, id, fqn FROM ranked WHERE place <= 10", "ranked"),
+    "lookup_candidate_pages": _sql(
+        "SELECT table_name, place, id, fqn FROM (SELECT n.table_name, c.id, c.fqn, row_number() OVER (PARTITION BY n.table_name"
+        " ORDER BY length(c.fqn), c.fqn, c.id) AS place FROM (SELECT DISTINCT right(regexp_extract(table_name, '[0-9]+$'), 1) AS table_name"
+        " FROM named) n JOIN catalog c ON c.entity_type = 'table' AND ends_with(c.fqn, n.table_name)) WHERE place <= 10",
+        "named", "catalog",
+    ),
     "lookup_first_hit": _sql("SELECT * FROM resolved", "resolved"),
     "column_lineage_pairs": _sql("SELECT * FROM column_pair", "column_pair"),
     "run_events_from_json": _sql("SELECT * FROM column_pair", "column_pair"),
@@ -478,6 +549,10 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT from_type, from_id, to_type, to_id, event_time, event_id, in_pos, out_pos, columns FROM nested_current",
         "nested_current",
     ),
+    "stream_edge_table": _sql(
+        "SELECT from_type, from_id, to_type, to_id, event_time, event_id, in_pos, out_pos, columns FROM nested_current",
+        "nested_current",
+    ),
     "stream_rejects": _sql(
         "SELECT event_id, event_type, reason FROM nested_reason WHERE reason IS NOT NULL", "nested_reason"
     ),

@@ -14,9 +14,9 @@ from tributary.operators import settings as conf
 from tributary.plans import fixtures
 from tributary.plans.scratch import scratch_folder
 from tributary.sources import catalog as catalog_source
-from tributary.sources import execution_log, run_events
+from tributary.sources import edge_table, execution_log, run_events
 from tributary.sources.edge_store import compact_edges, read_edges
-from tributary.streaming.edges import start_edges, start_rejects
+from tributary.streaming.edges import start_edges, start_rejects, start_table_edges
 from tributary.streaming.executions import closing_row, pair_execution_streams
 
 SERVICES = "svc0,svc1"
@@ -121,6 +121,13 @@ def named_datasets(spark: SparkSession, sf: str) -> DataFrame:
     return _named(spark, sf).select("event_id", "side", "table_name")
 
 
+@query
+def sent_references(spark: SparkSession, sf: str) -> DataFrame:
+    """References of the long form that are reached before a broken symlink."""
+    refs = events.to_long(fixtures.nested_events(spark, sf)).where("pos IS NOT NULL")
+    return events.with_names(events.sent_refs(refs)).select("event_id", "side", "pos", "table_name")
+
+
 @query
 def containers_and_tables(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.when(names.is_object_store(F.col("table_name")), "container").otherwise("table")
@@ -213,6 +220,30 @@ def service_documents(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.service_documents(fixtures.job_entities(spark, sf))
 
 
+@query
+def jobs_from_settings(spark: SparkSession, sf: str) -> DataFrame:
+    """The job that each application's settings name, its document, and its id where the catalog lists it."""
+    rows = conf.jobs(fixtures.pipeline_conf(spark, sf))
+    known = jobs.with_ids(rows, fixtures.job_entities(spark, sf))
+    return known.select("app_id", "name", "service", "job_id", jobs.document_of().alias("document"))
+
+
+@query
+def services_from_settings(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.service_documents(conf.jobs(fixtures.pipeline_conf(spark, sf)))
+
+
+@query
+def edges_of_applications(spark: SparkSession, sf: str) -> DataFrame:
+    """Current edges with the job that their application's settings name."""
+    app = F.floor(F.col("run_id") / 8).cast("bigint").alias("job_key")
+    gated = _gated(spark, sf).select("event_id", "event_time", app)
+    current = edges.upsert(edges.table_edges(gated, _refs(spark, sf), _index(spark, sf)).drop("n_pairs"))
+    known = jobs.with_ids(conf.jobs(fixtures.pipeline_conf(spark, sf)), fixtures.job_entities(spark, sf))
+    return jobs.stamp_jobs(current, known.withColumnRenamed("app_id", "job_key")).select(
+        "from_type", "from_id", "to_type", "to_id", "job_key", "job_id")
+
+
 @query
 def conf_paths(spark: SparkSession, sf: str) -> DataFrame:
     path = settings.setting_path(F.col("key"))
@@ -282,7 +313,8 @@ def resolve_containers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _resolved(spark: SparkSession, sf: str, services: list[str]) -> DataFrame:
-    found = lookup.first_hits(_names(spark, sf), _index(spark, sf, services))
+    asked = _names(spark, sf)
+    found = lookup.first_hits(asked, lookup.lookup_index(fixtures.catalog(spark, sf), services, asked))
     return found.select("table_name", "entity_type", "id", "fqn")
 
 
@@ -296,9 +328,20 @@ def resolve_service_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return _resolved(spark, sf, service_list(SERVICES))
 
 
+@query
+def resolve_per_application(spark: SparkSession, sf: str) -> DataFrame:
+    """Every application's names within its own list of services, the next ones asked after a miss."""
+    app = F.floor(F.col("run_id") / 8).cast("bigint").alias("app_id")
+    apps = fixtures.run_events(spark, sf).select("event_id", app)
+    asked = _named(spark, sf).select("event_id", "table_name").join(apps, "event_id").select("app_id", "table_name").distinct()
+    listed = conf.service_lists(fixtures.conf(spark, sf))
+    return lookup.resolve_per_application(asked, listed, fixtures.catalog(spark, sf), first_only=False)
+
+
 @query
 def unresolved_datasets(spark: SparkSession, sf: str) -> DataFrame:
-    return lookup.unresolved(_names(spark, sf), _index(spark, sf)).select(
+    asked = _names(spark, sf)
+    return lookup.unresolved(asked, lookup.lookup_index(fixtures.catalog(spark, sf), names=asked)).select(
         "table_name", F.col("n").alias("n_refs")
     )
 
@@ -314,6 +357,15 @@ def lookup_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("table_name", F.col("place").cast("bigint").alias("place"), "id", "fqn")
 
 
+@query
+def lookup_candidate_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The first page of names that end a tenth of the catalog: the number of a referred part, by its last digit."""
+    last = F.right(F.regexp_extract("table_name", "[0-9]+$", 0), F.lit(1))
+    asked = _named(spark, sf).select(last.alias("table_name")).distinct()
+    found = lookup.candidates(asked, lookup.search_keys(fixtures.catalog(spark, sf)))
+    return found.select("table_name", F.col("place").cast("bigint").alias("place"), "id", "fqn")
+
+
 @query
 def lookup_first_hit(spark: SparkSession, sf: str) -> DataFrame:
     return _resolved(spark, sf, [])
@@ -428,6 +480,21 @@ def stream_edges(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def stream_edge_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same edges in a table under a manifest, each batch resolved with the newest catalog there is."""
+    base = scratch_folder(spark, "edge-table")
+    edge_table.publish_catalog(fixtures.catalog(spark, sf), f"{base}/catalog")
+    start_table_edges(
+        fixtures.nested_event_stream(spark, sf), f"{base}/catalog", f"{base}/table", f"{base}/rejects", f"{base}/checkpoint", "first"
+    ).awaitTermination()
+    edge_table.compact_table(spark, f"{base}/table")
+    return edge_table.current_table(spark, f"{base}/table").select(
+        "from_type", "from_id", "to_type", "to_id", _naive("event_time"), "event_id", "in_pos", "out_pos",
+        column_text(F.col("columns")).alias("columns"),
+    )
+
+
 @query
 def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_folder(spark, "reject-stream")
