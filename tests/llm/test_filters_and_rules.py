@@ -1,7 +1,9 @@
 """Url filter, quality rules and personal data against plain Python."""
 
+import math
+import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 from hypothesis import given, settings
@@ -181,6 +183,58 @@ def test_terms_disclose_from_anywhere_in_a_document(make):
     assert all(clean[i] == texts[i] for i in range(13, 313))
 
 
+def terms_plainly(texts):
+    """Spans of disclosing terms per text, counted document by document."""
+    with_term, with_entity, together, around = defaultdict(set), defaultdict(set), defaultdict(set), defaultdict(set)
+    words = []
+    for i, text in enumerate(texts):
+        spans = spans_plainly(text)
+        own = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W_]+", text)
+               if not any(a < m.end() and m.start() < b for a, b, _ in spans)]
+        words.append(own)
+        terms = {w for _, _, w in own if len(w) >= 3 and not w.isdigit()}
+        for t in terms:
+            with_term[t].add(i)
+        contexts = defaultdict(set)
+        for a, b, kind in spans:
+            left, right = [w for _, e, w in own if e <= a], [w for s, _, w in own if s >= b]
+            contexts[kind, text[a:b].lower()].add(" ".join(left[-8:] + right[:8]))
+        for entity, found in contexts.items():
+            with_entity[entity].add(i)
+            around[entity].add((None, tuple(sorted(found))))
+            for t in terms:
+                together[entity, t].add(i)
+                around[entity, t].add((None, tuple(sorted(found))))
+    disclosing = set()
+    for (entity, t), docs in together.items():
+        alone = len(with_entity[entity]) / len(texts)
+        if len(around[entity]) >= 2 and alone < 1 and len(around[entity, t]) >= 2 and len(with_term[t]) >= 2:
+            if math.log2(len(docs) / len(with_term[t]) / alone) / -math.log2(alone) >= 0.8 - 1e-12:
+                disclosing.add(t)
+    return [[(a, b) for a, b, w in own if w in disclosing] for own in words]
+
+
+def test_terms_against_brute_force(make):
+    rng = random.Random(11)
+    people = [f"p{i}@example.org" for i in range(6)] + ["10.1.2.3"]
+    nicks = ["Nightowl", "straße", "İzmir", "漢字语", "Éclair", "blue", "green"]
+    texts = []
+    for _ in range(400):
+        said = [f"w{rng.randint(0, 60)}" for _ in range(rng.randint(3, 25))]
+        k = rng.randrange(7)
+        if rng.random() < 0.3:
+            said.insert(rng.randint(0, len(said)), people[k])
+            if rng.random() < 0.9:
+                said.insert(rng.randint(0, len(said)), nicks[k])
+        elif rng.random() < 0.02:
+            said.append(nicks[k].upper())
+        texts.append(" ".join(said))
+    expected = terms_plainly(texts)
+    got = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("term:")] for r in pii.report(make(texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == expected
+    assert sum(map(len, expected)) > 50
+
+
 def test_copies_are_no_evidence(make):
     docs = make(["rareword near me@example.org today"] * 50 + [f"text {i}" for i in range(100)])
     assert all("term" not in r.spans for r in pii.report(docs).collect())

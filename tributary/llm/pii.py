@@ -130,6 +130,12 @@ def terms_of(text: str, words: list[tuple[int, int]]) -> dict[str, list[tuple[in
     return places
 
 
+def distinct_terms(text: str) -> set[str]:
+    """The terms of a text without spans."""
+    lowered = {word.lower() for word in set(_TERM.findall(text))}
+    return {term for term in lowered if len(term) >= MIN_TERM and not term.isdigit()}
+
+
 def surroundings(text: str, spans: list[tuple[int, int, int]], words: list[tuple[int, int]]) -> dict[str, int]:
     """Each entity of a text with a hash of the words around its mentions."""
     starts, near = [a for a, _ in words], defaultdict(set)
@@ -172,12 +178,17 @@ def mentions(docs: DataFrame) -> DataFrame:
             for x in batch.column("text"):
                 text = x.as_py() or ""
                 found = base_spans(text)
-                words = words_outside(text, found)
-                own = terms_of(text, words)
-                held.update(own.keys())
+                if found:
+                    words = words_outside(text, found)
+                    own = set(terms_of(text, words))
+                    entities.append([{"entity": e, "context": c} for e, c in surroundings(text, found, words).items()])
+                    terms.append(list(own))
+                else:
+                    own = distinct_terms(text)
+                    entities.append([])
+                    terms.append([])
+                held.update(own)
                 spans.append([{"start": a, "end": b, "kind": k} for a, b, k in found])
-                entities.append([{"entity": e, "context": c} for e, c in surroundings(text, found, words).items()] if found else [])
-                terms.append(list(own) if found else [])
                 if len(held) > HELD:
                     yield counted()
                     held.clear()
@@ -228,16 +239,23 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     table[places] = True
     bits = np.packbits(table, bitorder="little").tobytes()
 
-    def listed(term: str) -> bool:
-        place = xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), 42) % PLACES  # as xxhash64 has it
-        return bits[place >> 3] >> (place & 7) & 1 == 1
+    class Listed(dict):
+        """Whether a term's place is set, worked out once while it is remembered."""
+
+        def __missing__(self, term: str) -> bool:
+            if len(self) >= HELD:
+                self.clear()
+            place = xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), 42) % PLACES  # as xxhash64 has it
+            self[term] = found = bits[place >> 3] >> (place & 7) & 1 == 1
+            return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = Listed().__getitem__
         for batch in batches:
             at, term, start, end = [], [], [], []
             for i, x in enumerate(batch.column("text")):
                 text = x.as_py() or ""
-                if not any(map(listed, set(_TERM.findall(text.lower())))) and text.isascii():
+                if not any(map(listed, {word.lower() for word in set(_TERM.findall(text))})):
                     continue
                 for t, spans in terms_of(text, words_outside(text, base_spans(text))).items():
                     if listed(t):
