@@ -69,9 +69,13 @@ def test_radii_satisfy_the_pigeonhole():
     for fps in (even, twins, even[:2]):
         for rows in (10, 10**6, 10**11):
             parts = simhash_dedup.choose_parts(fps, rows)
-            assert sum(r + 1 for _, r in parts) >= 3
-            bits = [b for g, _ in parts for b in g]
-            assert len(bits) == len(set(bits))
+            # whichever two bits differ, some part has no more of them than its radius
+            for i in range(64):
+                for j in range(i, 64):
+                    assert any(len({i, j} & set(g)) <= r for g, r in parts)
+            if fps is even:
+                keys = sum(1 + r * len(g) for g, r in parts)
+                assert keys <= 6, (rows, keys)
 
 
 def test_near_duplicates(odd, none):
@@ -291,15 +295,15 @@ def test_sharding_odd_rows(odd, none):
 
 
 def best_plainly(vectors, step=50, k=5):
-    whole = {}
-    for i, v in vectors:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            w = [int(np.floor(256 * float(x))) for x in v]
-            whole[i] = max(whole.get(i, w), w)
+    whole = [
+        (i, [int(np.floor(256 * float(x))) for x in v]) for i, v in vectors
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
     rows = []
-    for q in (i for i in whole if i % step == 0):
-        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
-        rows += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+    for q, query in whole:
+        if q % step == 0:
+            scores = sorted((-sum(a * b for a, b in zip(query, v)), i) for i, v in whole if i != q)
+            rows += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
     return sorted(rows)
 
 
@@ -311,7 +315,8 @@ def test_top_k(spark, monkeypatch, kind):
     matrix = rng.normal(size=(700, 24)) * (rng.pareto(1.5, (700, 1)) + 0.1 if kind == "skewed" else 1)
     matrix = np.round(matrix) if kind == "ties" else matrix
     vectors = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(matrix)]
-    vectors += [(None, [1.0] * 24), (1000, None), (1050, []), (1100, [1.0, None] + [0.0] * 22), (1150, [float("nan")] * 24), (1, vectors[1][1]), (1200, [1.0])]
+    vectors += [(None, [1.0] * 24), (1000, None), (1050, []), (1100, [1.0, None] + [0.0] * 22), (1150, [float("nan")] * 24), (1, vectors[1][1]), (1200, [1.0]),
+                (2, [9.0] * 24), (50, [-3.0] * 24), (50, [-3.0] * 24)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
     assert sorted(map(tuple, norm_topk.top_k(df).collect())) == best_plainly(vectors)
 
@@ -322,3 +327,13 @@ def test_top_k_few_rows(spark):
     assert norm_topk.top_k(spark.createDataFrame([(50, [1.0])], schema)).count() == 0
     three = [(0, [1.0, -1.0]), (50, [-1.0, 0.0]), (7, [0.5, 0.5])]
     assert sorted(map(tuple, norm_topk.top_k(spark.createDataFrame(three, schema)).collect())) == best_plainly(three)
+
+
+def test_top_k_of_large_components_and_repeated_ids(spark):
+    schema = "vec_id long, embedding array<double>"
+    large = [(50, [1e7, 3.0]), (1, [1e6, 2.5]), (2, [-1e7, 0.1]), (3, [8388608.5, 1e5]), (100, [2.0, 1e7])]
+    assert sorted(map(tuple, norm_topk.top_k(spark.createDataFrame(large, schema)).collect())) == best_plainly(large)
+    twice = [(50, [1.0, 1.0]), (1, [3.0, 2.0]), (1, [1.0, 5.0])]
+    assert sorted(map(tuple, norm_topk.top_k(spark.createDataFrame(twice, schema)).collect())) == best_plainly(twice)
+    with pytest.raises(ValueError, match="64 bits"):
+        norm_topk.top_k(spark.createDataFrame([(50, [1e30]), (1, [1.0])], schema))

@@ -4,7 +4,9 @@ Fingerprints of 64 bits link at ``distance`` or fewer differing bits. The bits a
 bits together (measured on a bounded sample of the fingerprints), and each part gets a radius of its own: if
 the radii plus one add up to more than ``distance``, two linked fingerprints agree within the radius in at
 least one part. How many parts, and which radii, is chosen by dynamic programming over the cost of probing
-and the candidates expected from the sample; a part may be left out (radius -1). Fingerprints are then
+and the candidates expected from the sample, a probe at the cost of its shuffle; a part may be left out (radius
+-1). With many fingerprints the keys are the pairs of ``distance + 2`` parts, two of which no linked ones differ in:
+six keys of 32 bits, the most there are for any number of fingerprints below 10^10. Fingerprints are then
 probed part by part and candidates verified by their differing bits.
 
 The work is on distinct fingerprints, whatever the number of copies. A bucket of more than ``HOT`` of them
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,7 @@ SAMPLE = 20_000  # fingerprints that partition and radii are fitted to
 HOT = 256
 PARTS = (2, 3, 4)
 MAX_RADIUS = 1
+PROBE = 50  # what a key that is shuffled costs, in compared pairs
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -100,7 +104,7 @@ def _cost(keys: np.ndarray, width: int, radius: int, rows: int) -> float:
     pairs = max(len(keys) * (len(keys) - 1), 1)
     # below what the sample can show, keys count as even
     share = max(meets / pairs, probes / 2.0**width)
-    return rows * probes + rows * rows * share
+    return PROBE * rows * probes + rows * rows * share
 
 
 def choose_parts(fps: np.ndarray, rows: int, distance: int = DISTANCE) -> list[tuple[list[int], int]]:
@@ -124,7 +128,10 @@ def choose_parts(fps: np.ndarray, rows: int, distance: int = DISTANCE) -> list[t
         if distance + 1 in plans and plans[distance + 1][0] < best[0]:
             cost, radii = plans[distance + 1]
             best = (cost, [(g, r) for g, r in zip(groups, radii, strict=True) if r >= 0])
-    return best[1]
+    # parts taken together: of two parts more than bits that differ, two at least are untouched
+    pairs = [sorted(a + b) for a, b in combinations(group_bits(bits, distance + 2), 2)]
+    cost = sum(_cost(_keys(bits, pair), len(pair), 0, rows) for pair in pairs)
+    return best[1] if best[0] <= cost else [(pair, 0) for pair in pairs]
 
 
 # Probing
