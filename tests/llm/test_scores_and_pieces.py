@@ -1,6 +1,9 @@
 """Quality scores on held-out labels; encoding, decoding and counts against the public library."""
 
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
@@ -117,3 +120,18 @@ def test_memory_that_is_full_changes_nothing(make, monkeypatch):
     counting = token_counts.Counting(pieces.load())
     texts = ["some words that come and go", "come some go", None, "that and some"]
     assert [counting.text(t) for t in texts] == [len(locally(pieces.PATH, t)) for t in texts]
+
+
+def test_memory_of_a_long_segment_is_bounded():
+    """Two million characters without a space: counting keeps the last places only, encoding a few bytes each."""
+    code = (
+        "import resource, sys; sys.path.insert(0, %r)\n"
+        "from tributary.llm import pieces\n"
+        "viterbi = pieces.Viterbi(pieces.load()); text = 'qzxj' * 500_000\n"
+        "low = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; n = viterbi.count(text)\n"
+        "mid = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; ids = viterbi.encode_array(text)\n"
+        "assert len(ids) == n; print(mid - low, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - mid)"
+    ) % os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, text=True, timeout=600)
+    counted, encoded = map(int, done.stdout.split())  # kilobytes, for two million characters
+    assert counted < 20_000 and encoded < 50_000

@@ -13,6 +13,7 @@ the vocabulary, so the best segmentation of a text is that of its segments one a
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -22,6 +23,7 @@ import sentencepiece
 PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_LESS = 10.0
+NEVER = float("-inf")
 
 
 @dataclass
@@ -74,52 +76,65 @@ class Viterbi:
         for piece, score in vocabulary.score.items():
             self.automaton.add_word(piece, (len(piece), score, vocabulary.ids[piece]))
         self.automaton.make_automaton()
-
-    def _edges(self, segment: str) -> list[list[tuple[int, float, int]]]:
-        """By end: (start, score, id) of every piece found, and of characters without one (id -1)."""
-        edges: list[list[tuple[int, float, int]]] = [[] for _ in range(len(segment) + 1)]
-        for last, (n, score, piece) in self.automaton.iter(segment):
-            edges[last + 1].append((last + 1 - n, score, piece))
-        single, unknown = self.vocabulary.score, self.vocabulary.unknown_score
-        for i, c in enumerate(segment):
-            if c not in single:
-                edges[i + 1].append((i, unknown, -1))
-        return edges
+        self.size = vocabulary.longest + 1
+        self.none = (-1, None)  # no further piece
 
     def count(self, segment: str) -> int:
-        """Pieces of the best segmentation, without keeping it."""
-        best, counts = [0.0], [0]
-        for end, found in enumerate(self._edges(segment)[1:], 1):
-            top, first, n = float("-inf"), end, 0
-            for start, score, piece in found:
-                total = best[start] + score
+        """Pieces of the best segmentation, without keeping it: the last ``longest`` places are all it remembers."""
+        single, unknown, size = self.vocabulary.score, self.vocabulary.unknown_score, self.size
+        best, counts = [0.0] * size, [0] * size
+        hits = self.automaton.iter(segment)
+        last, hit = next(hits, self.none)
+        for end, c in enumerate(segment, 1):
+            top, first, n = NEVER, end, 0
+            while last == end - 1:
+                length, score, _ = hit
+                start = end - length
+                total = best[start % size] + score
                 if total > top or (total == top and start < first):
-                    top, first = total, start
-                    n = counts[start] + (1 if piece >= 0 else len(segment[start:end].encode("utf-8", "surrogatepass")))
-            best.append(top)
-            counts.append(n)
-        return counts[-1]
+                    top, first, n = total, start, counts[start % size] + 1
+                last, hit = next(hits, self.none)
+            if c not in single:
+                total = best[(end - 1) % size] + unknown
+                if total > top:  # of equal sums the longer piece begins first
+                    top, n = total, counts[(end - 1) % size] + len(c.encode("utf-8", "surrogatepass"))
+            best[end % size], counts[end % size] = top, n
+        return counts[len(segment) % size]
 
     def encode(self, segment: str) -> list[int]:
-        best, back = [0.0], [(0, -1)]
-        for end, found in enumerate(self._edges(segment)[1:], 1):
-            top, way = float("-inf"), (end, -1)
-            for start, score, piece in found:
-                total = best[start] + score
-                if total > top or (total == top and start < way[0]):
-                    top, way = total, (start, piece)
-            best.append(top)
-            back.append(way)
-        ids, at = [], len(segment)
+        return self.encode_array(segment).tolist()
+
+    def encode_array(self, segment: str) -> array:
+        """Ids of the best segmentation. What is kept for the way back is a length and an id per character."""
+        single, unknown, size = self.vocabulary.score, self.vocabulary.unknown_score, self.size
+        best, lengths, ways = [0.0] * size, array("H", [0]), array("i", [-1])
+        hits = self.automaton.iter(segment)
+        last, hit = next(hits, self.none)
+        for end, c in enumerate(segment, 1):
+            top, taken, way = NEVER, 0, -1
+            while last == end - 1:
+                length, score, piece = hit
+                total = best[(end - length) % size] + score
+                if total > top or (total == top and length > taken):
+                    top, taken, way = total, length, piece
+                last, hit = next(hits, self.none)
+            if c not in single:
+                total = best[(end - 1) % size] + unknown
+                if total > top:
+                    top, taken, way = total, 1, -1
+            best[end % size] = top
+            lengths.append(taken)
+            ways.append(way)
+        ids, at = array("i"), len(segment)
         while at:
-            start, piece = back[at]
+            start, piece = at - lengths[at], ways[at]
             if piece >= 0:
                 ids.append(piece)
             else:
-                ids += [self.vocabulary.byte_ids[b] for b in reversed(segment[start:at].encode("utf-8", "surrogatepass"))]
+                ids.extend(self.vocabulary.byte_ids[b] for b in reversed(segment[start:at].encode("utf-8", "surrogatepass")))
             at = start
-        return ids[::-1]
-
+        ids.reverse()
+        return ids
 
 
 def spelled(vocabulary: Vocabulary) -> list[bytes]:

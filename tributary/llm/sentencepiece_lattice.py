@@ -165,11 +165,11 @@ def _put_together(texts: list[str | None], places: dict[str, int], flat, ends, v
     counts = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
     every = list(chain.from_iterable(segments))
     at = np.fromiter((places.get(w, -1) for w in every), dtype=np.int64, count=len(every))
-    others = [viterbi.encode(every[i]) for i in np.flatnonzero(at < 0)]  # the long segments
+    others = [np.array(viterbi.encode_array(every[i]), dtype=flat.dtype) for i in np.flatnonzero(at < 0)]  # the long segments
     starts = np.where(at < 0, 0, ends[at])
     sizes = np.where(at < 0, 0, ends[at + 1] - ends[at])
     if others:
-        flat = np.concatenate([flat, np.array([i for o in others for i in o], dtype=flat.dtype)])
+        flat = np.concatenate([flat, *others])
         sizes[at < 0] = [len(o) for o in others]
         starts[at < 0] = len(flat) - sum(map(len, others)) + np.cumsum([0, *map(len, others)])[:-1]
     before = np.concatenate(([0], np.cumsum(sizes)))
