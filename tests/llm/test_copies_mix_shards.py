@@ -1,5 +1,6 @@
 """SimHash, near copies, mixing, sharding and top-k against brute force."""
 
+import hashlib
 import random
 from collections import Counter, defaultdict
 
@@ -87,6 +88,45 @@ def test_near_duplicates(odd, none):
     assert simhash_dedup.near_duplicates(none).count() == 0
 
 
+def kept_plainly(rows):
+    """One (doc_id, text) of each component: the smallest doc_id, null last, then the least digest."""
+    roots = components_plainly([fingerprint_plainly(t) for _, t in rows])
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[roots[fingerprint_plainly(t)]].append((i is None, i or 0, hashlib.sha256((t or "").encode()).digest(), i))
+    return Counter(min(g)[2:] for g in groups.values())
+
+
+def kept(docs):
+    found = simhash_dedup.keep_one(docs)
+    assert found.columns == docs.columns
+    return Counter((hashlib.sha256((r.text or "").encode()).digest(), r.doc_id) for r in found.select("doc_id", "text").collect())
+
+
+def test_keep_one(make):
+    rng = random.Random(9)
+    pool = [" ".join(words(rng, 120)) for _ in range(40)]
+    texts = []
+    for t in pool:
+        texts += [t] * rng.randrange(1, 6) + [t + " " + w for w in words(rng, 2)] + [t.upper()]
+    texts += ["", None, " ", "one", "One"]
+    rng.shuffle(texts)
+    docs = make(texts)
+    assert kept(docs) == kept_plainly(list(enumerate(texts)))
+
+
+def test_keep_one_of_rows_that_share_ids(spark):
+    rng = random.Random(10)
+    pool = [" ".join(words(rng, 30)) for _ in range(12)] + ["", None]
+    rows = [(rng.choice([None, 1, 2, 3]), rng.choice(pool)) for _ in range(150)]
+    assert kept(spark.createDataFrame(rows, "doc_id long, text string")) == kept_plainly(rows)
+
+
+def test_keep_one_on_odd_rows(odd, none):
+    assert kept(odd) == kept_plainly([(r.doc_id, r.text) for r in odd.collect()])
+    assert simhash_dedup.keep_one(none).count() == 0
+
+
 def test_components_of_a_long_chain(spark):
     order = random.Random(3).sample(range(400), 400)
     links = [(order[i], order[i + 1]) for i in range(398)] + [(5, 5)]

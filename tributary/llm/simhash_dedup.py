@@ -14,8 +14,12 @@ is never paired: its fingerprints meet at the 65 values within one bit of each,
 exactly if they differ in two bits at most; that is linear in the bucket and as exact.
 Distances above two are refused.
 
+``keep_one`` leaves one document of each component: the row of the smallest doc_id, null last.
+
 Defined results: a text without words, null included, has fingerprint zero and links like any other; null
-doc_ids are never the smallest of a component that has another; repeated rows stay.
+doc_ids are never the smallest of a component that has another; repeated rows stay in ``near_duplicates``. Of
+several rows with a component's smallest doc_id ``keep_one`` leaves that of the least text digest, and of rows
+that agree in both one, whichever it is. Columns of any name are handed on. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm import graph
-from tributary.llm.common import stored
+from tributary.llm.common import row_columns, stored, whole_row
 from tributary.llm.shingles import hashes, simhash
 
 BITS = 64
@@ -44,17 +48,17 @@ PROBE = 50  # what a key that is shuffled costs, in compared pairs
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp) for every row."""
+    """The other columns of ``docs`` with ``fp``, the fingerprint of ``text``, for every row."""
+    others = [f for f in docs.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [simhash(hashes(x.as_py(), words)) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"]
-            )
+            kept = [batch.column(f.name) for f in others]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(fps, pa.int64())], names=[*[f.name for f in others], "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in others)
+    return docs.mapInArrow(run, kinds + "fp long")
 
 
 # Fitting the parts
@@ -208,13 +212,39 @@ def classes(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row: 16 hex digits, and the smallest doc_id reachable."""
-    printed = stored(fingerprints(docs, words), "fingerprints")
+def _components(printed: DataFrame, distance: int) -> DataFrame:
+    """(fp, class, component_id) of every distinct fingerprint in ``printed`` (doc_id, fp)."""
     distinct = stored(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     classed = stored(distinct.join(classes(distinct.select("fp"), distance), "fp"), "fingerprint-classes")
     smallest = classed.groupBy("class").agg(F.min("least").alias("component_id"))
-    found = classed.join(smallest, "class").select("fp", "component_id")
+    return classed.join(smallest, "class").select("fp", "class", "component_id")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row: 16 hex digits, and the smallest doc_id reachable."""
+    printed = stored(fingerprints(docs.select("doc_id", "text"), words), "fingerprints")
+    found = _components(printed, distance).drop("class")
     return printed.join(found, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def text_key(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component."""
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
+    printed = stored(fingerprints(keyed, words), "fingerprints")
+    # rows with the smallest doc_id of their component; many only where no row of a component has a doc_id
+    first = printed.join(_components(printed, distance), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    texts = first.groupBy("class", "key").agg(F.first("doc_id").alias("id"), F.count("*").alias("rows"))
+    least = texts.groupBy("class").agg(F.min(F.struct("key", "id", "rows")).alias("x"))
+    kept = stored(least.select("x.key", "x.id", "x.rows"), "kept")
+    rows = docs.select(whole_row(docs), text_key(F.col("text")).alias("text_key"))
+    stay = rows.join(kept, (F.col("text_key") == F.col("key")) & F.col("doc.doc_id").eqNullSafe(F.col("id")))
+    once = stay.where("rows = 1").select("doc")
+    if not kept.where("rows > 1").isEmpty():
+        once = once.unionAll(stay.where("rows > 1").dropDuplicates(["key", "id"]).select("doc"))
+    return once.select(row_columns(docs))
