@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import mil_quality, mixing, near_copies, pii, sentencepiece_lattice
+from tributary.llm import mil_quality, mixing, pii, sentencepiece_lattice, simhash_dedup
 from tributary.llm.common import stored
 
 
@@ -20,8 +20,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies stays."""
-    return near_copies.keep_one(docs)
+    """One document of each component of fingerprints at two or fewer differing bits stays."""
+    return simhash_dedup.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
