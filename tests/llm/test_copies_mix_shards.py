@@ -320,6 +320,34 @@ def test_sharding_keeps_equal_texts_together(make, hot):
     assert cut <= 1.02 * fewest
 
 
+def groups_of(sizes, free=0):
+    return [f"group {i}" for i, n in enumerate(sizes) for _ in range(n)] + [f"text {i}" for i in range(free)]
+
+
+@pytest.mark.parametrize(
+    ("shape", "share"),
+    [("tens", 0), ("pairs", 0), ("tens and free", 0), ("mixed", 0.05), ("large", 0)],
+)
+def test_sharding_cuts_few_groups_that_fit(make, shape, share):
+    rng = random.Random(3)
+    mixed = []
+    while sum(mixed) < 1990:
+        mixed.append(rng.choice([2, 2, 3, 4, 6, 9]))
+    texts = groups_of({
+        "tens": [10] * 200, "pairs": [2] * 1000, "tens and free": [10] * 180, "mixed": mixed, "large": [27] * 60,
+    }[shape], {"tens and free": 200, "large": 380}.get(shape, 0))
+    rows = sharding.assign(make(texts)).collect()
+    laws_hold(rows)
+    homes = defaultdict(set)
+    for r in rows:
+        homes[texts[r.doc_id]].add(r.shard)
+    linked = [t for t, n in Counter(texts).items() if n > 1]
+    split = [t for t in linked if len(homes[t]) > 1]
+    fit = len(linked) if shape != "large" else 40  # of 27 and 27 one shard of 50 holds one only: 20 must be cut
+    assert len(split) - (len(linked) - fit) <= share * len(linked)
+    assert len(split) < 40
+
+
 def test_sharding_keeps_pairs_together_in_small_tables(make):
     texts = [f"pair {i // 2}" for i in range(20)] + [f"text {i}" for i in range(100)]
     rows = sharding.assign(make(texts)).collect()
