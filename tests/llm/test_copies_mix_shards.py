@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tributary.llm import graph, mixing, near_copies, norm_topk, sharding, simhash_dedup
+from tributary.llm import graph, mixing, norm_topk, sharding, simhash_dedup
 from tributary.llm.shingles import hashes, simhash
 
 
@@ -139,93 +139,6 @@ def words(rng, n):
     return [f"w{rng.randrange(10**6)}" for _ in range(n)]
 
 
-def test_near_copies_keep_one(make):
-    rng = random.Random(5)
-    texts, group = [], []
-    for g in range(25):
-        base = words(rng, 300)
-        for copy in range(4):
-            changed = list(base)
-            if copy:
-                changed[rng.randrange(300)] = f"new{copy}"
-            texts.append(" ".join(changed))
-            group.append(g)
-        texts.append(" ".join(base))
-        group.append(g)
-    shared = words(rng, 60)  # a passage that different documents share
-    for _ in range(20):
-        texts.append(" ".join(words(rng, 100) + shared + words(rng, 100)))
-        group.append(len(texts))
-    kept = sorted(r.doc_id for r in near_copies.keep_one(make(texts)).collect())
-    first = {}
-    for i, g in enumerate(group):
-        first.setdefault(g, i)
-    assert kept == sorted(first.values())
-
-
-def groups_plainly(texts, similarity=0.8):
-    sets, parent = [set(hashes(t, near_copies.WORDS).tolist()) for t in texts], list(range(len(texts)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i, a in enumerate(sets):
-        for j in range(i):
-            both = len(a & sets[j])
-            if both >= similarity * (len(a) + len(sets[j]) - both):
-                parent[find(i)] = find(j)
-    return Counter(Counter(find(i) for i in range(len(texts))).values())
-
-
-def with_new_words(rng, base, at):
-    return [f"n{rng.randrange(10**6)}" if i in at else w for i, w in enumerate(base)]
-
-
-def star(rng, n):
-    """Variants of one text, each similar to it and not to one another."""
-    base = words(rng, 300)
-    return [base] + [with_new_words(rng, base, set(rng.sample(range(5, 295), 6))) for _ in range(n)]
-
-
-def chain(rng, n):
-    """Texts similar to the one before and the one after only."""
-    found = [words(rng, 300)]
-    for i in range(n):
-        found.append(with_new_words(rng, found[-1], {(7 * j + 50 * i) % 300 for j in range(6)}))
-    return found
-
-
-@pytest.mark.parametrize("shape", [star, chain])
-def test_near_copies_link_through_assigned_texts(make, shape):
-    rng = random.Random(11)
-    texts = [" ".join(t) for t in shape(rng, 40)] + [" ".join(words(rng, 100)) for _ in range(5)]
-    groups = near_copies.groups(make(texts)).groupBy("root").count().collect()
-    assert Counter(r["count"] for r in groups) == groups_plainly(texts)
-
-
-def test_parities_lose_no_similar_pair():
-    rng = np.random.default_rng(7)
-    for n in (0, 1, 5, 40, 300, 3000):
-        base = rng.integers(0, 2**63, n, dtype=np.uint64)
-        for new in (0, n // 20, n // 10, n // 9, n // 2):
-            other = np.unique(np.concatenate([base[new:], rng.integers(0, 2**63, new + n % 3, dtype=np.uint64)]))
-            both = len(np.intersect1d(np.unique(base), other))
-            if both >= 0.8 * (n + len(other) - both):
-                assert near_copies.may_be_similar(near_copies.parities(base), near_copies.parities(other), 0.8)
-    far = [near_copies.parities(rng.integers(0, 2**63, 300, dtype=np.uint64)) for _ in range(2)]
-    assert not near_copies.may_be_similar(*far, 0.8)
-
-
-def test_near_copies_on_odd_rows(odd, none):
-    kept = near_copies.keep_one(odd)
-    assert kept.columns == odd.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == [1, 3, 4, 6, 7]  # 2 and 8 have no words, as 1
-    assert near_copies.keep_one(none).count() == 0
-
-
 def targets_plainly(sizes, weights=(5, 2, 1)):
     order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
     weight = {s: weights[i % 3] for i, s in enumerate(order)}
