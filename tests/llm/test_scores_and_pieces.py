@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 import subprocess
 import sys
 from collections import Counter
@@ -107,6 +108,23 @@ def test_relational_encoding(spark, make, unigram):
     assert counts == {i: len(back[i].ids) for i in range(len(texts))}
 
 
+def test_regions_share_nothing(make):
+    """Groups of a few texts, two to a dictionary: ids as with one dictionary, whatever the groups."""
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["the", "of", "lattice", "x" * 80, "\tend", "\u00e9"]) + str(rng.randrange(9)) for _ in range(40)) for _ in range(120)]
+    one = {r.doc_id: r.ids for r in sentencepiece_lattice.encode(make(texts)).collect()}
+    many = {r.doc_id: r.ids for r in sentencepiece_lattice.encode(make(texts), group_bytes=500, region=2).collect()}
+    assert one == many == {i: locally(pieces.PATH, t) for i, t in enumerate(texts)}
+
+
+def test_words_are_asked_once(make):
+    """Texts and messages are each dealt out once: both readers of an exchange take the same columns."""
+    df = sentencepiece_lattice.encode(make(["one two", "two three"] * 50))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 2 and len(re.findall(r"FlatMapGroupsInArrow \[", plan)) == 1
+
+
 def test_encoding_odd_rows(odd, none):
     rows = sentencepiece_lattice.encode(odd).collect()
     assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in odd.collect())

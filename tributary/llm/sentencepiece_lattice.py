@@ -7,21 +7,24 @@ broadcast piece table (bounded by the vocabulary file) and the grouping all stay
 words: the lattice itself shuffles nothing.
 
 Around it, documents are dealt into groups of about ``GROUP_BYTES`` of text by a hash of the row, as
-compressed Arrow batches; a group sends its distinct words with their places in the sorted list of its words,
-gets the ids back by place and puts its texts together. A word that stands in every document travels once per
-group. A segment of more than ``LONG`` characters is
-not a word of the table: the fold copies its state, so its time would grow with the square; such segments
+compressed Arrow batches. A group sends its distinct words, sorted and joined to one message for each bucket of
+words; a bucket encodes its distinct words once and answers every message with the ids of its words in the
+order of the message, and the group puts its texts together. So a word that stands in every document travels
+once per group, without a row or a place of its own. ``REGION`` groups share a set of buckets: a bucket has that many
+messages at most, however large the table is, and a word is encoded once per region. A segment of more than ``LONG``
+characters is not a word of the table: the fold copies its state, so its time would grow with the square; such segments
 are encoded in the group with the same rules by ``pieces.Viterbi``.
 
 Decoding joins the bytes of the pieces; texts without U+2581 come back exactly.
 
 Defined results: a null or empty text has no ids and decodes to an empty text; repeated rows are encoded
-each; an empty table gives no rows.
+each; columns other than doc_id and text are not looked at, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
 
@@ -34,6 +37,8 @@ from tributary.llm import pieces
 
 GROUP_BYTES = 16 << 20
 LONG = 64
+REGION = 4096  # groups that share their dictionary
+BUCKETS = 4  # of words, for each group of a region
 
 _viterbi: dict = {}
 
@@ -50,22 +55,18 @@ def piece_table(spark, vocabulary: pieces.Vocabulary) -> DataFrame:
 
 
 def edges(words: DataFrame, vocabulary: pieces.Vocabulary) -> DataFrame:
-    """(word, start, end, score, id): every piece in every word, and characters without one (id -1). Other
-    columns of ``words`` stay on one edge of a word and are null on the others."""
-    others = [c for c in words.columns if c != "word"]
+    """The columns of ``words`` with (start, end, score, id): every piece in every word, and characters without one (id -1)."""
     table = F.broadcast(piece_table(words.sparkSession, vocabulary))
     size = F.length("word")
     spans = words.where(size > 0).select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("start")).select(
         "*", F.explode(F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), size - F.col("start")))).alias("n")
     )
-    one = (F.col("start") == 0) & (F.col("n") == 1)  # there is an edge for every single character
     found = spans.withColumn("piece", F.substring("word", F.col("start") + 1, F.col("n"))).join(table, "piece", "left").where(
         F.col("id").isNotNull() | (F.col("n") == 1)
     )
     return found.select(
-        "word", "start", (F.col("start") + F.col("n")).alias("end"),
+        *words.columns, "start", (F.col("start") + F.col("n")).alias("end"),
         F.coalesce("score", F.lit(vocabulary.unknown_score)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id"),
-        *[F.when(one, F.col(c)).alias(c) for c in others],
     )
 
 
@@ -106,14 +107,12 @@ def way_back(word: Column, places: Column, vocabulary: pieces.Vocabulary) -> Col
 
 
 def encode_words(words: DataFrame, vocabulary: pieces.Vocabulary) -> DataFrame:
-    """``words`` with ``ids``: distinct, not empty, of up to ``LONG`` characters."""
-    others = [c for c in words.columns if c != "word"]
+    """``words`` with ``ids``; its rows are distinct, their words not empty and of up to ``LONG`` characters."""
+    keys = words.columns
     edge = F.struct("end", "start", "score", "id")
-    lattices = edges(words, vocabulary).groupBy("word").agg(
-        F.sort_array(F.collect_list(edge)).alias("lattice"), *[F.first(c, ignorenulls=True).alias(c) for c in others]
-    )
-    reached = lattices.select("word", *others, arrivals(F.col("lattice")).alias("places"))
-    return reached.select("word", *others, way_back(F.col("word"), F.col("places"), vocabulary).alias("ids"))
+    lattices = edges(words, vocabulary).groupBy(*keys).agg(F.sort_array(F.collect_list(edge)).alias("lattice"))
+    reached = lattices.select(*keys, arrivals(F.col("lattice")).alias("places"))
+    return reached.select(*keys, way_back(F.col("word"), F.col("places"), vocabulary).alias("ids"))
 
 
 # Documents
@@ -141,7 +140,7 @@ def _grouped(docs: DataFrame, groups: int) -> DataFrame:
                 [pa.array(names, pa.int32()), pa.array(packed, pa.binary())], names=["part", "packed"]
             )
 
-    part = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(groups)).cast("int")
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int")
     return docs.select("doc_id", "text", part.alias("part")).mapInArrow(pack, "part int, packed binary")
 
 
@@ -150,69 +149,111 @@ def _unpacked(table: pa.Table) -> Iterator[pa.RecordBatch]:
         yield from pa.ipc.open_stream(packed.as_buffer())
 
 
-def _words(table: pa.Table, vocabulary: pieces.Vocabulary) -> list[str]:
-    """The distinct short segments of a group, sorted: a word's place is the same whenever a task is run."""
-    words: set[str] = set()
+def _dealt(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of a group's words by bucket, then by word, and the buckets in that order: the same
+    whenever a task is run."""
+    order = np.array(sorted(range(len(words)), key=words.__getitem__), dtype=np.int64)
+    bucket = np.fromiter((zlib.crc32(words[i].encode()) for i in order), dtype=np.int64, count=len(words)) % buckets
+    by_bucket = np.argsort(bucket, kind="stable")
+    return order[by_bucket], bucket[by_bucket]
+
+
+def _runs(sorted_numbers: np.ndarray) -> Iterator[tuple[int, int]]:
+    cuts = np.append(np.flatnonzero(np.diff(sorted_numbers, prepend=-1)), len(sorted_numbers))
+    return zip(cuts[:-1], cuts[1:], strict=True)
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The pieces of ``flat`` at ``starts`` of ``sizes``, one after another."""
+    before = np.cumsum(sizes) - sizes
+    return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
+def _numbered(table: pa.Table, vocabulary: pieces.Vocabulary) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
+    """A group's distinct segments, and for every batch the numbers of its segments and where each text's end."""
+    number: dict[str, int] = defaultdict()
+    number.default_factory = number.__len__
+    batches = []
     for batch in _unpacked(table):
-        for text in batch.column("text").to_pylist():
-            words.update(vocabulary.segments(text))
-    return sorted(w for w in words if len(w) <= LONG)
-
-
-def _put_together(texts: list[str | None], places: dict[str, int], flat, ends, viterbi) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, ends) of some texts, from the ids of their words."""
-    segments = [viterbi.vocabulary.segments(t) for t in texts]
-    counts = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
-    every = list(chain.from_iterable(segments))
-    at = np.fromiter((places.get(w, -1) for w in every), dtype=np.int64, count=len(every))
-    others = [np.array(viterbi.encode_array(every[i]), dtype=flat.dtype) for i in np.flatnonzero(at < 0)]  # the long segments
-    starts = np.where(at < 0, 0, ends[at])
-    sizes = np.where(at < 0, 0, ends[at + 1] - ends[at])
-    if others:
-        flat = np.concatenate([flat, *others])
-        sizes[at < 0] = [len(o) for o in others]
-        starts[at < 0] = len(flat) - sum(map(len, others)) + np.cumsum([0, *map(len, others)])[:-1]
-    before = np.concatenate(([0], np.cumsum(sizes)))
-    ids = flat[np.repeat(starts - before[:-1], sizes) + np.arange(before[-1])]
-    return ids.astype(np.int32), before[np.concatenate(([0], np.cumsum(counts)))]
-
-
-def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """(doc_id, ids, text_crc32) for every row of ``docs`` (doc_id, text)."""
+        segments = [vocabulary.segments(t.as_py()) for t in batch.column("text")]
+        ends = np.cumsum(np.fromiter(map(len, segments), dtype=np.int64, count=len(segments)))
+        every = chain.from_iterable(segments)
+        batches.append((np.fromiter(map(number.__getitem__, every), dtype=np.int32, count=int(ends[-1])), ends))
+    return list(number), batches
+
+
+def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BYTES, region: int = REGION) -> DataFrame:
+    """(doc_id, ids, text_crc32) for every row of ``docs`` (doc_id, text); ``region`` groups share a dictionary."""
     spark = docs.sparkSession
     vocabulary = pieces.load(path)
     shared = spark.sparkContext.broadcast(vocabulary)  # bounded by its file
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(-(-size // group_bytes), 2 * spark.sparkContext.defaultParallelism)
+    buckets = BUCKETS * min(groups, region)
     packed = _grouped(docs, groups)
 
     def ask(table: pa.Table) -> pa.Table:
-        words = _words(table, shared.value)
-        part = pa.repeat(pa.scalar(table.column("part")[0].as_py(), pa.int32()), len(words))
-        return pa.table({"part": part, "place": pa.array(range(len(words)), pa.int32()), "word": pa.array(words, pa.string())})
-
-    words = packed.groupBy("part").applyInArrow(ask, "part int, place int, word string")
-    # a word's groups, not its documents; in partitions small enough for their edges to stay in memory
-    asking = words.repartition(4 * groups, "word").groupBy("word").agg(F.collect_list(F.struct("part", "place")).alias("asked"))
-    number = "short" if len(vocabulary.pieces) < 1 << 15 else "int"
-    known = encode_words(asking, vocabulary).select(F.explode("asked").alias("to"), F.col("ids").cast(f"array<{number}>").alias("ids"))
-    dictionary = known.select("to.part", "to.place", "ids")
-
-    def answer(table: pa.Table, entries: pa.Table) -> pa.Table:
-        places = {w: i for i, w in enumerate(_words(table, shared.value))}
-        entries = entries.select(["place", "ids"]).sort_by("place").combine_chunks()
-        lists = entries.column("ids").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks else lists
-        flat, ends = np.empty(0, dtype=np.int32), np.zeros(2, dtype=np.int64)
-        if len(lists):
-            ends = lists.offsets.to_numpy().astype(np.int64)
-            flat = lists.values.to_numpy()
-        viterbi = _local_viterbi(shared.value, path)
-        done = []
+        part, words = table.column("part")[0].as_py(), set()
         for batch in _unpacked(table):
-            texts = batch.column("text").to_pylist()
-            ids, stops = _put_together(texts, places, flat, ends, viterbi)
-            sums = [zlib.crc32((t or "").encode("utf-8", "surrogatepass")) for t in texts]
+            for text in batch.column("text"):
+                words.update(shared.value.segments(text.as_py()))
+        words = [w for w in words if len(w) <= LONG]
+        order, bucket = _dealt(words, buckets)
+        first = part // region * buckets
+        # no word has a space; the part leads the message, so that both readers of the exchange take the same column
+        rows = [(first + int(bucket[a]), " ".join([str(part), *[words[i] for i in order[a:b]]])) for a, b in _runs(bucket)]
+        return pa.table({"bucket": pa.array([b for b, _ in rows], pa.int32()), "message": pa.array([m for _, m in rows], pa.string())})
+
+    messages = packed.groupBy("part").applyInArrow(ask, "bucket int, message string").repartition(
+        buckets * -(-groups // region), "bucket")
+    listed = F.split("message", " ")
+    words = messages.select("bucket", F.explode(F.slice(listed, F.lit(2), F.size(listed))).alias("word")).distinct()
+    known = encode_words(words, vocabulary)
+
+    def reply(messages: pa.Table, known: pa.Table) -> pa.Table:
+        place = {w.as_py(): i for i, w in enumerate(known.column("word"))}
+        ids = known.column("ids").combine_chunks()
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        sizes = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        kept = np.uint16 if len(shared.value.pieces) < 1 << 16 else np.int32
+        parts, counts, answers = [], [], []
+        for message in messages.column("message"):
+            part, *asked = message.as_py().split(" ")
+            at = np.array([place[w] for w in asked], dtype=np.int64)
+            parts.append(int(part))
+            counts.append(sizes[at].astype(np.uint16).tobytes())  # at most four for each of LONG characters
+            answers.append(_gathered(flat, starts[at], sizes[at]).astype(kept).tobytes())
+        return pa.table({"part": pa.array(parts, pa.int32()), "bucket": messages.column("to"),
+                         "counts": pa.array(counts, pa.binary()), "ids": pa.array(answers, pa.binary())})
+
+    asked = messages.select(F.col("bucket").alias("to"), "message")
+    replies = asked.groupBy("to").cogroup(known.groupBy("bucket")).applyInArrow(
+        reply, "part int, bucket int, counts binary, ids binary")
+
+    def answer(table: pa.Table, replies: pa.Table) -> pa.Table:
+        words, numbered = _numbered(table, shared.value)
+        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        short = np.array([i for i, w in enumerate(words) if len(w) <= LONG], dtype=np.int64)
+        order, _ = _dealt([words[i] for i in short], buckets)
+        order = short[order]
+        replies = replies.sort_by("bucket")
+        joined = lambda name: b"".join(v.as_buffer() for v in replies.column(name))
+        kept = np.uint16 if len(shared.value.pieces) < 1 << 16 else np.int32
+        counts = np.frombuffer(joined("counts"), dtype=np.uint16)
+        flat = np.frombuffer(joined("ids"), dtype=kept).astype(np.int32)
+        here = [np.array(_local_viterbi(shared.value, path).encode_array(words[i]), dtype=np.int32) for i in long]
+        sizes, starts = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        every = np.concatenate((order, np.array(long, dtype=np.int64)))
+        sizes[every] = np.concatenate((counts.astype(np.int64), np.array([len(h) for h in here], dtype=np.int64)))
+        starts[every] = np.cumsum(sizes[every]) - sizes[every]
+        flat = np.concatenate([flat, *here])
+        del words, here
+        done = []
+        for batch, (at, ends) in zip(_unpacked(table), numbered, strict=True):
+            ids = _gathered(flat, starts[at], sizes[at])
+            stops = np.concatenate(([0], np.cumsum(sizes[at])))[np.concatenate(([0], ends))]
+            sums = [zlib.crc32((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in batch.column("text")]
             done.append(pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(ids, pa.int32())), pa.array(sums, pa.int64())],
                 names=["doc_id", "ids", "text_crc32"],
@@ -220,7 +261,7 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
         return pa.Table.from_batches(done)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return packed.groupBy("part").cogroup(dictionary.groupBy("part")).applyInArrow(
+    return packed.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(
         answer, f"doc_id {kind}, ids array<int>, text_crc32 long"
     )
 
