@@ -97,13 +97,14 @@ def test_relational_encoding(spark, make, unigram):
     path, library = unigram
     rng = random.Random(1)
     docs = [r.text[:500] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(80).collect() if r.text]
-    texts = docs + [None, "", " ", "  lead", "trail  ", "a" * 500, "é" * 70 + " x", "漢字\tかな\r\n\U0001F600", "same text", "same text",
+    texts = docs + [None, "", " ", "  lead", "trail  ", "a" * 500, "é" * 70 + " x", "漢字\tかな\r\n\U0001F600", "same text", "same text", "a▁ b ▁c", " a  b\n c ",
                     "".join(rng.choice("ab ") for _ in range(3000))]
-    encoded = sentencepiece_lattice.encode(make(texts), path)
+    encoded = sentencepiece_lattice.encode(make(texts), path, verify=True)
+    assert all(r.round_trip == ("▁" not in (texts[r.doc_id] or "")) for r in encoded.collect())
     back = {r.doc_id: r for r in sentencepiece_lattice.decode(encoded, path).collect()}
     for i, text in enumerate(texts):
         assert back[i].ids == (library.encode(text) if text else [])
-        assert back[i].text == (text or "")
+        assert back[i].text == (text or "").replace("▁", " ")
     counts = {r.doc_id: r.n_tokens for r in token_counts.token_counts(make(texts), path).collect()}
     assert counts == {i: len(back[i].ids) for i in range(len(texts))}
 

@@ -30,15 +30,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm import pieces
 
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 12 << 20
 LONG = 64
 REGION = 4096  # groups that share their dictionary
-BUCKETS = 4  # of words, for each group of a region
+BUCKETS = 6  # of words, for each group of a region
+HEAD = 3  # characters that tell which lengths are looked up
 
 _viterbi: dict = {}
 
@@ -54,13 +56,27 @@ def piece_table(spark, vocabulary: pieces.Vocabulary) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, score double, id int")
 
 
+def beginnings(spark, vocabulary: pieces.Vocabulary) -> DataFrame:
+    """(head, lengths): the lengths of the pieces that ``head`` begins with, or that begin with it, and 1."""
+    lengths = defaultdict(set)
+    for piece in vocabulary.score:
+        if len(piece) >= HEAD:
+            lengths[piece[:HEAD]].add(len(piece))
+    rows = [(h, sorted({1, *more, *[n for n in range(1, HEAD) if h[:n] in vocabulary.score]})) for h, more in lengths.items()]
+    return spark.createDataFrame(rows, "head string, lengths array<int>")
+
+
 def edges(words: DataFrame, vocabulary: pieces.Vocabulary) -> DataFrame:
-    """The columns of ``words`` with (start, end, score, id): every piece in every word, and characters without one (id -1)."""
+    """The columns of ``words`` with (start, end, score, id): every piece in every word, and characters without one (id -1).
+
+    Substrings are of the lengths that pieces with their beginning have; both tables are bounded by the vocabulary."""
     table = F.broadcast(piece_table(words.sparkSession, vocabulary))
-    size = F.length("word")
-    spans = words.where(size > 0).select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("start")).select(
-        "*", F.explode(F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), size - F.col("start")))).alias("n")
-    )
+    heads = F.broadcast(beginnings(words.sparkSession, vocabulary))
+    size, shorter = F.length("word"), F.array(*map(F.lit, range(1, HEAD)))
+    starts = words.where(size > 0).select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+    spans = starts.withColumn("head", F.substring("word", F.col("start") + 1, F.lit(HEAD))).join(heads, "head", "left").select(
+        *words.columns, "start", F.explode(F.coalesce("lengths", shorter)).alias("n")
+    ).where(F.col("start") + F.col("n") <= size)
     found = spans.withColumn("piece", F.substring("word", F.col("start") + 1, F.col("n"))).join(table, "piece", "left").where(
         F.col("id").isNotNull() | (F.col("n") == 1)
     )
@@ -108,7 +124,7 @@ def way_back(word: Column, places: Column, vocabulary: pieces.Vocabulary) -> Col
 
 def encode_words(words: DataFrame, vocabulary: pieces.Vocabulary) -> DataFrame:
     """``words`` with ``ids``; its rows are distinct, their words not empty and of up to ``LONG`` characters."""
-    keys = words.columns
+    keys = ["word", *[c for c in words.columns if c != "word"]]  # rows are sorted by their first bytes of the first key
     edge = F.struct("end", "start", "score", "id")
     lattices = edges(words, vocabulary).groupBy(*keys).agg(F.sort_array(F.collect_list(edge)).alias("lattice"))
     reached = lattices.select(*keys, arrivals(F.col("lattice")).alias("places"))
@@ -150,12 +166,14 @@ def _unpacked(table: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def _dealt(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of a group's words by bucket, then by word, and the buckets in that order: the same
-    whenever a task is run."""
-    order = np.array(sorted(range(len(words)), key=words.__getitem__), dtype=np.int64)
-    bucket = np.fromiter((zlib.crc32(words[i].encode()) for i in order), dtype=np.int64, count=len(words)) % buckets
-    by_bucket = np.argsort(bucket, kind="stable")
-    return order[by_bucket], bucket[by_bucket]
+    """The order of a group's distinct words by bucket and hash, and the buckets in that order: the same
+    whenever a task is run, in whatever order its rows come."""
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode()) for w in words), dtype=np.uint64, count=len(words))
+    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((hashes, bucket))
+    if np.any(hashes[order][1:] == hashes[order][:-1]):  # words of one hash come by their characters
+        order = np.array(sorted(order.tolist(), key=lambda i: (bucket[i], hashes[i], words[i])), dtype=np.int64)
+    return order, bucket[order]
 
 
 def _runs(sorted_numbers: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -169,35 +187,59 @@ def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nda
     return flat[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
 
 
+def _tokens(text: str | None, vocabulary: pieces.Vocabulary) -> list[str]:
+    """What stands between the spaces of a text: cheaper than its segments, which are those of its tokens. Where
+    they would not be (runs of spaces, the space piece itself) its segments, marked by a space before them."""
+    tokens = text.split(" ") if text else []
+    if text and (pieces.SPACE in text or "" in tokens):
+        return [" " + segment for segment in vocabulary.segments(text)]
+    return tokens
+
+
+def _segments(token: str, vocabulary: pieces.Vocabulary) -> list[str]:
+    return [token[1:]] if token[0] == " " else vocabulary.segments(token)
+
+
 def _numbered(table: pa.Table, vocabulary: pieces.Vocabulary) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
-    """A group's distinct segments, and for every batch the numbers of its segments and where each text's end."""
+    """A group's distinct tokens, and for every batch the numbers of its tokens and where each text's end."""
     number: dict[str, int] = defaultdict()
     number.default_factory = number.__len__
     batches = []
     for batch in _unpacked(table):
-        segments = [vocabulary.segments(t.as_py()) for t in batch.column("text")]
-        ends = np.cumsum(np.fromiter(map(len, segments), dtype=np.int64, count=len(segments)))
-        every = chain.from_iterable(segments)
-        batches.append((np.fromiter(map(number.__getitem__, every), dtype=np.int32, count=int(ends[-1])), ends))
+        found, ends = [], [0]
+        for text in batch.column("text"):
+            tokens = _tokens(text.as_py(), vocabulary)
+            found.append(np.fromiter(map(number.__getitem__, tokens), dtype=np.int32, count=len(tokens)))
+            ends.append(ends[-1] + len(tokens))
+        batches.append((np.concatenate(found), np.array(ends)))
     return list(number), batches
 
 
-def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BYTES, region: int = REGION) -> DataFrame:
-    """(doc_id, ids, text_crc32) for every row of ``docs`` (doc_id, text); ``region`` groups share a dictionary."""
+def _kept(vocabulary: pieces.Vocabulary) -> type:
+    """The type of ids on their way."""
+    return np.uint16 if len(vocabulary.pieces) < 1 << 16 else np.int32
+
+
+def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BYTES, region: int = REGION,
+           verify: bool = False) -> DataFrame:
+    """(doc_id, ids, text_crc32) for every row of ``docs`` (doc_id, text); ``region`` groups share a dictionary.
+    ``verify`` adds ``round_trip``: whether the ids, decoded where they are made, give the text."""
     spark = docs.sparkSession
     vocabulary = pieces.load(path)
     shared = spark.sparkContext.broadcast(vocabulary)  # bounded by its file
+    spelling = spark.sparkContext.broadcast(pieces.spelled(vocabulary))  # the same
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(-(-size // group_bytes), 2 * spark.sparkContext.defaultParallelism)
     buckets = BUCKETS * min(groups, region)
     packed = _grouped(docs, groups)
 
     def ask(table: pa.Table) -> pa.Table:
-        part, words = table.column("part")[0].as_py(), set()
+        part, tokens = table.column("part")[0].as_py(), set()
         for batch in _unpacked(table):
             for text in batch.column("text"):
-                words.update(shared.value.segments(text.as_py()))
-        words = [w for w in words if len(w) <= LONG]
+                tokens.update(_tokens(text.as_py(), shared.value))
+        words = list({w for t in tokens for w in _segments(t, shared.value) if len(w) <= LONG})
+        del tokens
         order, bucket = _dealt(words, buckets)
         first = part // region * buckets
         # no word has a space; the part leads the message, so that both readers of the exchange take the same column
@@ -216,7 +258,7 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
         flat = ids.flatten().to_numpy(zero_copy_only=False)
         sizes = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         starts = np.cumsum(sizes) - sizes
-        kept = np.uint16 if len(shared.value.pieces) < 1 << 16 else np.int32
+        kept = _kept(shared.value)
         parts, counts, answers = [], [], []
         for message in messages.column("message"):
             part, *asked = message.as_py().split(" ")
@@ -232,37 +274,50 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
         reply, "part int, bucket int, counts binary, ids binary")
 
     def answer(table: pa.Table, replies: pa.Table) -> pa.Table:
-        words, numbered = _numbered(table, shared.value)
-        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        vocabulary = shared.value
+        tokens, numbered = _numbered(table, vocabulary)
+        number: dict[str, int] = defaultdict()  # of each distinct segment
+        number.default_factory = number.__len__
+        cut = [_segments(t, vocabulary) for t in tokens]
+        token_ends = np.cumsum([0, *map(len, cut)])
+        at = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=int(token_ends[-1]))
+        words = list(number)
+        del tokens, cut, number
+        long = np.array([i for i, w in enumerate(words) if len(w) > LONG], dtype=np.int64)
         short = np.array([i for i, w in enumerate(words) if len(w) <= LONG], dtype=np.int64)
         order, _ = _dealt([words[i] for i in short], buckets)
-        order = short[order]
+        every = np.concatenate((short[order], long))
+        here = [np.array(_local_viterbi(vocabulary, path).encode_array(words[i]), dtype=np.int32) for i in long]
+        del words
         replies = replies.sort_by("bucket")
         joined = lambda name: b"".join(v.as_buffer() for v in replies.column(name))
-        kept = np.uint16 if len(shared.value.pieces) < 1 << 16 else np.int32
-        counts = np.frombuffer(joined("counts"), dtype=np.uint16)
-        flat = np.frombuffer(joined("ids"), dtype=kept).astype(np.int32)
-        here = [np.array(_local_viterbi(shared.value, path).encode_array(words[i]), dtype=np.int32) for i in long]
-        sizes, starts = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
-        every = np.concatenate((order, np.array(long, dtype=np.int64)))
-        sizes[every] = np.concatenate((counts.astype(np.int64), np.array([len(h) for h in here], dtype=np.int64)))
+        sizes, starts = np.zeros(len(every), dtype=np.int64), np.zeros(len(every), dtype=np.int64)
+        sizes[every] = np.concatenate((np.frombuffer(joined("counts"), dtype=np.uint16), np.array(list(map(len, here)), dtype=np.int64)))
         starts[every] = np.cumsum(sizes[every]) - sizes[every]
-        flat = np.concatenate([flat, *here])
-        del words, here
+        flat = np.concatenate([np.frombuffer(joined("ids"), dtype=_kept(vocabulary)).astype(np.int32), *here])
+        # from the ids of the segments to those of the tokens
+        flat = _gathered(flat, starts[at], sizes[at])
+        ends = np.concatenate(([0], np.cumsum(sizes[at])))[token_ends]
+        starts, sizes = ends[:-1], np.diff(ends)
         done = []
-        for batch, (at, ends) in zip(_unpacked(table), numbered, strict=True):
+        for batch, (at, stops) in zip(_unpacked(table), numbered, strict=True):
             ids = _gathered(flat, starts[at], sizes[at])
-            stops = np.concatenate(([0], np.cumsum(sizes[at])))[np.concatenate(([0], ends))]
-            sums = [zlib.crc32((t.as_py() or "").encode("utf-8", "surrogatepass")) for t in batch.column("text")]
-            done.append(pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(ids, pa.int32())), pa.array(sums, pa.int64())],
-                names=["doc_id", "ids", "text_crc32"],
-            ))
+            stops = np.concatenate(([0], np.cumsum(sizes[at])))[stops]
+            texts = [t.as_py() or "" for t in batch.column("text")]
+            columns = {
+                "doc_id": batch.column("doc_id"),
+                "ids": pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(ids, pa.int32())),
+                "text_crc32": pa.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()),
+            }
+            if verify:
+                spans = zip(texts, stops[:-1], stops[1:], strict=True)
+                columns["round_trip"] = pa.array([pieces.decoded(ids[a:b].tolist(), spelling.value) == t for t, a, b in spans])
+            done.append(pa.RecordBatch.from_pydict(columns))
         return pa.Table.from_batches(done)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return packed.groupBy("part").cogroup(replies.groupBy("part")).applyInArrow(
-        answer, f"doc_id {kind}, ids array<int>, text_crc32 long"
+        answer, f"doc_id {kind}, ids array<int>, text_crc32 long{', round_trip boolean' if verify else ''}"
     )
 
 
