@@ -24,6 +24,7 @@ each; columns other than doc_id and text are not looked at, whatever their names
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
@@ -278,17 +279,20 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
         tokens, numbered = _numbered(table, vocabulary)
         number: dict[str, int] = defaultdict()  # of each distinct segment
         number.default_factory = number.__len__
-        cut = [_segments(t, vocabulary) for t in tokens]
-        token_ends = np.cumsum([0, *map(len, cut)])
-        at = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=int(token_ends[-1]))
+        at, token_ends = array("i"), array("q", [0])
+        for token in tokens:
+            at.extend(map(number.__getitem__, _segments(token, vocabulary)))
+            token_ends.append(len(at))
+        at = np.frombuffer(at, dtype=np.int32) if at else np.empty(0, dtype=np.int32)
         words = list(number)
-        del tokens, cut, number
+        del tokens, number
         long = np.array([i for i, w in enumerate(words) if len(w) > LONG], dtype=np.int64)
         short = np.array([i for i, w in enumerate(words) if len(w) <= LONG], dtype=np.int64)
         order, _ = _dealt([words[i] for i in short], buckets)
         every = np.concatenate((short[order], long))
         here = [np.array(_local_viterbi(vocabulary, path).encode_array(words[i]), dtype=np.int32) for i in long]
         del words
+        pa.default_memory_pool().release_unused()
         replies = replies.sort_by("bucket")
         joined = lambda name: b"".join(v.as_buffer() for v in replies.column(name))
         sizes, starts = np.zeros(len(every), dtype=np.int64), np.zeros(len(every), dtype=np.int64)
