@@ -36,7 +36,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's ids."""
-    encoded = sentencepiece_lattice.encode(docs, group_bytes=8 << 20)
+    encoded = sentencepiece_lattice.encode(docs, group_bytes=4 << 20)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids")
 
 
