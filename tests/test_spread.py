@@ -2,7 +2,8 @@
 
 import pytest
 
-from tributary.operators import lookup
+from tributary.operators import edges, lookup
+from tributary.streaming.edges import current_batch_edges
 
 ENTRIES = [(f"e{i % 37}", "table" if i % 5 else "container", f"s{i % 3}.db.{'x' * (i % 4)}t_{i % 50}", f"s3://b/t_{i % 50}", ["k", "v"]) for i in range(60)]
 NAMES = ["t_1", "db.t_7", "xt_9", "1", "", "s3://b/t_5", "s3://b/none", "none", "s1.db.xt_1"]
@@ -82,3 +83,15 @@ def test_scopes_and_lists_are_not_a_join_of_few_keys(spark, catalog):
         spark.createDataFrame([(1, ["s0"])], "app_id bigint, services array<string>"), catalog,
     )
     assert "Join [scope" not in plan_of(got)
+
+
+def test_an_index_of_the_asked_names_gives_the_same_edges(spark, catalog):
+    side = lambda *names: [("db", n, None, None) for n in names]
+    schema = "event_id bigint, event_type string, event_time timestamp, run_id bigint, inputs array<{0}>, outputs array<{0}>".format(
+        "struct<namespace:string,name:string,symlinks:array<struct<namespace:string,name:string>>,"
+        "column_lineage:map<string,array<struct<namespace:string,name:string,field:string>>>>")
+    events = spark.createDataFrame([(i, "START", None, i, side("t_7", "none"), side(f"db.t_{i}", "db.xt_9")) for i in range(9)], schema)
+    whole = lookup.lookup_index(catalog)
+    asked = lambda names: lookup.lookup_index(catalog, names=names)
+    assert rows(edges.column_edges(events, asked, catalog)) == rows(edges.column_edges(events, whole, catalog)) != []
+    assert rows(current_batch_edges(events, asked, catalog)) == rows(current_batch_edges(events, whole, catalog))

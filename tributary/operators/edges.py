@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +24,16 @@ from tributary.operators.skew import sliced_join
 EDGE_KEY = ("from_type", "from_id", "to_type", "to_id")
 ARRIVAL = ("event_time", "event_id", "in_pos", "out_pos")
 
+# A lookup index, or what makes one for the names (table_name) that are asked.
+Index = DataFrame | Callable[[DataFrame], DataFrame]
 
-def table_edges(events: DataFrame, refs: DataFrame, index: DataFrame) -> DataFrame:
+
+def _resolved(counts: DataFrame, index: Index) -> DataFrame:
+    asked = distinct_names(counts)
+    return first_hits(asked, index if isinstance(index, DataFrame) else index(asked))
+
+
+def table_edges(events: DataFrame, refs: DataFrame, index: Index) -> DataFrame:
     """Edges of the long form, ``n_pairs`` calls each. ``events`` are those past the gate's type test;
     a pair exists only if both sides do, so the rest of the gate needs no check here.
 
@@ -33,7 +41,7 @@ def table_edges(events: DataFrame, refs: DataFrame, index: DataFrame) -> DataFra
     """
     sides = collapse(named(refs))
     names = name_counts(sides, F.col("n"))
-    entities = first_hits(distinct_names(names), index).drop("fqn")
+    entities = _resolved(names, index).drop("fqn")
     found = sliced_join(sides, entities, ["table_name"], ["event_id", "side"], names)
     pairs = pair_sides(events, found, sides)
     return pairs.select(
@@ -65,7 +73,7 @@ def _column_pairs(links: Column, source: str, target: str) -> Column:
     )
 
 
-def column_edges(events: DataFrame, index: DataFrame, catalog: DataFrame) -> DataFrame:
+def column_edges(events: DataFrame, index: Index, catalog: DataFrame) -> DataFrame:
     """Edges of nested events, each with the bag of its column pairs in ``column_pairs``.
 
     A link stays if both its columns exist. Each end tests its own column right after its join, so that no
@@ -73,7 +81,7 @@ def column_edges(events: DataFrame, index: DataFrame, catalog: DataFrame) -> Dat
     """
     sides = named_sides(events)
     names = side_names(sides)
-    entities = with_columns(first_hits(distinct_names(names), index), catalog)
+    entities = with_columns(_resolved(names, index), catalog)
 
     def end(prefix: str) -> DataFrame:
         return entities.select(

@@ -53,8 +53,9 @@ def _gated(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.run_events(spark, sf).where(events.kept_type())
 
 
-def _index(spark: SparkSession, sf: str, services: list[str] | None = None) -> DataFrame:
-    return lookup.lookup_index(fixtures.catalog(spark, sf), services or [])
+def _index(spark: SparkSession, sf: str) -> edges.Index:
+    """Of the names that are asked, and no others."""
+    return lambda asked: lookup.lookup_index(fixtures.catalog(spark, sf), names=asked)
 
 
 # Sources
@@ -459,7 +460,7 @@ def conf_tree(spark: SparkSession, sf: str) -> DataFrame:
 
 def _run_edge_stream(spark: SparkSession, sf: str) -> str:
     base = scratch_folder(spark, "edge-stream")
-    _index(spark, sf).write.parquet(f"{base}/index")
+    lookup.lookup_index(fixtures.catalog(spark, sf)).write.parquet(f"{base}/index")
     fixtures.catalog(spark, sf).write.parquet(f"{base}/catalog")
     start_edges(
         fixtures.nested_event_stream(spark, sf),
