@@ -1,6 +1,7 @@
 """Streams against the batch results, in several micro-batches and with a replay."""
 
 import os
+import re
 
 import pytest
 from compare import spark_bag
@@ -15,6 +16,7 @@ from tributary.schemas import RUN_EVENT
 from tributary.sources.edge_store import current_edges
 from tributary.sources.run_events import stream_run_events
 from tributary.sources import edge_table, manifest
+from tributary.streaming import edges as edge_streams
 from tributary.streaming.edges import current_batch_edges, start_edges, start_table_edges
 from tributary.streaming.executions import closing_row, missing_pairs, pair_execution_streams
 
@@ -46,6 +48,29 @@ def test_edge_stream_equals_batch(spark, sf, tmp_path, documents):
     assert spark_bag(rejects) == spark_bag(rejected_events(batch).select("event_id", "reason"))
 
 
+@pytest.mark.parametrize("table", [False, True])
+def test_a_batch_deals_its_sides_out_once(spark, sf, tmp_path, documents, monkeypatch, table):
+    base, plans = str(tmp_path), []
+
+    def watched(events, index, catalog):
+        found = current_batch_edges(events, index, catalog)
+        found.collect()
+        plans.append(found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        return found
+
+    monkeypatch.setattr(edge_streams, "current_batch_edges", watched)
+    events, catalog = stream_run_events(spark, documents), fixtures.catalog(spark, sf)
+    if table:
+        edge_table.publish_catalog(catalog, f"{base}/catalog")
+        start_table_edges(events, f"{base}/catalog", f"{base}/table", f"{base}/rejects", f"{base}/cp", "first").awaitTermination()
+    else:
+        lookup_index(catalog).write.parquet(f"{base}/index")
+        index = spark.read.parquet(f"{base}/index")
+        start_edges(events, index, catalog, f"{base}/edges", f"{base}/rejects", f"{base}/cp").awaitTermination()
+    dealt = re.findall(r"(?<!Reused)Exchange hashpartitioning\(_at#", plans[0])
+    assert len(plans) == 1 and len(dealt) == 1, plans[0]
+
+
 def test_many_batches_and_a_replay(spark, sf, tmp_path, documents):
     base = str(tmp_path)
     catalog = fixtures.catalog(spark, sf)

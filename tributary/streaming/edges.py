@@ -5,6 +5,9 @@ its distinct names against a lookup index, and writes its own folder in both tab
 gives the same files. ``start_edges`` takes an index that was written once; ``start_table_edges`` reads the
 newest version of the catalog at every micro-batch, so an entry that arrives while the stream runs is found from
 the next batch on.
+
+A batch is not cached: its documents are read once for the rejects and once for the edges. Plans over a cached batch
+do not share their exchanges, and made the named sides anew for every use; the cache held all documents, too.
 """
 
 from __future__ import annotations
@@ -55,12 +58,8 @@ def start_edges(
     **trigger,
 ) -> StreamingQuery:
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            write_batch(current_batch_edges(batch, index, catalog), edges_path, batch_id)
-            write_rejects(batch, rejects_path, batch_id)
-        finally:
-            batch.unpersist()
+        write_batch(current_batch_edges(batch, index, catalog), edges_path, batch_id)
+        write_rejects(batch, rejects_path, batch_id)
 
     return (
         events.writeStream.foreachBatch(handle)
@@ -80,12 +79,8 @@ def start_table_edges(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         version, index, catalog = read_catalog_version(spark, catalog_path, batch_version(spark, table, run, batch_id))
-        batch.persist()
-        try:
-            write_rejects(batch, f"{rejects_path}/run={run}", batch_id)
-            add_batch(current_batch_edges(batch, index, catalog), table, run, batch_id, version, replaces)
-        finally:
-            batch.unpersist()
+        write_rejects(batch, f"{rejects_path}/run={run}", batch_id)
+        add_batch(current_batch_edges(batch, index, catalog), table, run, batch_id, version, replaces)
 
     return (
         events.writeStream.foreachBatch(handle)
