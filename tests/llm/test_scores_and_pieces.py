@@ -154,3 +154,19 @@ def test_memory_of_a_long_segment_is_bounded():
     done = subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, text=True, timeout=600)
     counted, encoded = map(int, done.stdout.split())  # kilobytes, for two million characters
     assert counted < 20_000 and encoded < 50_000
+
+
+def test_lattice_words_are_cut_where_no_piece_goes_across():
+    vocabulary = pieces.load()
+    texts = ["word, word&&& 1234x  a\x01b\n", "日本語 😀😀ﷺ", "▁▁ ab", "thing###", "x" * 300]
+    tokens = [t for text in texts for t in sentencepiece_lattice._tokens(text, vocabulary)]
+    cut = list(sentencepiece_lattice.Cutter(vocabulary).cut(tokens))
+    parts, sizes = [p for some, _ in cut for p in some], [n for _, some in cut for n in some]
+    assert len(sizes) == len(tokens) and sum(sizes) == len(parts) and min(sizes) > 0
+    segments = [s for text in texts for s in vocabulary.segments(text)]
+    assert "".join(parts) == "".join(segments)
+    viterbi = pieces.Viterbi(vocabulary)
+    ids = lambda words: [i for w in words for i in viterbi.encode(w)]
+    assert ids(parts) == ids(segments)
+    pairs = {p[i : i + 2] for p in vocabulary.score for i in range(len(p) - 1)}
+    assert all(p[i : i + 2] in pairs for p in parts for i in range(len(p) - 1))

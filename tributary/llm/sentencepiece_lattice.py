@@ -11,8 +11,10 @@ compressed Arrow batches. A group sends its distinct words, sorted and joined to
 words; a bucket encodes its distinct words once and answers every message with the ids of its words in the
 order of the message, and the group puts its texts together. So a word that stands in every document travels
 once per group, without a row or a place of its own. ``REGION`` groups share a set of buckets: a bucket has that many
-messages at most, however large the table is, and a word is encoded once per region. A segment of more than ``LONG``
-characters is not a word of the table: the fold copies its state, so its time would grow with the square; such segments
+messages at most, however large the table is, and a word is encoded once per region. Words are segments cut further,
+between any two characters that stand side by side in no piece (``Cutter``): no piece goes across, so the best paths of
+the parts make that of the whole, and different segments share their parts. A part of more than ``LONG``
+characters is not a word of the table: the fold copies its state, so its time would grow with the square; such parts
 are encoded in the group with the same rules by ``pieces.Viterbi``.
 
 Decoding joins the bytes of the pieces; texts without U+2581 come back exactly.
@@ -42,8 +44,11 @@ LONG = 64
 REGION = 4096  # groups that share their dictionary
 BUCKETS = 6  # of words, for each group of a region
 HEAD = 3  # characters that tell which lengths are looked up
+TOKENS = 1 << 15  # that are cut at a time
+CHARACTERS = 1 << 20  # that are looked at a time
 
 _viterbi: dict = {}
+_cutters: dict = {}
 
 
 def _local_viterbi(vocabulary: pieces.Vocabulary, path: str) -> pieces.Viterbi:
@@ -52,6 +57,46 @@ def _local_viterbi(vocabulary: pieces.Vocabulary, path: str) -> pieces.Viterbi:
     return _viterbi[path]
 
 
+class Cutter:
+    """Cuts tokens wherever no piece goes across: where two characters stand side by side in no piece. All cuts of
+    ``Vocabulary.segments`` are among these. The table of pairs is bounded by the vocabulary's characters."""
+
+    def __init__(self, vocabulary: pieces.Vocabulary):
+        pairs = {p[i : i + 2] for p in vocabulary.score for i in range(len(p) - 1)}
+        number = {c: n for n, c in enumerate(sorted(set("".join(pairs))), 1)}
+        self.number = np.zeros(0x110000, dtype=np.int32)  # 0: in no pair
+        self.number[[ord(c) for c in number]] = list(number.values())
+        self.joined = np.zeros((len(number) + 1, len(number) + 1), dtype=bool)
+        for a, b in pairs:
+            self.joined[number[a], number[b]] = True
+
+    def _apart(self, text: str) -> np.ndarray:
+        """For every two neighbours in a text, whether there is a cut between them."""
+        found = []
+        for at in range(0, len(text) - 1, CHARACTERS):
+            code = self.number[np.frombuffer(text[at : at + CHARACTERS + 1].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+            found.append(~self.joined[code[:-1], code[1:]])
+        return np.concatenate(found) if found else np.empty(0, dtype=bool)
+
+    def cut(self, tokens: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
+        """Some of the tokens at a time: the parts of them all, and how many each has."""
+        for first in range(0, len(tokens), TOKENS):
+            whole = [t[1:] if t[0] == " " else pieces.SPACE + t for t in tokens[first : first + TOKENS]]
+            text, ends = "".join(whole), np.cumsum(np.fromiter(map(len, whole), dtype=np.int64, count=len(whole)))
+            last = np.append(self._apart(text), True)
+            last[ends - 1] = True
+            stops = np.flatnonzero(last) + 1
+            starts = np.concatenate(([0], stops[:-1]))
+            parts = [text[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+            yield parts, np.diff(np.searchsorted(stops, ends, side="right"), prepend=0)
+
+
+def _local_cutter(vocabulary: pieces.Vocabulary, path: str) -> Cutter:
+    if path not in _cutters:
+        _cutters[path] = Cutter(vocabulary)
+    return _cutters[path]
+
+
 def piece_table(spark, vocabulary: pieces.Vocabulary) -> DataFrame:
     rows = [(p, s, vocabulary.ids[p]) for p, s in vocabulary.score.items()]
     return spark.createDataFrame(rows, "piece string, score double, id int")
@@ -125,9 +170,11 @@ def way_back(word: Column, places: Column, vocabulary: pieces.Vocabulary) -> Col
 
 def encode_words(words: DataFrame, vocabulary: pieces.Vocabulary) -> DataFrame:
     """``words`` with ``ids``; its rows are distinct, their words not empty and of up to ``LONG`` characters."""
-    keys = ["word", *[c for c in words.columns if c != "word"]]  # rows are sorted by their first bytes of the first key
+    keys = ["word", *[c for c in words.columns if c != "word"]]
     edge = F.struct("end", "start", "score", "id")
-    lattices = edges(words, vocabulary).groupBy(*keys).agg(F.sort_array(F.collect_list(edge)).alias("lattice"))
+    # rows are sorted by the first key: by numbers in the order in which the words come apart, they are in order already
+    numbered = words.withColumn("_n", F.monotonically_increasing_id())
+    lattices = edges(numbered, vocabulary).groupBy("_n", *keys).agg(F.sort_array(F.collect_list(edge)).alias("lattice"))
     reached = lattices.select(*keys, arrivals(F.col("lattice")).alias("places"))
     return reached.select(*keys, way_back(F.col("word"), F.col("places"), vocabulary).alias("ids"))
 
@@ -197,10 +244,6 @@ def _tokens(text: str | None, vocabulary: pieces.Vocabulary) -> list[str]:
     return tokens
 
 
-def _segments(token: str, vocabulary: pieces.Vocabulary) -> list[str]:
-    return [token[1:]] if token[0] == " " else vocabulary.segments(token)
-
-
 def _numbered(table: pa.Table, vocabulary: pieces.Vocabulary) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
     """A group's distinct tokens, and for every batch the numbers of its tokens and where each text's end."""
     number: dict[str, int] = defaultdict()
@@ -239,8 +282,11 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
         for batch in _unpacked(table):
             for text in batch.column("text"):
                 tokens.update(_tokens(text.as_py(), shared.value))
-        words = list({w for t in tokens for w in _segments(t, shared.value) if len(w) <= LONG})
-        del tokens
+        found = set()
+        for parts, _ in _local_cutter(shared.value, path).cut(list(tokens)):
+            found.update(parts)
+        words = [w for w in found if len(w) <= LONG]
+        del tokens, found
         order, bucket = _dealt(words, buckets)
         first = part // region * buckets
         # no word has a space; the part leads the message, so that both readers of the exchange take the same column
@@ -277,12 +323,13 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
     def answer(table: pa.Table, replies: pa.Table) -> pa.Table:
         vocabulary = shared.value
         tokens, numbered = _numbered(table, vocabulary)
-        number: dict[str, int] = defaultdict()  # of each distinct segment
+        number: dict[str, int] = defaultdict()  # of each distinct part
         number.default_factory = number.__len__
-        at, token_ends = array("i"), array("q", [0])
-        for token in tokens:
-            at.extend(map(number.__getitem__, _segments(token, vocabulary)))
-            token_ends.append(len(at))
+        at, of_tokens = array("i"), [np.empty(0, dtype=np.int64)]
+        for parts, sizes in _local_cutter(vocabulary, path).cut(tokens):
+            at.extend(map(number.__getitem__, parts))
+            of_tokens.append(sizes)
+        token_ends = np.concatenate(([0], np.cumsum(np.concatenate(of_tokens))))
         at = np.frombuffer(at, dtype=np.int32) if at else np.empty(0, dtype=np.int32)
         words = list(number)
         del tokens, number
@@ -299,7 +346,7 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
         sizes[every] = np.concatenate((np.frombuffer(joined("counts"), dtype=np.uint16), np.array(list(map(len, here)), dtype=np.int64)))
         starts[every] = np.cumsum(sizes[every]) - sizes[every]
         flat = np.concatenate([np.frombuffer(joined("ids"), dtype=_kept(vocabulary)).astype(np.int32), *here])
-        # from the ids of the segments to those of the tokens
+        # from the ids of the parts to those of the tokens
         flat = _gathered(flat, starts[at], sizes[at])
         ends = np.concatenate(([0], np.cumsum(sizes[at])))[token_ends]
         starts, sizes = ends[:-1], np.diff(ends)
