@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tributary.llm import graph, mixing, norm_topk, sharding, simhash_dedup
+from tributary.llm import common, graph, mixing, norm_topk, sharding, simhash_dedup
 from tributary.llm.shingles import hashes, simhash
 
 
@@ -135,6 +135,29 @@ def test_components_of_a_long_chain(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_stars_need_no_round(spark, monkeypatch):
+    written = []
+
+    def stored(df, name, rows=None):
+        written.append(name)
+        return common.stored(df, name, rows)
+
+    monkeypatch.setattr(graph, "stored", stored)
+    links = spark.createDataFrame([(1, 5), (7, 1), (1, 5), (5, 1), (2, 9), (3, 3)], "a long, b long")
+    found = {r.node: r.root for r in graph.components(links).collect()}
+    assert found == {1: 1, 5: 1, 7: 1, 2: 2, 9: 2}
+    assert len(written) == 1
+    path = graph.components(spark.createDataFrame([(1, 2), (2, 3)], "a long, b long"))
+    assert {r.node: r.root for r in path.collect()} == {1: 1, 2: 1, 3: 1}
+    assert len(written) > 2
+
+
+def test_small_tables_are_few_files(spark):
+    found = common.stored(spark.range(500).repartition(97), "numbers", 500)
+    assert sorted(r.id for r in found.collect()) == list(range(500))
+    assert len(found.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def words(rng, n):
     return [f"w{rng.randrange(10**6)}" for _ in range(n)]
 

@@ -12,15 +12,19 @@ from tributary.plans.scratch import scratch_folder
 #: Word bytes end at these characters (fixed values: space and U+0009 to U+000D).
 SPACE = " \t\n\x0b\x0c\r"
 BUCKET_ROWS = 2000
+FILE_ROWS = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared scratch folder and read it: cuts lineage, and survives lost executors."""
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write a table to the shared scratch folder and read it: cuts lineage, and survives lost executors. ``rows``,
+    where the table's number of rows or a bound is known, keeps a small one from becoming a file per shuffle partition."""
     path = scratch_folder(df.sparkSession, name) + "/table"
+    if rows is not None:
+        df = df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -189,7 +189,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     )
     # a hot bucket stands for more than HOT index rows, so this list is small beside them
     sizes = index.groupBy("part", "key").agg(F.count("*").alias("n"))
-    hot = stored(sizes.where(F.col("n") > HOT).drop("n"), "hot-buckets")
+    hot = stored(sizes.where(F.col("n") > HOT).drop("n"), "hot-buckets", rows * len(parts) // HOT)
     some_hot = not hot.isEmpty()
     cold = index.join(hot, ["part", "key"], "left_anti") if some_hot else index
     paired = (
@@ -214,8 +214,9 @@ def classes(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def _components(printed: DataFrame, distance: int) -> DataFrame:
     """(fp, class, component_id) of every distinct fingerprint in ``printed`` (doc_id, fp)."""
-    distinct = stored(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    classed = stored(distinct.join(classes(distinct.select("fp"), distance), "fp"), "fingerprint-classes")
+    rows = printed.count()
+    distinct = stored(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints", rows)
+    classed = stored(distinct.join(classes(distinct.select("fp"), distance), "fp"), "fingerprint-classes", rows)
     smallest = classed.groupBy("class").agg(F.min("least").alias("component_id"))
     return classed.join(smallest, "class").select("fp", "class", "component_id")
 
