@@ -170,3 +170,31 @@ def test_lattice_words_are_cut_where_no_piece_goes_across():
     assert ids(parts) == ids(segments)
     pairs = {p[i : i + 2] for p in vocabulary.score for i in range(len(p) - 1)}
     assert all(p[i : i + 2] in pairs for p in parts for i in range(len(p) - 1))
+
+
+@pytest.mark.parametrize("characters", [5, 1 << 18])
+def test_batches_of_texts_are_split_like_texts(monkeypatch, characters):
+    monkeypatch.setattr(sentencepiece_lattice, "CHARACTERS", characters)
+    vocabulary = pieces.load()
+    texts = ["a word  two", None, "", " ", "plain words here", "end ", " start", "▁x y", "a\x01b\n c", "日本 😀é", "x" * 90, "▁"]
+    flat, sizes = sentencepiece_lattice._split(pa.array(texts, pa.string()), vocabulary)
+    tokens = [sentencepiece_lattice._tokens(t, vocabulary) for t in texts]
+    assert sizes.tolist() == [len(t) for t in tokens]
+    whole = sentencepiece_lattice._whole(flat)
+    assert whole.to_pylist() == [t[1:] if t[0] == " " else "▁" + t for some in tokens for t in some]
+    parts = list(sentencepiece_lattice.Cutter(vocabulary).parts(whole))
+    assert "".join(p for some, _ in parts for p in some.to_pylist()) == "".join(whole.to_pylist())
+    assert [len(some) for some, _ in parts] == [sum(n) for _, n in parts]
+    assert sum(len(n) for _, n in parts) == len(whole)
+    known, numbers = sentencepiece_lattice._coded([flat[:0], flat, flat[:0], flat[:3]])
+    assert [[known[i].as_py() for i in n] for n in numbers] == [[], flat.to_pylist(), [], flat.to_pylist()[:3]]
+
+
+def test_round_trips_are_compared_like_decoded_texts():
+    vocabulary = pieces.load()
+    spelling = pieces.spelled(vocabulary)
+    spelled, viterbi = sentencepiece_lattice.Spelling(spelling), pieces.Viterbi(vocabulary)
+    texts = ["", " ", "one two", " one", "one ", "▁", "a▁b", "日本 😀\n"]
+    for text in texts:
+        ids = np.array([i for s in vocabulary.segments(text) for i in viterbi.encode(s)], dtype=np.int32)
+        assert [spelled.same(t, ids) for t in texts] == [pieces.decoded(ids.tolist(), spelling) == t for t in texts]

@@ -26,13 +26,12 @@ each; columns other than doc_id and text are not looked at, whatever their names
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +43,7 @@ LONG = 64
 REGION = 4096  # groups that share their dictionary
 BUCKETS = 6  # of words, for each group of a region
 HEAD = 3  # characters that tell which lengths are looked up
-TOKENS = 1 << 15  # that are cut at a time
-CHARACTERS = 1 << 20  # that are looked at a time
+CHARACTERS = 1 << 18  # that are looked at a time
 
 _viterbi: dict = {}
 _cutters: dict = {}
@@ -70,25 +68,36 @@ class Cutter:
         for a, b in pairs:
             self.joined[number[a], number[b]] = True
 
-    def _apart(self, text: str) -> np.ndarray:
-        """For every two neighbours in a text, whether there is a cut between them."""
-        found = []
-        for at in range(0, len(text) - 1, CHARACTERS):
-            code = self.number[np.frombuffer(text[at : at + CHARACTERS + 1].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-            found.append(~self.joined[code[:-1], code[1:]])
-        return np.concatenate(found) if found else np.empty(0, dtype=bool)
+    def _stops(self, text: bytes, ends: np.ndarray) -> np.ndarray:
+        """Where the parts of a text end, by bytes: at ``ends`` at least."""
+        characters, stops, base = text.decode(), [], 0
+        for at in range(0, len(characters), CHARACTERS):
+            code = np.frombuffer(characters[at : at + CHARACTERS + 1].encode("utf-32-le"), dtype=np.uint32)
+            number, here = self.number[code], code[:CHARACTERS]
+            behind = base + np.cumsum(1 + (here > 0x7F) + (here > 0x7FF) + (here > 0xFFFF), dtype=np.int64)
+            last = ends[np.searchsorted(ends, behind)] == behind
+            last[: len(code) - 1] |= ~self.joined[number[:-1], number[1:]]
+            stops.append(behind[last])
+            base = int(behind[-1])
+        return np.concatenate(stops)
+
+    def parts(self, whole: pa.StringArray) -> Iterator[tuple[pa.StringArray, np.ndarray]]:
+        """Some of the strings (none is empty) at a time: the parts of them all, and how many each has."""
+        if not len(whole):
+            return
+        _, offsets, data = whole.buffers()
+        ends = np.frombuffer(offsets, dtype=np.int32, count=len(whole) + 1, offset=4 * whole.offset).astype(np.int64)
+        for a, b in _runs((ends[:-1] - ends[0]) // CHARACTERS):
+            text, own = data.slice(int(ends[a]), int(ends[b] - ends[a])), ends[a + 1 : b + 1] - ends[a]
+            stops = self._stops(text.to_pybytes(), own)
+            starts = pa.py_buffer(np.append(0, stops).astype(np.int32))
+            yield pa.StringArray.from_buffers(len(stops), starts, text), np.diff(np.searchsorted(stops, own, side="right"), prepend=0)
 
     def cut(self, tokens: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
-        """Some of the tokens at a time: the parts of them all, and how many each has."""
-        for first in range(0, len(tokens), TOKENS):
-            whole = [t[1:] if t[0] == " " else pieces.SPACE + t for t in tokens[first : first + TOKENS]]
-            text, ends = "".join(whole), np.cumsum(np.fromiter(map(len, whole), dtype=np.int64, count=len(whole)))
-            last = np.append(self._apart(text), True)
-            last[ends - 1] = True
-            stops = np.flatnonzero(last) + 1
-            starts = np.concatenate(([0], stops[:-1]))
-            parts = [text[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
-            yield parts, np.diff(np.searchsorted(stops, ends, side="right"), prepend=0)
+        """The same of a list of tokens (``_tokens``)."""
+        whole = [t[1:] if t[0] == " " else pieces.SPACE + t for t in tokens]
+        for parts, sizes in self.parts(pa.array(whole, pa.string())):
+            yield parts.to_pylist(), sizes
 
 
 def _local_cutter(vocabulary: pieces.Vocabulary, path: str) -> Cutter:
@@ -244,19 +253,48 @@ def _tokens(text: str | None, vocabulary: pieces.Vocabulary) -> list[str]:
     return tokens
 
 
-def _numbered(table: pa.Table, vocabulary: pieces.Vocabulary) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
-    """A group's distinct tokens, and for every batch the numbers of its tokens and where each text's end."""
-    number: dict[str, int] = defaultdict()
-    number.default_factory = number.__len__
-    batches = []
-    for batch in _unpacked(table):
-        found, ends = [], [0]
-        for text in batch.column("text"):
-            tokens = _tokens(text.as_py(), vocabulary)
-            found.append(np.fromiter(map(number.__getitem__, tokens), dtype=np.int32, count=len(tokens)))
-            ends.append(ends[-1] + len(tokens))
-        batches.append((np.concatenate(found), np.array(ends)))
-    return list(number), batches
+def _split(text: pa.StringArray, vocabulary: pieces.Vocabulary) -> tuple[pa.StringArray, np.ndarray]:
+    """The tokens of all texts, marked by the space piece where ``_tokens`` marks them by a space, and how many each has.
+    Only texts whose tokens are marked are looked at one by one."""
+    text = text.cast(pa.string())
+    text = pc.if_else(pc.equal(pc.binary_length(text), 0), pa.scalar(None, pa.string()), text)
+    odd = pc.or_(pc.or_(pc.match_substring(text, "  "), pc.match_substring(text, pieces.SPACE)),
+                 pc.or_(pc.starts_with(text, " "), pc.ends_with(text, " ")))
+    if pc.any(odd).as_py():
+        marked = [" ".join([pieces.SPACE + t[1:] for t in _tokens(x.as_py(), vocabulary)]) for x in text.filter(odd)]
+        text = pc.replace_with_mask(text, odd.fill_null(False), pa.array(marked, pa.string()))
+    lists = pc.split_pattern(text, " ")
+    return lists.flatten(), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _whole(tokens: pa.StringArray) -> pa.StringArray:
+    """Tokens (``_split``) as the strings that are cut."""
+    marked = pc.starts_with(tokens, pieces.SPACE)
+    return pc.if_else(marked, pc.utf8_slice_codeunits(tokens, 1), pc.binary_join_element_wise(pieces.SPACE, tokens, ""))
+
+
+def _coded(chunks: list[pa.Array]) -> tuple[pa.StringArray, list[np.ndarray]]:
+    """The distinct strings of all chunks, and for every chunk their numbers."""
+    coded = pa.chunked_array(chunks, pa.string()).dictionary_encode()
+    known = coded.chunk(0).dictionary if coded.num_chunks else pa.array([], pa.string())
+    numbers = np.concatenate([np.empty(0, dtype=np.int32), *[chunk.indices.to_numpy() for chunk in coded.chunks]])
+    return known, np.split(numbers, np.cumsum(list(map(len, chunks)))[:-1]) if chunks else []  # empty chunks are not kept
+
+
+class Spelling:
+    """Compares ids with texts: the bytes of a text's ids are laid side by side."""
+
+    def __init__(self, spelling: list[bytes]):
+        self.spelling = spelling
+        self.size = np.fromiter(map(len, spelling), dtype=np.int64, count=len(spelling))
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(spelling), dtype=np.uint8)
+
+    def same(self, text: str, ids: np.ndarray) -> bool:
+        """Whether ids decode to a text. Where their bytes are not the text's behind a space, they are decoded."""
+        if len(ids) <= CHARACTERS and _gathered(self.flat, self.start[ids], self.size[ids]).tobytes() == b" " + text.encode():
+            return True
+        return pieces.decoded(ids.tolist(), self.spelling) == text
 
 
 def _kept(vocabulary: pieces.Vocabulary) -> type:
@@ -278,14 +316,11 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
     packed = _grouped(docs, groups)
 
     def ask(table: pa.Table) -> pa.Table:
-        part, tokens = table.column("part")[0].as_py(), set()
-        for batch in _unpacked(table):
-            for text in batch.column("text"):
-                tokens.update(_tokens(text.as_py(), shared.value))
-        found = set()
-        for parts, _ in _local_cutter(shared.value, path).cut(list(tokens)):
-            found.update(parts)
-        words = [w for w in found if len(w) <= LONG]
+        part = table.column("part")[0].as_py()
+        tokens = pc.unique(pa.chunked_array([_split(batch.column("text"), shared.value)[0] for batch in _unpacked(table)]))
+        cut = _local_cutter(shared.value, path).parts(_whole(tokens))
+        found = pc.unique(pa.chunked_array([parts for parts, _ in cut], pa.string()))
+        words = found.filter(pc.less_equal(pc.utf8_length(found), LONG)).to_pylist()
         del tokens, found
         order, bucket = _dealt(words, buckets)
         first = part // region * buckets
@@ -322,19 +357,18 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
 
     def answer(table: pa.Table, replies: pa.Table) -> pa.Table:
         vocabulary = shared.value
-        tokens, numbered = _numbered(table, vocabulary)
-        number: dict[str, int] = defaultdict()  # of each distinct part
-        number.default_factory = number.__len__
-        at, of_tokens = array("i"), [np.empty(0, dtype=np.int64)]
-        for parts, sizes in _local_cutter(vocabulary, path).cut(tokens):
-            at.extend(map(number.__getitem__, parts))
-            of_tokens.append(sizes)
-        token_ends = np.concatenate(([0], np.cumsum(np.concatenate(of_tokens))))
-        at = np.frombuffer(at, dtype=np.int32) if at else np.empty(0, dtype=np.int32)
-        words = list(number)
-        del tokens, number
-        long = np.array([i for i, w in enumerate(words) if len(w) > LONG], dtype=np.int64)
-        short = np.array([i for i, w in enumerate(words) if len(w) <= LONG], dtype=np.int64)
+        split = [_split(batch.column("text"), vocabulary) for batch in _unpacked(table)]
+        tokens, numbers = _coded([some for some, _ in split])
+        numbered = [(n, np.concatenate(([0], np.cumsum(sizes)))) for n, (_, sizes) in zip(numbers, split, strict=True)]
+        del split
+        cut = list(_local_cutter(vocabulary, path).parts(_whole(tokens)))
+        found, at = _coded([parts for parts, _ in cut])
+        at = np.concatenate([np.empty(0, dtype=np.int32), *at])  # of each part
+        token_ends = np.concatenate(([0], np.cumsum(np.concatenate([np.empty(0, dtype=np.int64), *[sizes for _, sizes in cut]]))))
+        is_long = pc.greater(pc.utf8_length(found), LONG).to_numpy(zero_copy_only=False).astype(bool)
+        words = found.to_pylist()
+        del tokens, cut, found
+        long, short = np.flatnonzero(is_long), np.flatnonzero(~is_long)
         order, _ = _dealt([words[i] for i in short], buckets)
         every = np.concatenate((short[order], long))
         here = [np.array(_local_viterbi(vocabulary, path).encode_array(words[i]), dtype=np.int32) for i in long]
@@ -350,7 +384,7 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
         flat = _gathered(flat, starts[at], sizes[at])
         ends = np.concatenate(([0], np.cumsum(sizes[at])))[token_ends]
         starts, sizes = ends[:-1], np.diff(ends)
-        done = []
+        done, spelled = [], Spelling(spelling.value) if verify else None
         for batch, (at, stops) in zip(_unpacked(table), numbered, strict=True):
             ids = _gathered(flat, starts[at], sizes[at])
             stops = np.concatenate(([0], np.cumsum(sizes[at])))[stops]
@@ -361,8 +395,8 @@ def encode(docs: DataFrame, path: str = pieces.PATH, group_bytes: int = GROUP_BY
                 "text_crc32": pa.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts], pa.int64()),
             }
             if verify:
-                spans = zip(texts, stops[:-1], stops[1:], strict=True)
-                columns["round_trip"] = pa.array([pieces.decoded(ids[a:b].tolist(), spelling.value) == t for t, a, b in spans])
+                spans = zip(texts, stops[:-1].tolist(), stops[1:].tolist(), strict=True)
+                columns["round_trip"] = pa.array([spelled.same(t, ids[a:b]) for t, a, b in spans])
             done.append(pa.RecordBatch.from_pydict(columns))
         return pa.Table.from_batches(done)
 
